@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The pipeline this package re-creates is batch only: a daily job for
+yesterday and a full-history backfill. It has no watermarks, event-time
+windows or streaming state. Late lines are repaired by rerunning the
+backfill (``daybook.plans.run_backfill``), which rewrites every affected day
+idempotently. Nothing is added here that the original does not do.
+"""
