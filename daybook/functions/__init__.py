@@ -6,8 +6,10 @@ from daybook.functions.columns import (
     cutoff_60_days,
     first_order_flag,
     product_revenue,
+    revenue_units,
     safe_ratio,
     to_day,
+    units_to_double,
     week_label,
 )
 
@@ -17,7 +19,9 @@ __all__ = [
     "cutoff_60_days",
     "first_order_flag",
     "product_revenue",
+    "revenue_units",
     "safe_ratio",
     "to_day",
+    "units_to_double",
     "week_label",
 ]

@@ -41,16 +41,32 @@ def week_label(day: ColumnOrName) -> Column:
     )
 
 
-def product_revenue(quantity: ColumnOrName, price: ColumnOrName) -> Column:
-    """Line revenue = quantity x price, as an exact decimal.
+# Fixed value: money is kept to 4 decimal places (1 unit = 0.0001).
+MONEY_UNITS_PER_ONE = 10000
+
+
+def revenue_units(quantity: ColumnOrName, price: ColumnOrName) -> Column:
+    """Line revenue = quantity x price in whole units of 0.0001, as BIGINT.
 
     Inputs are cast to DOUBLE strictly (text that is not a number raises, as
-    an empty string does); a null in either gives null. Summing the decimal
-    keeps totals independent of the order rows are added in.
+    an empty string does); a null in either gives null. The product is
+    rounded to the nearest unit, ties to even, which is how a SQL cast of a
+    double to DECIMAL(18,4) rounds. Summing these integers is exact and
+    independent of row order, and a BIGINT sum runs on primitive longs.
     """
     q = _col(quantity).cast("double")
     p = _col(price).cast("double")
-    return (q * p).cast(MONEY)
+    return F.rint(q * p * F.lit(float(MONEY_UNITS_PER_ONE))).cast("long")
+
+
+def units_to_double(units: ColumnOrName) -> Column:
+    """Money units back to a DOUBLE amount (correctly rounded)."""
+    return _col(units).cast("double") / F.lit(float(MONEY_UNITS_PER_ONE))
+
+
+def product_revenue(quantity: ColumnOrName, price: ColumnOrName) -> Column:
+    """Line revenue as DECIMAL(18,4), equal to ``revenue_units`` / 10^4."""
+    return units_to_double(revenue_units(quantity, price)).cast(MONEY)
 
 
 def customer_age(order_day: ColumnOrName, first_day: ColumnOrName) -> Column:

@@ -23,8 +23,9 @@ that Catalyst prunes to (order_date, order_id); its first shuffle is keyed on
 results are joined on ``order_date``; both are at most one row per calendar
 day, and AQE broadcasts or co-partitions them from their real sizes.
 
-Revenue is summed as DECIMAL(18,4) and published as DOUBLE, so the result
-does not depend on the order rows are added in.
+Revenue is summed exactly, as BIGINT money units of 0.0001 (each line
+rounded like a SQL cast to DECIMAL(18,4)), and published as DOUBLE, so the
+result does not depend on the order rows are added in.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.functions import safe_ratio
+from daybook.functions import safe_ratio, units_to_double
 from daybook.operators.first_order import (
     DAY_REVENUE,
     customer_days,
@@ -83,7 +84,7 @@ def orders_per_day(lines: DataFrame) -> DataFrame:
 
 
 def _assemble(segments: DataFrame, orders: DataFrame) -> DataFrame:
-    revenue = F.col(_REVENUE).cast("double")
+    revenue = units_to_double(_REVENUE)
     joined = segments.join(orders, on=ORDER_DATE, how="left")
     out = {
         "order_date": F.col(ORDER_DATE),
@@ -92,9 +93,9 @@ def _assemble(segments: DataFrame, orders: DataFrame) -> DataFrame:
         "total_customer_count": F.col("total_customer_count"),
         "daily_aov": safe_ratio(revenue, "total_order_count"),
         "new_customer_count": F.col("new_customer_count"),
-        "new_customer_spend": F.col("new_customer_spend").cast("double"),
+        "new_customer_spend": units_to_double("new_customer_spend"),
         "repeat_customer_count": F.col("repeat_customer_count"),
-        "repeat_customer_spend": F.col("repeat_customer_spend").cast("double"),
+        "repeat_customer_spend": units_to_double("repeat_customer_spend"),
     }
     return joined.select(*[out[name].alias(name) for name in DAILY_STATS_COLUMNS])
 
@@ -131,7 +132,7 @@ def daily_totals(lines: DataFrame) -> DataFrame:
     total_customer_count, daily_aov."""
     days = customer_days(lines)
     totals = days.groupBy(ORDER_DATE).agg(
-        _zero_if_null(F.sum(DAY_REVENUE)).cast("double").alias("total_product_revenue"),
+        units_to_double(_zero_if_null(F.sum(DAY_REVENUE))).alias("total_product_revenue"),
         F.count(EMAIL).alias("total_customer_count"),
     )
     joined = totals.join(orders_per_day(lines), on=ORDER_DATE, how="left")
@@ -148,7 +149,7 @@ def _segment_daily(lines: DataFrame, flag: int, prefix: str) -> DataFrame:
     flagged = flag_first_days(customer_days(lines)).where(F.col(FIRST_ORDER_FL) == flag)
     return flagged.groupBy(ORDER_DATE).agg(
         F.count(EMAIL).alias(f"{prefix}_customer_count"),
-        _zero_if_null(F.sum(DAY_REVENUE)).cast("double").alias(f"{prefix}_customer_spend"),
+        units_to_double(_zero_if_null(F.sum(DAY_REVENUE))).alias(f"{prefix}_customer_spend"),
     )
 
 

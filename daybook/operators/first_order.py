@@ -32,6 +32,7 @@ from daybook.functions import (
     cutoff_60_days,
     first_order_flag,
     product_revenue,
+    revenue_units,
     week_label,
 )
 from daybook.schema import (
@@ -48,8 +49,9 @@ from daybook.schema import (
     WEEK,
 )
 
-# Name of the per (day, customer) revenue column of ``customer_days``.
-DAY_REVENUE = "day_revenue"
+# Name of the per (day, customer) revenue column of ``customer_days``, in
+# whole money units of 0.0001 (BIGINT).
+DAY_REVENUE = "day_revenue_units"
 
 
 def first_order_by_customer(lines: DataFrame) -> DataFrame:
@@ -101,15 +103,16 @@ def customer_days(lines: DataFrame) -> DataFrame:
     """One row per (order_date, email) with the exact revenue of those lines.
 
     Undated lines are dropped (they belong to no day). Guests form one row
-    per day with a null email. ``day_revenue`` is NULL when every line of
-    the group has a null revenue; the row itself still records presence.
+    per day with a null email. ``day_revenue_units`` (money units of 0.0001)
+    is NULL when every line of the group has a null revenue; the row itself
+    still records presence.
     Map-side partial aggregation shrinks lines to (day, customer) pairs
     before the shuffle, so a heavy customer costs one row per day per task.
     """
     return (
         lines.where(F.col(ORDER_DATE).isNotNull())
         .groupBy(ORDER_DATE, EMAIL)
-        .agg(F.sum(product_revenue(QUANTITY, PRICE)).alias(DAY_REVENUE))
+        .agg(F.sum(revenue_units(QUANTITY, PRICE)).alias(DAY_REVENUE))
     )
 
 
