@@ -30,17 +30,19 @@ from daybook.operators import (
     repeat_customer_daily,
     with_first_order,
 )
-from daybook.operators import quality
+from daybook.operators import dimension, quality
 from daybook.operators.sink import read_daily_stats, registered_partitions
 from daybook.plans import create_table, run_backfill, run_daily
 from daybook.schema import ORDER_DATE, PRICE, PRODUCT_REV, QUANTITY
 from daybook.session import scratch_location
-from daybook.sources import line_items_from_tpch
+from daybook.sources import line_items_from_csv, line_items_from_tpch
 
 FLAGSHIP_SF_DIR = "/root/testdata/sf0.001"
 
 # Fixed value: a day with both new and repeat customers at sf0.01.
 SAMPLE_DAY = dt.date(1995, 11, 30)
+# Fixed value: where the history is cut to exercise the dimension merge.
+MERGE_CUT_DAY = dt.date(1998, 1, 1)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -180,6 +182,33 @@ def q_daily_stats_table_schema(spark, sf_dir):
     return out
 
 
+def q_first_order_dimension_merge(spark, sf_dir):
+    """Dimension built from history before a cut day, persisted, then merged
+    with the lines from that day on: equals the full-history first orders."""
+    li = _li(spark, sf_dir)
+    day = F.col(ORDER_DATE)
+    location = scratch_location(spark, "dim")
+    dimension.write_dimension(dimension.build_first_order_dimension(li.where(day < MERGE_CUT_DAY)), location)
+    old = dimension.read_dimension(spark, location)
+    return dimension.merge_first_order_dimension(old, li.where(day >= MERGE_CUT_DAY))
+
+
+def q_daily_stats_for_day_dimension(spark, sf_dir):
+    """Single-day statistics from a persisted first-order dimension."""
+    li = _li(spark, sf_dir)
+    location = scratch_location(spark, "dim")
+    dimension.write_dimension(dimension.build_first_order_dimension(li), location)
+    dim = dimension.read_dimension(spark, location)
+    return dimension.daily_stats_for_day_from_dimension(li, dim, SAMPLE_DAY)
+
+
+def q_daily_stats_from_csv_source(spark, sf_dir):
+    """Backfill over line items delivered as CSV text (all cells text)."""
+    location = scratch_location(spark, "csv-lines")
+    _li(spark, sf_dir).write.option("header", "true").csv(location)
+    return daily_stats(line_items_from_csv(spark, location))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "line_items": q_line_items,
     "product_revenue": q_product_revenue,
@@ -202,6 +231,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "partition_overwrite_idempotent": q_partition_overwrite_idempotent,
     "registered_partitions": q_registered_partitions,
     "daily_stats_table_schema": q_daily_stats_table_schema,
+    "first_order_dimension_merge": q_first_order_dimension_merge,
+    "daily_stats_for_day_dimension": q_daily_stats_for_day_dimension,
+    "daily_stats_from_csv_source": q_daily_stats_from_csv_source,
 }
 
 
@@ -344,6 +376,9 @@ def oracle_sql() -> dict[str, str]:
         "registered_partitions": f"""WITH {LI}
             SELECT DISTINCT order_date AS partition_date FROM li WHERE order_date IS NOT NULL""",
         "daily_stats_table_schema": f"{BACKFILL_BODY} {with_partition}",
+        "first_order_dimension_merge": f"WITH {LI}, {FIRST} SELECT * FROM fo",
+        "daily_stats_for_day_dimension": f"{BACKFILL_BODY} SELECT {STATS_COLS} FROM stats WHERE order_date = DATE '{day}'",
+        "daily_stats_from_csv_source": f"{BACKFILL_BODY} SELECT {STATS_COLS} FROM stats",
     }
 
 

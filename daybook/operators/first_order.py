@@ -3,22 +3,23 @@
 A customer is an exact, non-null ``email`` value. Guest lines (null email)
 never have a first order date: they are never "new".
 
-Two forms are used, both keyed so no single task ever has to hold an
-unbounded group:
-
-* ``first_order_by_customer`` / ``with_first_order`` - aggregate by email,
-  then a left join back at line grain. The aggregate is a partial + final
-  hash aggregate, so a customer with millions of lines ships one row per map
-  task. The join is a left outer equi-join on email: AQE broadcasts the
-  customer side when it is small and otherwise splits an oversized partition
-  (a very heavy customer, or the null key of all guest lines) across several
-  tasks with the skew-join rule.
-* ``flag_first_days`` - on data already reduced to one row per
-  (day, customer), a ``min`` window per email. A window partition then holds
-  at most one row per calendar day for that customer, so it is bounded by the
-  number of days in the history, not by the number of lines. Guests share
-  the null window partition, which is bounded the same way, and are forced
-  to flag 0.
+Everything here is keyed so that no single task has to hold an unbounded
+group, even when one customer or the guest group holds a third of all lines:
+
+* ``first_order_by_customer`` - partial + final aggregate by email; a heavy
+  customer ships one row per map task.
+* ``customer_days`` / ``flag_first_days`` - lines reduced to one row per
+  (day, customer), then a ``min`` window per email. A window partition holds
+  at most one row per calendar day of that customer's history, however many
+  lines they have. Guests share the null window partition, bounded the same
+  way, and are forced to flag 0.
+* ``with_first_order`` (line grain) - lines are joined to the (day, customer)
+  pairs on (email, day), not on email alone, so a heavy customer's lines and
+  the guests' lines spread over all their days instead of one task. Both join
+  inputs are plain shuffles, which is the shape AQE's skew-join rule needs to
+  split any remaining oversized (day, customer) partition. (A join to the
+  email aggregate would reuse the aggregate's exchange and AQE could not
+  split it.)
 """
 
 from __future__ import annotations
@@ -67,25 +68,34 @@ def first_order_by_customer(lines: DataFrame) -> DataFrame:
     )
 
 
-def with_first_order(lines: DataFrame, first: DataFrame | None = None) -> DataFrame:
+def with_first_order(lines: DataFrame) -> DataFrame:
     """Lines with their customer's ``first_order_date`` (NULL for guests).
 
-    Row count is preserved: the right side has one row per email and null
-    keys never match.
+    The right side holds one row per distinct (day, customer) pair of the
+    lines, undated ones included, with the customer's earliest day from a
+    ``min`` window per email. Each line with an email matches exactly one
+    pair (the day is compared null-safely, so an undated line still gets its
+    customer's date); guest lines match nothing. Row count is preserved.
     """
-    if first is None:
-        first = first_order_by_customer(lines)
-    return lines.join(first, on=EMAIL, how="left").select(*lines.columns, FIRST_ORDER_DATE)
+    email, day = F.col(EMAIL), F.col(ORDER_DATE)
+    pairs = lines.where(email.isNotNull()).select(EMAIL, ORDER_DATE).distinct()
+    keyed = pairs.select(
+        email.alias("_k_email"),
+        day.alias("_k_day"),
+        F.min(ORDER_DATE).over(Window.partitionBy(EMAIL)).alias(FIRST_ORDER_DATE),
+    )
+    cond = (email == F.col("_k_email")) & day.eqNullSafe(F.col("_k_day"))
+    return lines.join(keyed, on=cond, how="left").select(*lines.columns, FIRST_ORDER_DATE)
 
 
-def enrich_line_items(lines: DataFrame, first: DataFrame | None = None) -> DataFrame:
+def enrich_line_items(lines: DataFrame) -> DataFrame:
     """Line items with every derived column of the reference pipeline.
 
     Adds ``product_rev`` (exact decimal), ``week`` (``YYYY-WW``),
     ``first_order_date``, ``age`` (days since first order), ``cutoff_60_days``,
     ``first_order_month`` (``YYYY-MM``) and ``first_order_fl`` (0/1).
     """
-    joined = with_first_order(lines, first)
+    joined = with_first_order(lines)
     od, fd = F.col(ORDER_DATE), F.col(FIRST_ORDER_DATE)
     return joined.select(
         *lines.columns,
@@ -123,19 +133,19 @@ def flag_first_days(days: DataFrame) -> DataFrame:
     return days.withColumn(FIRST_ORDER_FL, first_order_flag(ORDER_DATE, first))
 
 
-def flag_against_prior(days: DataFrame, lines: DataFrame, day) -> DataFrame:
-    """Flag one day's ``customer_days`` rows without a full-history shuffle.
+def flag_against_seen(days: DataFrame, earlier: DataFrame) -> DataFrame:
+    """Flag one day's ``customer_days`` rows given customers seen earlier.
 
-    A customer is new on ``day`` exactly when no line of theirs is dated
-    earlier. History is filtered to earlier days (pushed to the scan) and
-    semi-joined to that day's customers; AQE broadcasts the day's customer
-    set when it is small, so history is then only scanned and probed, never
-    shuffled. Only the matching customers reach the ``distinct``.
+    ``earlier`` holds an ``email`` column of customers with a line before the
+    day (duplicates allowed). It is semi-joined to the day's customers first:
+    AQE broadcasts the day's customer set when it is small, so the large side
+    is only scanned and probed, never shuffled, and only matching customers
+    reach the ``distinct``.
     """
     email = F.col(EMAIL)
     todays = days.where(email.isNotNull()).select(EMAIL)
     seen = (
-        lines.where((F.col(ORDER_DATE) < day) & email.isNotNull())
+        earlier.where(email.isNotNull())
         .select(EMAIL)
         .join(todays, on=EMAIL, how="left_semi")
         .distinct()
@@ -144,3 +154,13 @@ def flag_against_prior(days: DataFrame, lines: DataFrame, day) -> DataFrame:
     flagged = days.join(seen, on=EMAIL, how="left")
     fl = F.when(email.isNotNull() & F.col("_seen_before").isNull(), F.lit(1)).otherwise(F.lit(0))
     return flagged.select(*days.columns, fl.alias(FIRST_ORDER_FL))
+
+
+def flag_against_prior(days: DataFrame, lines: DataFrame, day) -> DataFrame:
+    """Flag one day's ``customer_days`` rows without a full-history shuffle.
+
+    A customer is new on ``day`` exactly when no line of theirs is dated
+    earlier. History is filtered to earlier days (pushed to the scan) and
+    checked against the day's customers with ``flag_against_seen``.
+    """
+    return flag_against_seen(days, lines.where(F.col(ORDER_DATE) < day))

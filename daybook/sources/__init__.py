@@ -1,6 +1,7 @@
 """Readers for line items and for the published daily statistics."""
 
 from daybook.sources.line_items import (
+    line_items_from_csv,
     line_items_from_table,
     line_items_from_tpch,
     normalise_line_items,
@@ -8,6 +9,7 @@ from daybook.sources.line_items import (
 )
 
 __all__ = [
+    "line_items_from_csv",
     "line_items_from_table",
     "line_items_from_tpch",
     "normalise_line_items",

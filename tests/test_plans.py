@@ -55,10 +55,13 @@ def test_daily_job_pushes_day_filters_to_scan(spark, scratch):
     assert "Window" not in plan
 
 
-def test_enriched_join_is_equi_join(spark):
+def test_enriched_join_is_keyed_on_customer_and_day(spark):
     plan = _plan(enrich_line_items(line_items_from_tpch(spark, SF001)))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    assert "Window" not in plan
+    # The window runs over distinct (day, customer) pairs, never over lines.
+    assert plan.count("Window") == 1
+    join = [ln for ln in plan.splitlines() if "LeftOuter" in ln]
+    assert join and "email" in join[0] and "order_date" in join[0]
 
 
 def test_no_python_in_plans(spark):
