@@ -2,7 +2,8 @@
 
     spark-submit -m daybook.plans.cli create   --table T --location L
     spark-submit -m daybook.plans.cli backfill --source SRC --location L [--table T]
-    spark-submit -m daybook.plans.cli daily    --source SRC --table T [--date YYYY-MM-DD]
+    spark-submit -m daybook.plans.cli daily    --source SRC --table T [--date YYYY-MM-DD] [--dimension D]
+    spark-submit -m daybook.plans.cli dimension --source SRC --location D
 
 ``SRC`` is a catalog table name or a parquet folder with the line-item
 columns (order_id, email, order_date, quantity, price).
@@ -12,7 +13,7 @@ from __future__ import annotations
 
 import argparse
 
-from daybook.plans.jobs import create_table, run_backfill, run_daily
+from daybook.plans.jobs import create_table, refresh_dimension, run_backfill, run_daily
 from daybook.session import build_session
 from daybook.sources import line_items_from_table
 
@@ -34,6 +35,11 @@ def main(argv: list[str] | None = None) -> None:
     p_daily.add_argument("--source", required=True)
     p_daily.add_argument("--table", required=True)
     p_daily.add_argument("--date")
+    p_daily.add_argument("--dimension", help="folder of a persisted first-order dimension")
+
+    p_dim = sub.add_parser("dimension", help="rebuild the first-order dimension into a new folder")
+    p_dim.add_argument("--source", required=True)
+    p_dim.add_argument("--location", required=True)
 
     args = parser.parse_args(argv)
     spark = build_session()
@@ -41,8 +47,12 @@ def main(argv: list[str] | None = None) -> None:
         create_table(spark, args.table, args.location)
     elif args.command == "backfill":
         run_backfill(spark, line_items_from_table(spark, args.source), args.location, args.table)
+    elif args.command == "dimension":
+        refresh_dimension(line_items_from_table(spark, args.source), args.location)
     else:
-        run_daily(spark, line_items_from_table(spark, args.source), args.table, args.date)
+        run_daily(
+            spark, line_items_from_table(spark, args.source), args.table, args.date, args.dimension
+        )
 
 
 if __name__ == "__main__":

@@ -16,6 +16,12 @@ from zoneinfo import ZoneInfo
 from pyspark.sql import DataFrame, SparkSession
 
 from daybook.operators.daily_stats import daily_stats, daily_stats_for_day
+from daybook.operators.dimension import (
+    build_first_order_dimension,
+    daily_stats_for_day_from_dimension,
+    read_dimension,
+    write_dimension,
+)
 from daybook.operators.sink import (
     create_daily_stats_table,
     overwrite_day,
@@ -59,16 +65,32 @@ def run_daily(
     lines: DataFrame,
     table: str,
     as_of_date: str | dt.date | None = None,
+    dimension_location: str | None = None,
 ) -> dt.date:
     """Publish one day (default: yesterday) into ``table``.
 
-    First-order dates still use the whole history, through a semi-join on the
-    day's customers rather than a full-history shuffle. The day's partition
-    is replaced even when the day has no lines, and registered if new.
+    First-order dates still use the whole history: through a semi-join of
+    earlier lines on the day's customers, or, with ``dimension_location``,
+    through the persisted first-order dimension (which must cover every line
+    dated before the day, see ``refresh_dimension``). The day's partition is
+    replaced even when the day has no lines, and registered if new.
     """
     day = as_of_date or yesterday(spark)
     if isinstance(day, str):
         day = dt.date.fromisoformat(day)
-    overwrite_day(spark, table, daily_stats_for_day(lines, day), day)
+    if dimension_location:
+        stats = daily_stats_for_day_from_dimension(lines, read_dimension(spark, dimension_location), day)
+    else:
+        stats = daily_stats_for_day(lines, day)
+    overwrite_day(spark, table, stats, day)
     register_partition(spark, table, day)
     return day
+
+
+def refresh_dimension(lines: DataFrame, location: str) -> None:
+    """Rebuild the first-order dimension from full history into a new folder.
+
+    Run it with the backfill (the repair path for late lines); point the
+    daily job at the newest folder.
+    """
+    write_dimension(build_first_order_dimension(lines), location)

@@ -109,3 +109,30 @@ def test_create_table_never_alters_existing(spark, scratch):
         assert local_path(loc_now.data_type).rstrip("/").endswith(os.path.basename(loc))
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def test_daily_job_with_dimension(spark, scratch):
+    from daybook.plans import refresh_dimension
+
+    loc = scratch("dimdaily")
+    dim = scratch("dimension")
+    table = _table()
+    lines = text_lines(spark, GOLDEN_LINES)
+    refresh_dimension(lines, dim)
+    create_daily_stats_table(spark, table, loc)
+    try:
+        for d in range(1, 9):
+            run_daily(spark, lines, table, dt.date(2024, 1, d), dimension_location=dim)
+        assert _rows(spark.table(table)) == GOLDEN_EXPECTED
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def test_cli_help_parses():
+    import pytest
+
+    from daybook.plans.cli import main
+
+    with pytest.raises(SystemExit) as exc:
+        main(["--help"])
+    assert exc.value.code == 0
