@@ -13,7 +13,6 @@ Everything here is plain Spark configuration. The settings matter at scale:
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -91,11 +90,3 @@ def local_path(location: str) -> str:
     if location.startswith("file:"):
         return location[len("file:"):]
     return location
-
-
-def is_local(location: str) -> bool:
-    return "://" not in location or location.startswith("file:")
-
-
-def exists_locally(location: str) -> bool:
-    return is_local(location) and os.path.exists(local_path(location))

@@ -136,3 +136,19 @@ def test_cli_help_parses():
     with pytest.raises(SystemExit) as exc:
         main(["--help"])
     assert exc.value.code == 0
+
+
+def test_cli_backfill_and_daily_end_to_end(spark, scratch):
+    from daybook.plans.cli import main
+
+    src = scratch("cli-src") + "/lines.parquet"
+    text_lines(spark, GOLDEN_LINES).write.parquet(src)
+    loc = scratch("cli-out")
+    table = _table()
+    try:
+        main(["create", "--table", table, "--location", loc])
+        main(["backfill", "--source", src, "--location", loc, "--table", table])
+        main(["daily", "--source", src, "--table", table, "--date", "2024-01-03"])
+        assert _rows(spark.table(table)) == GOLDEN_EXPECTED
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
