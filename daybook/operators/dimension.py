@@ -13,8 +13,9 @@ computed (later lines do no harm: the test is ``first_order_date < day``).
 a merge. ``build_first_order_dimension`` rebuilds it from full history, as
 part of a backfill.
 
-Storage is plain parquet written to a new folder per version (no in-place
-rewrite, so a failed job never leaves a half-written dimension behind).
+Storage is plain parquet written to a new folder per version; readers are
+pointed at a version only after its write committed, and a retried write of
+the same version simply replaces that folder.
 """
 
 from __future__ import annotations
@@ -54,7 +55,8 @@ def merge_first_order_dimension(dimension: DataFrame, new_lines: DataFrame) -> D
 
 
 def write_dimension(dimension: DataFrame, location: str) -> None:
-    dimension.write.mode("errorifexists").parquet(location)
+    """Write one dimension version (idempotent: a rerun replaces the folder)."""
+    dimension.write.mode("overwrite").parquet(location)
 
 
 def read_dimension(spark: SparkSession, location: str) -> DataFrame:
