@@ -123,10 +123,24 @@ def daily_stats_for_day(lines: DataFrame, day: str | dt.date | Column) -> DataFr
     """
     d0 = as_date(day)
     todays_lines = lines.where(F.col(ORDER_DATE) == d0)
-    flagged = flag_against_prior(customer_days(todays_lines), lines, d0)
+    flagged = flag_against_prior(day_customers(todays_lines), lines, d0)
     return _assemble(segment_totals(flagged), orders_per_day(todays_lines))
 
 
+def day_customers(todays_lines: DataFrame) -> DataFrame:
+    """``customer_days`` of one day, checkpointed to the shared folder.
+
+    One day of (customer) rows: small next to the history. Materialising it
+    lets the broadcast decision use its real size and keeps the day's lines
+    from being aggregated twice (for the size check and for the statistics).
+    A reliable checkpoint survives the loss of executors.
+    """
+    from daybook.session import checkpoint_dir
+
+    checkpoint_dir(todays_lines.sparkSession)
+    return customer_days(todays_lines).checkpoint(eager=True)
+
+
 def daily_totals(lines: DataFrame) -> DataFrame:
     """order_date, total_product_revenue, total_order_count,
     total_customer_count, daily_aov."""

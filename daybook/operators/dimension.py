@@ -23,8 +23,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.operators.daily_stats import _assemble, as_date, orders_per_day, segment_totals
-from daybook.operators.first_order import customer_days, flag_against_seen
+from daybook.operators.daily_stats import (
+    _assemble,
+    as_date,
+    day_customers,
+    orders_per_day,
+    segment_totals,
+)
+from daybook.operators.first_order import flag_against_seen
 from daybook.schema import EMAIL, FIRST_ORDER_DATE, ORDER_DATE
 
 DIMENSION_SCHEMA = f"{EMAIL} STRING, {FIRST_ORDER_DATE} DATE"
@@ -72,7 +78,7 @@ def daily_stats_for_day_from_dimension(lines: DataFrame, dimension: DataFrame, d
     """
     d0 = as_date(day)
     todays_lines = lines.where(F.col(ORDER_DATE) == d0)
-    days = customer_days(todays_lines)
+    days = day_customers(todays_lines)
     earlier = dimension.where(F.col(FIRST_ORDER_DATE) < d0).select(EMAIL)
     flagged = flag_against_seen(days, earlier)
     return _assemble(segment_totals(flagged), orders_per_day(todays_lines))

@@ -133,17 +133,56 @@ def flag_first_days(days: DataFrame) -> DataFrame:
     return days.withColumn(FIRST_ORDER_FL, first_order_flag(ORDER_DATE, first))
 
 
+# Per-row overhead assumed when sizing a broadcast of customer keys (bytes).
+_KEY_ROW_OVERHEAD = 32
+
+
+def broadcast_limit_bytes(spark) -> int:
+    """The session's broadcast threshold in bytes (-1 when disabled)."""
+    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b")
+    raw = raw.strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for suffix in sorted(units, key=len, reverse=True):
+        if raw.endswith(suffix) and raw[: -len(suffix)].strip().lstrip("-").isdigit():
+            return int(raw[: -len(suffix)]) * units[suffix]
+    return int(raw)
+
+
+def customer_keys_fit_broadcast(keys: DataFrame) -> bool:
+    """Measure a one-column email frame and compare it with the threshold.
+
+    One small aggregate job (row count and total key length); callers use it
+    on data that is already materialised (checkpointed), so it rereads only
+    that data.
+    """
+    limit = broadcast_limit_bytes(keys.sparkSession)
+    if limit <= 0:
+        return False
+    row = keys.agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length(EMAIL)), F.lit(0)).alias("chars")
+    ).first()
+    return row["n"] * _KEY_ROW_OVERHEAD + row["chars"] <= limit
+
+
 def flag_against_seen(days: DataFrame, earlier: DataFrame) -> DataFrame:
     """Flag one day's ``customer_days`` rows given customers seen earlier.
 
     ``earlier`` holds an ``email`` column of customers with a line before the
-    day (duplicates allowed). It is semi-joined to the day's customers first:
-    AQE broadcasts the day's customer set when it is small, so the large side
-    is only scanned and probed, never shuffled, and only matching customers
-    reach the ``distinct``.
+    day (duplicates allowed). It is semi-joined to the day's customers first,
+    so only matching customers reach the ``distinct``.
+
+    The day's customer set is broadcast only after its measured size fits the
+    session's broadcast threshold; then the large ``earlier`` side is scanned
+    and probed, never shuffled. (Left to AQE alone, both sides' shuffles would
+    already have run before the join is converted.) A larger set stays a
+    shuffle semi-join, where Spark's runtime bloom filter prunes ``earlier``.
+    ``days`` should be materialised (see ``daily_stats_for_day``) so the size
+    check does not recompute it.
     """
     email = F.col(EMAIL)
     todays = days.where(email.isNotNull()).select(EMAIL)
+    if customer_keys_fit_broadcast(todays):
+        todays = F.broadcast(todays)
     seen = (
         earlier.where(email.isNotNull())
         .select(EMAIL)

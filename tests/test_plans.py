@@ -69,3 +69,44 @@ def test_no_python_in_plans(spark):
     for df in (daily_stats(lines), daily_stats_for_day(lines, "1995-11-30"), enrich_line_items(lines)):
         plan = _plan(df)
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def _initial(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_daily_job_broadcasts_checked_customer_set(spark, scratch):
+    path = scratch("src") + "/lines.parquet"
+    text_lines(spark, GOLDEN_LINES).write.parquet(path)
+    lines = line_items_from_table(spark, path)
+    plan = _initial(daily_stats_for_day(lines, "2024-01-02"))
+    semi = [ln for ln in plan.splitlines() if "LeftSemi" in ln]
+    assert semi and all("BroadcastHashJoin" in ln for ln in semi)
+
+
+def test_daily_job_without_broadcast_falls_back_to_shuffle_join(spark, scratch):
+    from fixtures import GOLDEN_EXPECTED
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = text_lines(spark, GOLDEN_LINES)
+        df = daily_stats_for_day(lines, "2024-01-04")
+        assert "LeftSemi" in _initial(df) and "BroadcastHashJoin" not in [
+            ln for ln in _initial(df).splitlines() if "LeftSemi" in ln
+        ][0]
+        assert [tuple(r) for r in df.collect()] == [r for r in GOLDEN_EXPECTED if str(r[0]) == "2024-01-04"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_broadcast_limit_parsing(spark):
+    from daybook.operators.first_order import broadcast_limit_bytes
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for raw, want in [("10485760b", 10485760), ("10m", 10 << 20), ("-1", -1), ("2048", 2048)]:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", raw)
+            assert broadcast_limit_bytes(spark) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
