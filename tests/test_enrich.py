@@ -86,3 +86,48 @@ def test_profiles(spark):
     assert (b.min_order_date, b.max_order_date) == (dt.date(2024, 1, 1), dt.date(2024, 1, 8))
     head = sample_head(lines, 3).collect()
     assert [r.order_id for r in head] == [None, "1001", "1001"]
+
+
+def test_to_day_keeps_local_date_part(spark):
+    from daybook.functions import to_day
+
+    texts = ["2024-01-01", "2024-01-01 23:30:00", "2024-01-01T23:30:00-05:00", "2024-01-01T00:15:00+09:00", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(to_day("t").alias("d"))
+    assert [r.d for r in df.collect()] == [dt.date(2024, 1, 1)] * 4 + [None]
+
+
+def test_to_day_rejects_garbage(spark):
+    import pytest
+
+    from daybook.functions import to_day
+
+    df = spark.createDataFrame([("not a date",)], "t string").select(to_day("t").alias("d"))
+    with pytest.raises(Exception):
+        df.collect()
+
+
+def test_line_items_from_catalog_table(spark, scratch):
+    import uuid
+
+    from daybook.sources import line_items_from_table
+
+    name = f"li_{uuid.uuid4().hex[:8]}"
+    path = scratch("cat") + "/lines.parquet"
+    text_lines(spark, GOLDEN_LINES).write.parquet(path)
+    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+    try:
+        lines = line_items_from_table(spark, name)
+        assert lines.columns == ["order_id", "email", "order_date", "quantity", "price"]
+        assert lines.count() == len(GOLDEN_LINES)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_yesterday_uses_session_time_zone(spark):
+    from zoneinfo import ZoneInfo
+
+    from daybook.plans import yesterday
+
+    tz = spark.conf.get("spark.sql.session.timeZone")
+    expected = dt.datetime.now(ZoneInfo(tz)).date() - dt.timedelta(days=1)
+    assert yesterday(spark) in (expected, expected + dt.timedelta(days=1))
