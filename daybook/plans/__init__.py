@@ -1,5 +1,19 @@
 """Composite jobs (backfill, daily, table creation) and their command line."""
 
-from daybook.plans.jobs import create_table, refresh_dimension, run_backfill, run_daily, yesterday
+from daybook.plans.jobs import (
+    create_table,
+    merge_dimension,
+    refresh_dimension,
+    run_backfill,
+    run_daily,
+    yesterday,
+)
 
-__all__ = ["create_table", "refresh_dimension", "run_backfill", "run_daily", "yesterday"]
+__all__ = [
+    "create_table",
+    "merge_dimension",
+    "refresh_dimension",
+    "run_backfill",
+    "run_daily",
+    "yesterday",
+]

@@ -19,6 +19,7 @@ from daybook.operators.daily_stats import daily_stats, daily_stats_for_day
 from daybook.operators.dimension import (
     build_first_order_dimension,
     daily_stats_for_day_from_dimension,
+    merge_first_order_dimension,
     read_dimension,
     write_dimension,
 )
@@ -94,3 +95,15 @@ def refresh_dimension(lines: DataFrame, location: str) -> None:
     daily job at the newest folder.
     """
     write_dimension(build_first_order_dimension(lines), location)
+
+
+def merge_dimension(
+    spark: SparkSession, new_lines: DataFrame, old_location: str, new_location: str
+) -> None:
+    """Write a new dimension version: ``old`` folded with ``new_lines``.
+
+    Typically ``new_lines`` are the lines loaded since the previous version
+    (late lines included); the result covers both.
+    """
+    merged = merge_first_order_dimension(read_dimension(spark, old_location), new_lines)
+    write_dimension(merged, new_location)

@@ -152,3 +152,22 @@ def test_cli_backfill_and_daily_end_to_end(spark, scratch):
         assert _rows(spark.table(table)) == GOLDEN_EXPECTED
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def test_daily_dimension_versions_roll_forward(spark, scratch):
+    from daybook.plans import merge_dimension, refresh_dimension
+
+    lines = text_lines(spark, GOLDEN_LINES)
+    early = lines.where(F.col("order_date") <= "2024-01-03")
+    later = lines.where(F.col("order_date") > "2024-01-03")
+    v1, v2 = scratch("v1"), scratch("v2")
+    refresh_dimension(early, v1)
+    merge_dimension(spark, later, v1, v2)
+    loc, table = scratch("roll"), _table()
+    create_daily_stats_table(spark, table, loc)
+    try:
+        for d in range(1, 9):
+            run_daily(spark, lines, table, dt.date(2024, 1, d), dimension_location=v2)
+        assert _rows(spark.table(table)) == GOLDEN_EXPECTED
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
