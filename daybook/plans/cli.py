@@ -7,6 +7,11 @@
 
 ``SRC`` is a catalog table name or a parquet folder with the line-item
 columns (order_id, email, order_date, quantity, price).
+
+``--shuffle-partitions N`` sets ``spark.sql.shuffle.partitions``. Size it to
+the input: about one partition per 128 MB of line-item data read. AQE merges
+partitions that turn out small but cannot split large ones (except skewed
+join partitions), so err on the high side.
 """
 
 from __future__ import annotations
@@ -20,6 +25,7 @@ from daybook.sources import line_items_from_table
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="daybook")
+    parser.add_argument("--shuffle-partitions", type=int, default=None)
     sub = parser.add_subparsers(dest="command", required=True)
 
     p_create = sub.add_parser("create", help="create the partitioned statistics table")
@@ -42,7 +48,9 @@ def main(argv: list[str] | None = None) -> None:
     p_dim.add_argument("--location", required=True)
 
     args = parser.parse_args(argv)
-    spark = build_session()
+    spark = build_session(shuffle_partitions=args.shuffle_partitions)
+    if args.shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(args.shuffle_partitions))
     if args.command == "create":
         create_table(spark, args.table, args.location)
     elif args.command == "backfill":

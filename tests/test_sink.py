@@ -147,7 +147,10 @@ def test_cli_backfill_and_daily_end_to_end(spark, scratch):
     table = _table()
     try:
         main(["create", "--table", table, "--location", loc])
-        main(["backfill", "--source", src, "--location", loc, "--table", table])
+        old = spark.conf.get("spark.sql.shuffle.partitions")
+        main(["--shuffle-partitions", "16", "backfill", "--source", src, "--location", loc, "--table", table])
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "16"
+        spark.conf.set("spark.sql.shuffle.partitions", old)
         main(["daily", "--source", src, "--table", table, "--date", "2024-01-03"])
         assert _rows(spark.table(table)) == GOLDEN_EXPECTED
     finally:
