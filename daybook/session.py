@@ -30,6 +30,9 @@ SCALE_CONF = {
     # a bounded task count keeps each task listing a useful batch of folders.
     "spark.sql.sources.parallelPartitionDiscovery.parallelism": "128",
     "spark.ui.showConsoleProgress": "false",
+    # Checkpoint files (the single-day job checkpoints one day of customer
+    # rows) are removed once the checkpointed data is no longer referenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
 
