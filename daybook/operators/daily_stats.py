@@ -35,14 +35,22 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.functions import safe_ratio, units_to_double
+from daybook.functions import revenue_units, safe_ratio, units_to_double
 from daybook.operators.first_order import (
     DAY_REVENUE,
     customer_days,
     flag_against_prior,
     flag_first_days,
 )
-from daybook.schema import DAILY_STATS_COLUMNS, EMAIL, FIRST_ORDER_FL, ORDER_DATE, ORDER_ID
+from daybook.schema import (
+    DAILY_STATS_COLUMNS,
+    EMAIL,
+    FIRST_ORDER_FL,
+    ORDER_DATE,
+    ORDER_ID,
+    PRICE,
+    QUANTITY,
+)
 from daybook.session import checkpoint_dir
 
 _REVENUE = "_revenue"
@@ -101,10 +109,44 @@ def _assemble(segments: DataFrame, orders: DataFrame) -> DataFrame:
     return joined.select(*[out[name].alias(name) for name in DAILY_STATS_COLUMNS])
 
 
-def daily_stats(lines: DataFrame) -> DataFrame:
-    """Full-history statistics: one row per day that has a dated line."""
-    flagged = flag_first_days(customer_days(lines))
-    return _assemble(segment_totals(flagged), orders_per_day(lines))
+def daily_stats(lines: DataFrame, share_source: bool = False) -> DataFrame:
+    """Full-history statistics: one row per day that has a dated line.
+
+    ``share_source=False`` (default) builds the customer branch and the
+    order-count branch each from ``lines``; for a parquet line table the
+    second read is a pruned scan of ``order_date`` and ``order_id``, cheaper
+    than any shuffle. ``share_source=True`` reads ``lines`` once: both
+    branches start from one aggregate at (day, customer, order) grain whose
+    shuffle Spark reuses, at the price of one more shuffle of order-grain
+    rows. Use it when producing ``lines`` is expensive (a join, text files).
+    """
+    if not share_source:
+        flagged = flag_first_days(customer_days(lines))
+        return _assemble(segment_totals(flagged), orders_per_day(lines))
+    orders_grain = order_grain(lines)
+    days = orders_grain.groupBy(ORDER_DATE, EMAIL).agg(F.sum(_ORDER_UNITS).alias(DAY_REVENUE))
+    segments = segment_totals(flag_first_days(days)).drop(_REVENUE)
+    # Revenue is taken from this branch so that both branches read every
+    # column of ``orders_grain``: the two aggregates then stay identical and
+    # their exchange is reused instead of recomputing ``lines``.
+    per_order = orders_grain.groupBy(ORDER_DATE, ORDER_ID).agg(F.sum(_ORDER_UNITS).alias(_ORDER_UNITS))
+    orders = per_order.groupBy(ORDER_DATE).agg(
+        F.count(ORDER_ID).alias("total_order_count"),
+        _zero_if_null(F.sum(_ORDER_UNITS)).alias(_REVENUE),
+    )
+    return _assemble(segments, orders)
+
+
+_ORDER_UNITS = "order_revenue_units"
+
+
+def order_grain(lines: DataFrame) -> DataFrame:
+    """Dated lines reduced to one row per (day, customer, order) with revenue."""
+    return (
+        lines.where(F.col(ORDER_DATE).isNotNull())
+        .groupBy(ORDER_DATE, EMAIL, ORDER_ID)
+        .agg(F.sum(revenue_units(QUANTITY, PRICE)).alias(_ORDER_UNITS))
+    )
 
 
 def as_date(day: str | dt.date | Column) -> Column:
@@ -140,21 +182,15 @@ def day_customers(todays_lines: DataFrame) -> DataFrame:
     return customer_days(todays_lines).checkpoint(eager=True)
 
 
-def daily_totals(lines: DataFrame) -> DataFrame:
+def daily_totals(lines: DataFrame, share_source: bool = False) -> DataFrame:
     """order_date, total_product_revenue, total_order_count,
-    total_customer_count, daily_aov."""
-    days = customer_days(lines)
-    totals = days.groupBy(ORDER_DATE).agg(
-        units_to_double(_zero_if_null(F.sum(DAY_REVENUE))).alias("total_product_revenue"),
-        F.count(EMAIL).alias("total_customer_count"),
-    )
-    joined = totals.join(orders_per_day(lines), on=ORDER_DATE, how="left")
-    return joined.select(
-        ORDER_DATE,
-        "total_product_revenue",
-        "total_order_count",
-        "total_customer_count",
-        safe_ratio("total_product_revenue", "total_order_count").alias("daily_aov"),
+    total_customer_count, daily_aov.
+
+    A projection of ``daily_stats``: Catalyst prunes the segment aggregates
+    and the first-order window, which these columns do not need.
+    """
+    return daily_stats(lines, share_source).select(
+        ORDER_DATE, "total_product_revenue", "total_order_count", "total_customer_count", "daily_aov"
     )
 
 

@@ -49,14 +49,16 @@ def run_backfill(
     location: str,
     table: str | None = None,
     fmt: str = "csv",
+    share_source: bool = False,
 ) -> None:
     """Recompute every day from full history and publish it.
 
     One job, one dynamic-overwrite write: days absent from the result are
     untouched, days present are replaced. With ``table`` the partitions are
-    then recovered in a single catalog call.
+    then recovered in a single catalog call. ``share_source`` is passed to
+    ``daily_stats`` (set it when ``lines`` is itself a join or text files).
     """
-    write_daily_stats(daily_stats(lines), location, fmt)
+    write_daily_stats(daily_stats(lines, share_source), location, fmt)
     if table:
         recover_partitions(spark, table)
 

@@ -110,3 +110,14 @@ def test_broadcast_limit_parsing(spark):
             assert broadcast_limit_bytes(spark) == want
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_shared_source_backfill_reads_lines_once(spark):
+    lines = line_items_from_tpch(spark, SF001)
+    df = daily_stats(lines, share_source=True)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
+    # One scan of each adapter table (lineitem, orders, part) instead of two.
+    assert final.count("FileScan parquet") == 3
+    assert "Expand" not in final and "CartesianProduct" not in final

@@ -84,8 +84,9 @@ def _frame(spark, rows):
 def test_daily_stats_matches_brute_force(spark, rows, pick):
     expected = model(rows)
     lines = _frame(spark, rows)
-    got = {r[0]: tuple(r) for r in daily_stats(lines).collect()}
-    assert got == expected
+    for shared in (False, True):
+        got = {r[0]: tuple(r) for r in daily_stats(lines, share_source=shared).collect()}
+        assert got == expected
     day = D0 + dt.timedelta(days=pick)
     one = [tuple(r) for r in daily_stats_for_day(lines, day).collect()]
     assert one == ([expected[day]] if day in expected else [])
