@@ -1,7 +1,7 @@
 """Command line for spark-submit.
 
     spark-submit -m daybook.plans.cli create   --table T --location L
-    spark-submit -m daybook.plans.cli backfill --source SRC --location L [--table T]
+    spark-submit -m daybook.plans.cli backfill --source SRC --location L [--table T] [--share-source]
     spark-submit -m daybook.plans.cli daily    --source SRC --table T [--date YYYY-MM-DD] [--dimension D]
     spark-submit -m daybook.plans.cli dimension --source SRC --location D
 
@@ -36,6 +36,11 @@ def main(argv: list[str] | None = None) -> None:
     p_back.add_argument("--source", required=True)
     p_back.add_argument("--location", required=True)
     p_back.add_argument("--table")
+    p_back.add_argument(
+        "--share-source",
+        action="store_true",
+        help="read the source once (for sources that are views over joins or text files)",
+    )
 
     p_daily = sub.add_parser("daily", help="publish one day (default yesterday)")
     p_daily.add_argument("--source", required=True)
@@ -54,7 +59,13 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "create":
         create_table(spark, args.table, args.location)
     elif args.command == "backfill":
-        run_backfill(spark, line_items_from_table(spark, args.source), args.location, args.table)
+        run_backfill(
+            spark,
+            line_items_from_table(spark, args.source),
+            args.location,
+            args.table,
+            share_source=args.share_source,
+        )
     elif args.command == "dimension":
         refresh_dimension(line_items_from_table(spark, args.source), args.location)
     else:

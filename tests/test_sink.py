@@ -148,7 +148,7 @@ def test_cli_backfill_and_daily_end_to_end(spark, scratch):
     try:
         main(["create", "--table", table, "--location", loc])
         old = spark.conf.get("spark.sql.shuffle.partitions")
-        main(["--shuffle-partitions", "16", "backfill", "--source", src, "--location", loc, "--table", table])
+        main(["--shuffle-partitions", "16", "backfill", "--source", src, "--location", loc, "--table", table, "--share-source"])
         assert spark.conf.get("spark.sql.shuffle.partitions") == "16"
         spark.conf.set("spark.sql.shuffle.partitions", old)
         main(["daily", "--source", src, "--table", table, "--date", "2024-01-03"])
