@@ -90,3 +90,31 @@ def test_daily_stats_matches_brute_force(spark, rows, pick):
     day = D0 + dt.timedelta(days=pick)
     one = [tuple(r) for r in daily_stats_for_day(lines, day).collect()]
     assert one == ([expected[day]] if day in expected else [])
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(line, min_size=1, max_size=25))
+def test_line_enrichment_matches_brute_force(spark, rows):
+    from daybook.operators import enrich_line_items
+
+    first = {}
+    for _, e, d, _, _ in rows:
+        if e is not None and d is not None:
+            first[e] = min(first.get(e, d), d)
+    expected = [
+        (
+            o,
+            e,
+            d,
+            None if e is None else first.get(e),
+            1 if e is not None and d is not None and first.get(e) == d else 0,
+            None if (e is None or d is None or e not in first) else (d - first[e]).days,
+        )
+        for o, e, d, _, _ in rows
+    ]
+    out = enrich_line_items(_frame(spark, rows)).select(
+        "order_id", "email", "order_date", "first_order_date", "first_order_fl", "age"
+    )
+    got = [tuple(r) for r in out.collect()]
+    key = lambda t: tuple((x is None, x) for x in t)
+    assert sorted(got, key=key) == sorted(expected, key=key)
