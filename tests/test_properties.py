@@ -90,6 +90,14 @@ def test_daily_stats_matches_brute_force(spark, rows, pick):
     day = D0 + dt.timedelta(days=pick)
     one = [tuple(r) for r in daily_stats_for_day(lines, day).collect()]
     assert one == ([expected[day]] if day in expected else [])
+    from daybook.operators.dimension import (
+        build_first_order_dimension,
+        daily_stats_for_day_from_dimension,
+    )
+
+    dim = build_first_order_dimension(lines)
+    via_dim = [tuple(r) for r in daily_stats_for_day_from_dimension(lines, dim, day).collect()]
+    assert via_dim == one
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
