@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -126,7 +127,7 @@ def overwrite_day(spark: SparkSession, table: str, stats: DataFrame, day: str |
     is emptied and stays registered, instead of keeping stale rows.
     """
     lit = _day_literal(day)
-    view = f"_daybook_day_{lit.replace('-', '_')}"
+    view = f"_daybook_day_{lit.replace('-', '_')}_{uuid.uuid4().hex[:8]}"
     stats.where(F.col(ORDER_DATE) == F.lit(dt.date.fromisoformat(lit))).select(
         *DAILY_STATS_COLUMNS
     ).createOrReplaceTempView(view)
