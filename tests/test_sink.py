@@ -174,3 +174,18 @@ def test_daily_dimension_versions_roll_forward(spark, scratch):
         assert _rows(spark.table(table)) == GOLDEN_EXPECTED
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def test_parquet_table_format(spark, scratch):
+    loc = scratch("pq")
+    table = _table()
+    lines = text_lines(spark, GOLDEN_LINES)
+    create_daily_stats_table(spark, table, loc, fmt="parquet")
+    try:
+        run_backfill(spark, lines, loc, table, fmt="parquet")
+        assert _rows(spark.table(table)) == GOLDEN_EXPECTED
+        back = spark.read.parquet(loc)
+        assert _rows(back) == GOLDEN_EXPECTED
+        assert back.where(F.col("partition_date") != F.col("order_date")).count() == 0
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
