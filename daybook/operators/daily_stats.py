@@ -157,7 +157,9 @@ def as_date(day: str | dt.date | Column) -> Column:
     return F.lit(day if isinstance(day, dt.date) else dt.date.fromisoformat(str(day)))
 
 
-def daily_stats_for_day(lines: DataFrame, day: str | dt.date | Column) -> DataFrame:
+def daily_stats_for_day(
+    lines: DataFrame, day: str | dt.date | Column, broadcast_limit_bytes: int | None = None
+) -> DataFrame:
     """Statistics of a single day, equal to that day's row of ``daily_stats``.
 
     The day's lines are read once, reduced to (customer, order) grain and
@@ -168,7 +170,7 @@ def daily_stats_for_day(lines: DataFrame, day: str | dt.date | Column) -> DataFr
     """
     d0 = as_date(day)
     todays = day_orders(lines.where(F.col(ORDER_DATE) == d0))
-    flagged = flag_against_prior(customers_of_day(todays), lines, d0)
+    flagged = flag_against_prior(customers_of_day(todays), lines, d0, broadcast_limit_bytes)
     return _assemble(segment_totals(flagged), orders_of_day(todays))
 
 

@@ -70,7 +70,9 @@ def read_dimension(spark: SparkSession, location: str) -> DataFrame:
     return spark.read.schema(DIMENSION_SCHEMA).parquet(location)
 
 
-def daily_stats_for_day_from_dimension(lines: DataFrame, dimension: DataFrame, day) -> DataFrame:
+def daily_stats_for_day_from_dimension(
+    lines: DataFrame, dimension: DataFrame, day, broadcast_limit_bytes: int | None = None
+) -> DataFrame:
     """Single-day statistics using the dimension instead of the line history.
 
     Equal to ``daily_stats_for_day(lines, day)`` whenever ``dimension``
@@ -80,5 +82,5 @@ def daily_stats_for_day_from_dimension(lines: DataFrame, dimension: DataFrame, d
     d0 = as_date(day)
     todays = day_orders(lines.where(F.col(ORDER_DATE) == d0))
     earlier = dimension.where(F.col(FIRST_ORDER_DATE) < d0).select(EMAIL)
-    flagged = flag_against_seen(customers_of_day(todays), earlier)
+    flagged = flag_against_seen(customers_of_day(todays), earlier, broadcast_limit_bytes)
     return _assemble(segment_totals(flagged), orders_of_day(todays))

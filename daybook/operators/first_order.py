@@ -148,14 +148,15 @@ def broadcast_limit_bytes(spark) -> int:
     return int(raw)
 
 
-def customer_keys_fit_broadcast(keys: DataFrame) -> bool:
+def customer_keys_fit_broadcast(keys: DataFrame, limit: int | None = None) -> bool:
     """Measure a one-column email frame and compare it with the threshold.
 
     One small aggregate job (row count and total key length); callers use it
     on data that is already materialised (checkpointed), so it rereads only
     that data.
     """
-    limit = broadcast_limit_bytes(keys.sparkSession)
+    if limit is None:
+        limit = broadcast_limit_bytes(keys.sparkSession)
     if limit <= 0:
         return False
     row = keys.agg(
@@ -164,7 +165,9 @@ def customer_keys_fit_broadcast(keys: DataFrame) -> bool:
     return row["n"] * _KEY_ROW_OVERHEAD + row["chars"] <= limit
 
 
-def flag_against_seen(days: DataFrame, earlier: DataFrame) -> DataFrame:
+def flag_against_seen(
+    days: DataFrame, earlier: DataFrame, broadcast_limit_bytes: int | None = None
+) -> DataFrame:
     """Flag one day's ``customer_days`` rows given customers seen earlier.
 
     ``earlier`` holds an ``email`` column of customers with a line before the
@@ -177,11 +180,13 @@ def flag_against_seen(days: DataFrame, earlier: DataFrame) -> DataFrame:
     already have run before the join is converted.) A larger set stays a
     shuffle semi-join, where Spark's runtime bloom filter prunes ``earlier``.
     ``days`` should be derived from materialised data (see ``day_orders``) so
-    the size check does not recompute the day's lines.
+    the size check does not recompute the day's lines. ``broadcast_limit_bytes``
+    overrides the session's broadcast threshold for this join only (keys are
+    cheap to broadcast next to a history shuffle; a larger cap is reasonable).
     """
     email = F.col(EMAIL)
     todays = days.where(email.isNotNull()).select(EMAIL)
-    if customer_keys_fit_broadcast(todays):
+    if customer_keys_fit_broadcast(todays, broadcast_limit_bytes):
         todays = F.broadcast(todays)
     seen = (
         earlier.where(email.isNotNull())
@@ -195,11 +200,13 @@ def flag_against_seen(days: DataFrame, earlier: DataFrame) -> DataFrame:
     return flagged.select(*days.columns, fl.alias(FIRST_ORDER_FL))
 
 
-def flag_against_prior(days: DataFrame, lines: DataFrame, day) -> DataFrame:
+def flag_against_prior(
+    days: DataFrame, lines: DataFrame, day, broadcast_limit_bytes: int | None = None
+) -> DataFrame:
     """Flag one day's ``customer_days`` rows without a full-history shuffle.
 
     A customer is new on ``day`` exactly when no line of theirs is dated
     earlier. History is filtered to earlier days (pushed to the scan) and
     checked against the day's customers with ``flag_against_seen``.
     """
-    return flag_against_seen(days, lines.where(F.col(ORDER_DATE) < day))
+    return flag_against_seen(days, lines.where(F.col(ORDER_DATE) < day), broadcast_limit_bytes)

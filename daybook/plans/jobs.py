@@ -69,6 +69,7 @@ def run_daily(
     table: str,
     as_of_date: str | dt.date | None = None,
     dimension_location: str | None = None,
+    broadcast_limit_bytes: int | None = None,
 ) -> dt.date:
     """Publish one day (default: yesterday) into ``table``.
 
@@ -77,14 +78,17 @@ def run_daily(
     through the persisted first-order dimension (which must cover every line
     dated before the day, see ``refresh_dimension``). The day's partition is
     replaced even when the day has no lines, and registered if new.
+    ``broadcast_limit_bytes`` caps the broadcast of the day's customers (the
+    session's broadcast threshold by default).
     """
     day = as_of_date or yesterday(spark)
     if isinstance(day, str):
         day = dt.date.fromisoformat(day)
     if dimension_location:
-        stats = daily_stats_for_day_from_dimension(lines, read_dimension(spark, dimension_location), day)
+        dim = read_dimension(spark, dimension_location)
+        stats = daily_stats_for_day_from_dimension(lines, dim, day, broadcast_limit_bytes)
     else:
-        stats = daily_stats_for_day(lines, day)
+        stats = daily_stats_for_day(lines, day, broadcast_limit_bytes)
     overwrite_day(spark, table, stats, day)
     register_partition(spark, table, day)
     return day

@@ -130,3 +130,18 @@ def test_shared_source_backfill_reads_lines_once(spark):
     # One scan of each adapter table (lineitem, orders, part) instead of two.
     assert final.count("FileScan parquet") == 3
     assert "Expand" not in final and "CartesianProduct" not in final
+
+
+def test_daily_job_explicit_broadcast_cap(spark):
+    from fixtures import GOLDEN_EXPECTED
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = text_lines(spark, GOLDEN_LINES)
+        df = daily_stats_for_day(lines, "2024-01-04", broadcast_limit_bytes=64 << 20)
+        semi = [ln for ln in _initial(df).splitlines() if "LeftSemi" in ln]
+        assert semi and all("BroadcastHashJoin" in ln for ln in semi)
+        assert [tuple(r) for r in df.collect()] == [r for r in GOLDEN_EXPECTED if str(r[0]) == "2024-01-04"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
