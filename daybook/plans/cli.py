@@ -2,7 +2,7 @@
 
     spark-submit -m daybook.plans.cli create   --table T --location L
     spark-submit -m daybook.plans.cli backfill --source SRC --location L [--table T] [--share-source]
-    spark-submit -m daybook.plans.cli daily    --source SRC --table T [--date YYYY-MM-DD] [--dimension D]
+    spark-submit -m daybook.plans.cli daily    --source SRC --table T [--date YYYY-MM-DD] [--dimension D] [--broadcast-limit-mb N]
     spark-submit -m daybook.plans.cli dimension --source SRC --location D
 
 ``SRC`` is a catalog table name or a parquet folder with the line-item
@@ -47,6 +47,11 @@ def main(argv: list[str] | None = None) -> None:
     p_daily.add_argument("--table", required=True)
     p_daily.add_argument("--date")
     p_daily.add_argument("--dimension", help="folder of a persisted first-order dimension")
+    p_daily.add_argument(
+        "--broadcast-limit-mb",
+        type=int,
+        help="cap for broadcasting the day's customers (default: session threshold)",
+    )
 
     p_dim = sub.add_parser("dimension", help="rebuild the first-order dimension into a new folder")
     p_dim.add_argument("--source", required=True)
@@ -69,8 +74,14 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "dimension":
         refresh_dimension(line_items_from_table(spark, args.source), args.location)
     else:
+        limit = args.broadcast_limit_mb << 20 if args.broadcast_limit_mb else None
         run_daily(
-            spark, line_items_from_table(spark, args.source), args.table, args.date, args.dimension
+            spark,
+            line_items_from_table(spark, args.source),
+            args.table,
+            args.date,
+            args.dimension,
+            broadcast_limit_bytes=limit,
         )
 
 

@@ -151,7 +151,7 @@ def test_cli_backfill_and_daily_end_to_end(spark, scratch):
         main(["--shuffle-partitions", "16", "backfill", "--source", src, "--location", loc, "--table", table, "--share-source"])
         assert spark.conf.get("spark.sql.shuffle.partitions") == "16"
         spark.conf.set("spark.sql.shuffle.partitions", old)
-        main(["daily", "--source", src, "--table", table, "--date", "2024-01-03"])
+        main(["daily", "--source", src, "--table", table, "--date", "2024-01-03", "--broadcast-limit-mb", "64"])
         assert _rows(spark.table(table)) == GOLDEN_EXPECTED
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
