@@ -37,6 +37,14 @@ from daybook.schema import ORDER_DATE, PRICE, PRODUCT_REV, QUANTITY
 from daybook.session import scratch_location
 from daybook.sources import line_items_from_csv, line_items_from_tpch
 
+try:  # the training-data operators are optional
+    import corpus_pipeline
+    from daybook.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "daybook.llm", "daybook.llm.queries"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 FLAGSHIP_SF_DIR = "/root/testdata/sf0.001"
 
 # Fixed value: a day with both new and repeat customers at sf0.01.
@@ -244,7 +252,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    found = dict(_QUERIES)
+    if llm_queries is not None:
+        found |= llm_queries.QUERIES
+        found["pipeline"] = corpus_pipeline.run
+    return found
 
 
 # ---------------------------------------------------------------------------
@@ -336,6 +348,11 @@ def _column_profile_sql() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    own = _own_oracle_sql()
+    return own | llm_queries.ORACLE_SQL if llm_queries is not None else own
+
+
+def _own_oracle_sql() -> dict[str, str]:
     day = SAMPLE_DAY.isoformat()
     with_partition = f"SELECT {STATS_COLS}, order_date AS partition_date FROM stats"
     return {
