@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.llm.decontaminate import find_leaks
+from daybook.llm.piece_encoding import encode_texts
 from daybook.llm.ring_sharding import shard_rows
 from daybook.llm.url_filter import filter_urls
 
@@ -17,10 +19,34 @@ URL_RULES = """SELECT * FROM VALUES
 SHARDS = 24
 
 
+PIECE_MODEL = "piece_bpe_32k.model"
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str = PIECE_MODEL) -> bytes:
+    """A public vocabulary file's content; read on the driver, shipped to the tasks."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as f:
+        return f.read()
+
+
+def op1_decontamination(spark, sf_dir):
+    """Every document's words inside benchmark windows, and the items."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return find_leaks(docs, _table(spark, sf_dir, "benchmark")).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op3_ring_sharding(spark, sf_dir):
     """Every document's shard and slot on the bounded ring."""
     rows = _table(spark, sf_dir, "documents").select(
@@ -46,12 +72,51 @@ def op4_url_filter(spark, sf_dir):
     return filter_urls(pages, spark.sql(URL_RULES)).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_piece_encoding(spark, sf_dir):
+    """Every document's ids and what they decode to, as digests."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encode_texts(docs, tokenizer_file()).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("piece_ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op3_ring_sharding": op3_ring_sharding,
     "op4_url_filter": op4_url_filter,
+    "op7_piece_encoding": op7_piece_encoding,
 }
 
 ORACLE_SQL = {
+    "op1_decontamination": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents),
+        i AS (
+            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM benchmark),
+        iw AS (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 8, 2))) AS p
+               FROM i WHERE len(w) > 0),
+        win AS (SELECT DISTINCT item_id, n, array_to_string(w[p : p + n - 1], ' ') AS key FROM iw),
+        sizes AS (SELECT DISTINCT n FROM win),
+        dp AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d),
+        dw AS (SELECT doc_id, p, n, array_to_string(w[p : p + n - 1], ' ') AS key
+               FROM dp, sizes WHERE p + n - 1 <= len(w)),
+        hit AS (SELECT doc_id, p, n, item_id FROM dw JOIN win USING (n, key)),
+        covered AS (SELECT doc_id, count(DISTINCT q) AS n_hit
+                    FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM (SELECT DISTINCT doc_id, p, n FROM hit))
+                    GROUP BY doc_id),
+        listed AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+                   FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM hit) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+               coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)""",
     "op4_url_filter": r"""
         WITH u AS (
             SELECT page_id,
