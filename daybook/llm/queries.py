@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from daybook.llm.decontaminate import find_leaks
 from daybook.llm.piece_encoding import encode_texts
 from daybook.llm.ring_sharding import shard_rows
+from daybook.llm.simhash_dedup import near_groups
+from daybook.llm.topk_search import top_products
+from daybook.llm.toxicity import score_texts, train
 from daybook.llm.url_filter import filter_urls
 
 #: The rules that the URL query applies.
@@ -47,6 +50,23 @@ def op1_decontamination(spark, sf_dir):
     )
 
 
+def training_labels(spark, sf_dir):
+    """The rows of ``labels`` that may be learned from."""
+    return _table(spark, sf_dir, "labels").where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
+
+
+def op2_toxicity(spark, sf_dir):
+    """Every document's toxicity score."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, training_labels(spark, sf_dir))
+    return score_texts(docs, model).select(
+        "doc_id",
+        (F.crc32(F.col("doc_id").cast("string")) % 5 == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op3_ring_sharding(spark, sf_dir):
     """Every document's shard and slot on the bounded ring."""
     rows = _table(spark, sf_dir, "documents").select(
@@ -72,6 +92,14 @@ def op4_url_filter(spark, sf_dir):
     return filter_urls(pages, spark.sql(URL_RULES)).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_simhash_dedup(spark, sf_dir):
+    """Every document's fingerprint and component."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_groups(docs).select(
+        "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
 def op7_piece_encoding(spark, sf_dir):
     """Every document's ids and what they decode to, as digests."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -83,11 +111,20 @@ def op7_piece_encoding(spark, sf_dir):
     )
 
 
+def op9_topk_search(spark, sf_dir):
+    """The five best candidates of every fiftieth vector."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return top_products(vectors, F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_toxicity": op2_toxicity,
     "op3_ring_sharding": op3_ring_sharding,
     "op4_url_filter": op4_url_filter,
+    "op5_simhash_dedup": op5_simhash_dedup,
     "op7_piece_encoding": op7_piece_encoding,
+    "op9_topk_search": op9_topk_search,
 }
 
 ORACLE_SQL = {
@@ -135,4 +172,16 @@ ORACLE_SQL = {
                     WHEN org_fr THEN 'org/fr/' WHEN net THEN 'net/' END AS rule,
                CASE WHEN net_en OR org_fr THEN 'allow' WHEN com_de OR net THEN 'block' ELSE 'allow' END AS verdict
         FROM m""",
+    "op9_topk_search": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+        r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+              FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
 }
