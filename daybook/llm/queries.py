@@ -9,6 +9,7 @@ from daybook.llm.decontaminate import find_leaks
 from daybook.llm.piece_encoding import encode_texts
 from daybook.llm.ring_sharding import shard_rows
 from daybook.llm.simhash_dedup import near_groups
+from daybook.llm.substring_dedup import without_repeats
 from daybook.llm.topk_search import top_products
 from daybook.llm.toxicity import score_texts, train
 from daybook.llm.url_filter import filter_urls
@@ -111,6 +112,19 @@ def op7_piece_encoding(spark, sf_dir):
     )
 
 
+def op8_substring_dedup(spark, sf_dir):
+    """Every document's repeated bytes and a digest of the others."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    span_bytes = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return without_repeats(docs).select(
+        "doc_id",
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+        span_bytes.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op9_topk_search(spark, sf_dir):
     """The five best candidates of every fiftieth vector."""
     vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
@@ -124,6 +138,7 @@ QUERIES = {
     "op4_url_filter": op4_url_filter,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op7_piece_encoding": op7_piece_encoding,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_topk_search": op9_topk_search,
 }
 
