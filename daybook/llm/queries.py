@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.llm.decontaminate import find_leaks
+from daybook.llm.language_id import label_languages
+from daybook.llm.language_id import train as train_languages
+from daybook.llm.page_text import main_texts
 from daybook.llm.piece_encoding import encode_texts
 from daybook.llm.ring_sharding import shard_rows
 from daybook.llm.simhash_dedup import near_groups
@@ -62,7 +65,7 @@ def op2_toxicity(spark, sf_dir):
     model = train(docs, training_labels(spark, sf_dir))
     return score_texts(docs, model).select(
         "doc_id",
-        (F.crc32(F.col("doc_id").cast("string")) % 5 == 0).alias("held_out"),
+        F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
@@ -101,6 +104,16 @@ def op5_simhash_dedup(spark, sf_dir):
     )
 
 
+def op6_language_id(spark, sf_dir):
+    """Every document's predicted language."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    net = train_languages(docs.where(~held_out))
+    return label_languages(docs.drop("lang"), net).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op7_piece_encoding(spark, sf_dir):
     """Every document's ids and what they decode to, as digests."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -131,15 +144,23 @@ def op9_topk_search(spark, sf_dir):
     return top_products(vectors, F.col("vec_id") % 50 == 0)
 
 
+def op10_page_text(spark, sf_dir):
+    """Every page's main text."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return main_texts(pages).select("page_id", "url", "text", "n_chars")
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
     "op3_ring_sharding": op3_ring_sharding,
     "op4_url_filter": op4_url_filter,
     "op5_simhash_dedup": op5_simhash_dedup,
+    "op6_language_id": op6_language_id,
     "op7_piece_encoding": op7_piece_encoding,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_topk_search": op9_topk_search,
+    "op10_page_text": op10_page_text,
 }
 
 ORACLE_SQL = {
