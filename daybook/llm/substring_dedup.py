@@ -276,16 +276,19 @@ def _merged(spans: list[dict] | None) -> list[tuple[int, int]]:
     return out
 
 
-def without_repeats(docs: DataFrame, text: str = "text", length: int = 400) -> DataFrame:
-    """``docs`` with ``removed`` (start and end of each run, in bytes) and ``kept`` (binary).
+def without_repeats(docs: DataFrame, text: str = "text", length: int = 400, decode: bool = False) -> DataFrame:
+    """``docs`` with ``removed`` (start and end of each run, in bytes) and ``kept``.
 
-    Columns of these names are replaced; the text column stays as it was.
+    ``kept`` is binary; with ``decode`` it is a string, without the bytes of
+    characters that a run has cut in two. Columns of these names are
+    replaced; the text column stays as it was.
     """
     docs = docs.drop(*(c for c in ("removed", "kept") if c != text))
     spans = repeated_spans(docs, text, length)
     joined = _keyed(docs, text).join(spans, list(KEY), "left").drop(*KEY)
     columns = [f for f in joined.schema if f.name not in ("_text", "spans")]
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    kept_kind = "string" if decode else "binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -296,8 +299,10 @@ def without_repeats(docs: DataFrame, text: str = "text", length: int = 400) -> D
                 edges = [0, *(x for span in own for x in span), len(raw)]
                 kept.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
             names = [f.name for f in columns]
-            added = [pa.array(runs, kind), pa.array(kept, pa.binary())]
+            if decode:
+                kept = [k.decode("utf-8", "ignore") for k in kept]
+            added = [pa.array(runs, kind), pa.array(kept, pa.string() if decode else pa.binary())]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *added], [*names, "removed", "kept"])
 
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in columns)
-    return joined.mapInArrow(run, f"{schema}removed array<struct<start:bigint,end:bigint>>, kept binary")
+    return joined.mapInArrow(run, f"{schema}removed array<struct<start:bigint,end:bigint>>, kept {kept_kind}")
