@@ -1,5 +1,8 @@
 """A corpus cleaning pipeline: stages over ``documents``, each an operator.
 
+Toxicity, SimHash near-dedup, repeated byte strings, benchmark leaks, and
+SentencePiece ids.
+
 Every stage reads what its predecessor wrote as Parquet below the session's
 shared checkpoint folder. All stages but the last return the columns of
 ``documents``.
@@ -9,9 +12,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from daybook.llm import stages
 from daybook.session import scratch_location
 
-STAGES = []
+STAGES = stages.STAGES
 
 #: SQL has no zstandard, no XXH64 and no tokenizer: tested against brute force.
 ORACLE_SQL = None
