@@ -6,8 +6,8 @@ reads the given parquet tables (through the line-item adapter) in full.
 views. Column names and types are aligned on both sides.
 
 Sink queries write below the session's ``spark.checkpoint.dir`` (a shared
-folder on a cluster), use a fresh folder and table name per call, and drop
-the table before returning.
+folder on a cluster) and use a fresh folder and table name per call. Their
+results are checkpointed, and table and folder are gone when they return.
 """
 
 from __future__ import annotations
@@ -31,11 +31,27 @@ from daybook.operators import (
     with_first_order,
 )
 from daybook.operators import dimension, quality
-from daybook.operators.sink import read_daily_stats, registered_partitions
+from daybook.operators.sink import (
+    drop_daily_stats_table,
+    overwrite_day,
+    read_daily_stats,
+    recover_partitions,
+    registered_partitions,
+)
 from daybook.plans import create_table, run_backfill, run_daily
-from daybook.schema import ORDER_DATE, PRICE, PRODUCT_REV, QUANTITY
-from daybook.session import scratch_location
-from daybook.sources import line_items_from_csv, line_items_from_tpch
+from daybook.schema import (
+    COUNT_COLUMNS,
+    DAILY_STATS_COLUMNS,
+    DAILY_STATS_SCHEMA,
+    ORDER_DATE,
+    ORDER_ID,
+    PARTITION_DATE,
+    PRICE,
+    PRODUCT_REV,
+    QUANTITY,
+)
+from daybook.session import checkpoint_dir, remove_location, scratch_location
+from daybook.sources import line_items_from_csv, line_items_from_table, line_items_from_tpch
 
 try:  # the training-data operators are optional
     import corpus_pipeline
@@ -49,6 +65,10 @@ FLAGSHIP_SF_DIR = "/root/testdata/sf0.001"
 
 # Fixed value: a day with both new and repeat customers at sf0.01.
 SAMPLE_DAY = dt.date(1995, 11, 30)
+# Days that the daily job publishes one by one, the last two at either end of the adapter's dates.
+PUBLISHED_DAYS = (SAMPLE_DAY, dt.date(1996, 2, 29), dt.date(1995, 1, 1), dt.date(2001, 8, 1))
+# Fixed value: every so manieth order has quantities that are not a number.
+NAN_EVERY = 97
 # Fixed value: where the history is cut to exercise the dimension merge.
 MERGE_CUT_DAY = dt.date(1998, 1, 1)
 
@@ -90,11 +110,11 @@ def q_first_order_by_customer(spark, sf_dir):
 
 
 def q_customer_first_order_join(spark, sf_dir):
-    return with_first_order(_li(spark, sf_dir))
+    return with_first_order(_li(spark, sf_dir), share_source=SHARED)
 
 
 def q_line_item_enriched(spark, sf_dir):
-    out = enrich_line_items(_li(spark, sf_dir))
+    out = enrich_line_items(_li(spark, sf_dir), share_source=SHARED)
     return out.withColumn(PRODUCT_REV, F.col(PRODUCT_REV).cast("double"))
 
 
@@ -118,6 +138,18 @@ def q_daily_stats_for_day(spark, sf_dir):
     return daily_stats_for_day(_li(spark, sf_dir), SAMPLE_DAY)
 
 
+def q_daily_stats_for_day_shuffle(spark, sf_dir):
+    """As ``daily_stats_for_day``, with the day's customers never broadcast."""
+    return daily_stats_for_day(_li(spark, sf_dir), SAMPLE_DAY, broadcast_limit_bytes=0)
+
+
+def q_daily_stats_dirty_numbers(spark, sf_dir):
+    """Quantities that are not a number count as missing."""
+    li = _li(spark, sf_dir)
+    broken = F.when(F.col(ORDER_ID) % NAN_EVERY == 0, F.lit(float("nan"))).otherwise(F.col(QUANTITY))
+    return daily_stats(li.withColumn(QUANTITY, broken), share_source=SHARED)
+
+
 def q_distinct_order_days(spark, sf_dir):
     return quality.distinct_days(_li(spark, sf_dir))
 
@@ -131,7 +163,11 @@ def q_dq_date_bounds(spark, sf_dir):
 
 
 def q_dq_rows_per_day(spark, sf_dir):
-    return quality.rows_per_day(daily_stats(_li(spark, sf_dir), share_source=SHARED))
+    """Rows of each day in the published files, after two backfills."""
+    location = scratch_location(spark, "rows")
+    for _ in range(2):
+        run_backfill(spark, _li(spark, sf_dir), location, share_source=SHARED)
+    return _kept(quality.rows_per_day(read_daily_stats(spark, location)), location)
 
 
 def q_dq_column_profile(spark, sf_dir):
@@ -146,53 +182,83 @@ def _table_name(label: str) -> str:
     return f"daybook_{label}_{uuid.uuid4().hex[:10]}"
 
 
+def _kept(df: DataFrame, location: str, table: str | None = None) -> DataFrame:
+    """The result, checkpointed; its table and folder are removed."""
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        if table:
+            drop_daily_stats_table(spark, table)
+        remove_location(spark, location)
+
+
 def q_daily_stats_csv_roundtrip(spark, sf_dir):
     """Backfill written as partitioned CSV, read back from the folder."""
     location = scratch_location(spark, "roundtrip")
     run_backfill(spark, _li(spark, sf_dir), location, share_source=SHARED)
-    return read_daily_stats(spark, location)
+    return _kept(read_daily_stats(spark, location), location)
 
 
 def q_partition_overwrite_idempotent(spark, sf_dir):
-    """Backfill twice, then the daily job twice for one day: same table."""
-    location = scratch_location(spark, "idempotent")
-    table = _table_name("idem")
+    """Backfill twice, empty one day, then the daily job twice for it: same table."""
+    location, table = scratch_location(spark, "idempotent"), _table_name("idem")
     li = _li(spark, sf_dir)
     create_table(spark, table, location)
-    try:
-        run_backfill(spark, li, location, table, share_source=SHARED)
-        run_backfill(spark, li, location, table, share_source=SHARED)
-        run_daily(spark, li, table, SAMPLE_DAY)
-        run_daily(spark, li, table, SAMPLE_DAY)
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-    return read_daily_stats(spark, location)
+    run_backfill(spark, li, table=table, share_source=SHARED)
+    run_backfill(spark, li, table=table, share_source=SHARED)
+    overwrite_day(spark, table, spark.createDataFrame([], DAILY_STATS_SCHEMA), SAMPLE_DAY)
+    run_daily(spark, li, table, SAMPLE_DAY)
+    run_daily(spark, li, table, SAMPLE_DAY)
+    return _kept(read_daily_stats(spark, location), location, table)
+
+
+def q_daily_publish(spark, sf_dir):
+    """What the daily job publishes, day by day, into an empty table."""
+    location, table = scratch_location(spark, "daily"), _table_name("daily")
+    create_table(spark, table, location)
+    for day in PUBLISHED_DAYS:
+        run_daily(spark, _li(spark, sf_dir), table, day)
+    return _kept(spark.table(table), location, table)
+
+
+def q_registered_partitions_daily(spark, sf_dir):
+    """Days that the daily job registered, whether they have lines or not."""
+    location, table = scratch_location(spark, "days"), _table_name("days")
+    create_table(spark, table, location)
+    for day in PUBLISHED_DAYS:
+        run_daily(spark, _li(spark, sf_dir), table, day)
+    return _kept(registered_partitions(spark, table), location, table)
 
 
 def q_registered_partitions(spark, sf_dir):
     """Days registered in the catalog after a backfill into a new table."""
-    location = scratch_location(spark, "partitions")
-    table = _table_name("parts")
+    location, table = scratch_location(spark, "partitions"), _table_name("parts")
     create_table(spark, table, location)
-    try:
-        run_backfill(spark, _li(spark, sf_dir), location, table, share_source=SHARED)
-        days = registered_partitions(spark, table).checkpoint(eager=True)
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-    return days
+    run_backfill(spark, _li(spark, sf_dir), table=table, share_source=SHARED)
+    return _kept(registered_partitions(spark, table), location, table)
 
 
 def q_daily_stats_table_schema(spark, sf_dir):
     """Backfill read back through the table created from the DDL."""
-    location = scratch_location(spark, "table")
-    table = _table_name("table")
+    location, table = scratch_location(spark, "table"), _table_name("table")
     create_table(spark, table, location)
-    try:
-        run_backfill(spark, _li(spark, sf_dir), location, table, share_source=SHARED)
-        out = spark.table(table).checkpoint(eager=True)
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-    return out
+    run_backfill(spark, _li(spark, sf_dir), table=table, share_source=SHARED)
+    return _kept(spark.table(table), location, table)
+
+
+def q_daily_stats_legacy_table(spark, sf_dir):
+    """Files of older writers (counts as ``3.0``, no orders as ``inf``) through the table."""
+    location, table = scratch_location(spark, "legacy"), _table_name("legacy")
+    stats = daily_stats(_li(spark, sf_dir), share_source=SHARED)
+    old = {c: F.col(c).cast("double").cast("string") for c in COUNT_COLUMNS}
+    old["daily_aov"] = F.when(F.col(ORDER_DATE) == F.lit(SAMPLE_DAY), F.lit("inf")).otherwise(F.col("daily_aov").cast("string"))
+    text = stats.withColumns(old).select(*DAILY_STATS_COLUMNS, F.col(ORDER_DATE).alias(PARTITION_DATE))
+    text.write.option("header", "true").partitionBy(PARTITION_DATE).csv(location)
+    create_table(spark, table, location)
+    recover_partitions(spark, table)
+    return _kept(spark.table(table), location, table)
 
 
 def q_first_order_dimension_merge(spark, sf_dir):
@@ -201,18 +267,19 @@ def q_first_order_dimension_merge(spark, sf_dir):
     li = _li(spark, sf_dir)
     day = F.col(ORDER_DATE)
     location = scratch_location(spark, "dim")
-    dimension.write_dimension(dimension.build_first_order_dimension(li.where(day < MERGE_CUT_DAY)), location)
+    old = dimension.build_first_order_dimension(li.where(day < MERGE_CUT_DAY))
+    dimension.write_dimension(old, location, MERGE_CUT_DAY - dt.timedelta(days=1))
     old = dimension.read_dimension(spark, location)
-    return dimension.merge_first_order_dimension(old, li.where(day >= MERGE_CUT_DAY))
+    return _kept(dimension.merge_first_order_dimension(old, li.where(day >= MERGE_CUT_DAY)), location)
 
 
 def q_daily_stats_for_day_dimension(spark, sf_dir):
     """Single-day statistics from a persisted first-order dimension."""
     li = _li(spark, sf_dir)
     location = scratch_location(spark, "dim")
-    dimension.write_dimension(dimension.build_first_order_dimension(li), location)
+    dimension.write_dimension(dimension.build_first_order_dimension(li), location, SAMPLE_DAY)
     dim = dimension.read_dimension(spark, location)
-    return dimension.daily_stats_for_day_from_dimension(li, dim, SAMPLE_DAY)
+    return _kept(dimension.daily_stats_for_day_from_dimension(li, dim, SAMPLE_DAY), location)
 
 
 def q_daily_stats_from_csv_source(spark, sf_dir):
@@ -220,7 +287,22 @@ def q_daily_stats_from_csv_source(spark, sf_dir):
     location = scratch_location(spark, "csv-lines")
     _li(spark, sf_dir).write.option("header", "true").csv(location)
     # CSV text cannot prune columns: read it once.
-    return daily_stats(line_items_from_csv(spark, location), share_source=True)
+    return _kept(daily_stats(line_items_from_csv(spark, location), share_source=True), location)
+
+
+def q_line_items_from_path(spark, sf_dir):
+    """The production reader over a parquet folder whose order dates are text."""
+    location = scratch_location(spark, "lines")
+    _li(spark, sf_dir).withColumn(ORDER_DATE, F.col(ORDER_DATE).cast("string")).write.parquet(location)
+    return _kept(line_items_from_table(spark, location), location)
+
+
+def q_line_items_from_partitioned_table(spark, sf_dir):
+    """The production reader over a catalog table whose partitions are the order days."""
+    location, table = scratch_location(spark, "lines"), _table_name("lines")
+    rows = _li(spark, sf_dir).withColumn("day", F.col(ORDER_DATE)).repartition("day")
+    rows.write.partitionBy("day").option("path", location).saveAsTable(table)
+    return _kept(line_items_from_table(spark, table, partition_column="day"), location, table)
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -235,6 +317,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "repeat_customer_daily": q_repeat_customer_daily,
     "daily_stats_backfill": q_daily_stats_backfill,
     "daily_stats_for_day": q_daily_stats_for_day,
+    "daily_stats_for_day_shuffle": q_daily_stats_for_day_shuffle,
+    "daily_stats_dirty_numbers": q_daily_stats_dirty_numbers,
     "distinct_order_days": q_distinct_order_days,
     "dq_null_counts": q_dq_null_counts,
     "dq_date_bounds": q_dq_date_bounds,
@@ -248,6 +332,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "first_order_dimension_merge": q_first_order_dimension_merge,
     "daily_stats_for_day_dimension": q_daily_stats_for_day_dimension,
     "daily_stats_from_csv_source": q_daily_stats_from_csv_source,
+    "daily_publish": q_daily_publish,
+    "registered_partitions_daily": q_registered_partitions_daily,
+    "daily_stats_legacy_table": q_daily_stats_legacy_table,
+    "line_items_from_path": q_line_items_from_path,
+    "line_items_from_partitioned_table": q_line_items_from_partitioned_table,
 }
 
 
@@ -281,7 +370,7 @@ def _adapter_sql(dirty: bool = False) -> str:
 
 LI = f"li AS ({_adapter_sql()})"
 LI_DIRTY = f"li AS ({_adapter_sql(dirty=True)})"
-REV = "CAST(li.quantity * li.price AS DECIMAL(18,4))"
+REV = "CAST(li.quantity * li.price AS DECIMAL(28,8))"
 FIRST = "fo AS (SELECT email, MIN(order_date) AS first_order_date FROM li WHERE email IS NOT NULL GROUP BY email)"
 FLAGGED = f"""e AS (
     SELECT li.order_id, li.email, li.order_date, {REV} AS rev,
@@ -303,7 +392,8 @@ TOTALS = """tot AS (
            COUNT(DISTINCT email) AS total_customer_count
     FROM e GROUP BY order_date)"""
 
-BACKFILL_BODY = f"""WITH {LI}, {FIRST}, {FLAGGED}, {TOTALS},
+def _backfill_body(lines: str) -> str:
+    return f"""WITH {lines}, {FIRST}, {FLAGGED}, {TOTALS},
 {_segment_sql('nw', 1, 'new')},
 {_segment_sql('rp', 0, 'repeat')},
 stats AS (
@@ -319,6 +409,10 @@ stats AS (
     LEFT JOIN nw ON tot.order_date = nw.order_date
     LEFT JOIN rp ON tot.order_date = rp.order_date)"""
 
+
+BACKFILL_BODY = _backfill_body(LI)
+LI_NAN = f"li AS (SELECT * REPLACE (CASE WHEN order_id % {NAN_EVERY} <> 0 THEN quantity END AS quantity) FROM ({_adapter_sql()}))"
+
 STATS_COLS = (
     "order_date, total_product_revenue, total_order_count, total_customer_count, daily_aov, "
     "new_customer_count, new_customer_spend, repeat_customer_count, repeat_customer_spend"
@@ -354,6 +448,7 @@ def oracle_sql() -> dict[str, str]:
 
 def _own_oracle_sql() -> dict[str, str]:
     day = SAMPLE_DAY.isoformat()
+    published = ", ".join(f"DATE '{d}'" for d in PUBLISHED_DAYS)
     with_partition = f"SELECT {STATS_COLS}, order_date AS partition_date FROM stats"
     return {
         "line_items": f"WITH {LI} SELECT * FROM li",
@@ -402,6 +497,15 @@ def _own_oracle_sql() -> dict[str, str]:
         "first_order_dimension_merge": f"WITH {LI}, {FIRST} SELECT * FROM fo",
         "daily_stats_for_day_dimension": f"{BACKFILL_BODY} SELECT {STATS_COLS} FROM stats WHERE order_date = DATE '{day}'",
         "daily_stats_from_csv_source": f"{BACKFILL_BODY} SELECT {STATS_COLS} FROM stats",
+        "daily_stats_for_day_shuffle": f"{BACKFILL_BODY} SELECT {STATS_COLS} FROM stats WHERE order_date = DATE '{day}'",
+        "daily_stats_dirty_numbers": f"{_backfill_body(LI_NAN)} SELECT {STATS_COLS} FROM stats",
+        "daily_publish": f"{BACKFILL_BODY} {with_partition} WHERE order_date IN ({published})",
+        "registered_partitions_daily": f"SELECT unnest([{published}]) AS partition_date",
+        "daily_stats_legacy_table": f"""{BACKFILL_BODY}
+            SELECT * REPLACE (CASE WHEN order_date <> DATE '{day}' THEN daily_aov END AS daily_aov)
+            FROM ({with_partition})""",
+        "line_items_from_path": f"WITH {LI} SELECT * FROM li",
+        "line_items_from_partitioned_table": f"WITH {LI} SELECT * FROM li",
     }
 
 

@@ -4,12 +4,12 @@ from daybook.functions.columns import (
     acquisition_month,
     customer_age,
     cutoff_60_days,
+    finite,
     first_order_flag,
     product_revenue,
-    revenue_units,
+    revenue,
     safe_ratio,
     to_day,
-    units_to_double,
     week_label,
 )
 
@@ -17,11 +17,11 @@ __all__ = [
     "acquisition_month",
     "customer_age",
     "cutoff_60_days",
+    "finite",
     "first_order_flag",
     "product_revenue",
-    "revenue_units",
+    "revenue",
     "safe_ratio",
     "to_day",
-    "units_to_double",
     "week_label",
 ]

@@ -41,32 +41,29 @@ def week_label(day: ColumnOrName) -> Column:
     )
 
 
-# Fixed value: money is kept to 4 decimal places (1 unit = 0.0001).
-MONEY_UNITS_PER_ONE = 10000
+def finite(c: ColumnOrName) -> Column:
+    """A DOUBLE with NaN as NULL (a missing number); infinity raises.
 
-
-def revenue_units(quantity: ColumnOrName, price: ColumnOrName) -> Column:
-    """Line revenue = quantity x price in whole units of 0.0001, as BIGINT.
-
-    Inputs are cast to DOUBLE strictly (text that is not a number raises, as
-    an empty string does); a null in either gives null. The product is
-    rounded to the nearest unit, ties to even, which is how a SQL cast of a
-    double to DECIMAL(18,4) rounds. Summing these integers is exact and
-    independent of row order, and a BIGINT sum runs on primitive longs.
+    Text that is not a number raises in the cast, as an empty string does.
     """
-    q = _col(quantity).cast("double")
-    p = _col(price).cast("double")
-    return F.rint(q * p * F.lit(float(MONEY_UNITS_PER_ONE))).cast("long")
+    x = _col(c).cast("double")
+    broken = F.raise_error(F.lit("infinite quantity or price in a line item"))
+    return F.when(F.isnan(x), F.lit(None)).when(F.abs(x) == float("inf"), broken).otherwise(x)
 
 
-def units_to_double(units: ColumnOrName) -> Column:
-    """Money units back to a DOUBLE amount (correctly rounded)."""
-    return _col(units).cast("double") / F.lit(float(MONEY_UNITS_PER_ONE))
+def revenue(quantity: ColumnOrName, price: ColumnOrName) -> Column:
+    """Line revenue = quantity x price as DECIMAL(28,8).
+
+    A null or NaN in either gives null. Eight decimals hold what a line of a
+    shop can cost, fractions of a cent included; sums of decimals are exact
+    and do not depend on the order of the rows.
+    """
+    return (finite(quantity) * finite(price)).cast(MONEY)
 
 
 def product_revenue(quantity: ColumnOrName, price: ColumnOrName) -> Column:
-    """Line revenue as DECIMAL(18,4), equal to ``revenue_units`` / 10^4."""
-    return units_to_double(revenue_units(quantity, price)).cast(MONEY)
+    """Line revenue as the enrichment publishes it."""
+    return revenue(quantity, price)
 
 
 def customer_age(order_day: ColumnOrName, first_day: ColumnOrName) -> Column:

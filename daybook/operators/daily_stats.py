@@ -23,9 +23,9 @@ that Catalyst prunes to (order_date, order_id); its first shuffle is keyed on
 results are joined on ``order_date``; both are at most one row per calendar
 day, and AQE broadcasts or co-partitions them from their real sizes.
 
-Revenue is summed exactly, as BIGINT money units of 0.0001 (each line
-rounded like a SQL cast to DECIMAL(18,4)), and published as DOUBLE, so the
-result does not depend on the order rows are added in.
+Revenue is summed exactly, as DECIMAL with eight decimals, and published as
+DOUBLE, so the result does not depend on the order rows are added in. A NaN
+quantity or price is a missing number.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.functions import revenue_units, safe_ratio, units_to_double
+from daybook.functions import revenue, safe_ratio
 from daybook.operators.first_order import (
     DAY_REVENUE,
     customer_days,
@@ -92,19 +92,19 @@ def orders_per_day(lines: DataFrame) -> DataFrame:
     )
 
 
-def _assemble(segments: DataFrame, orders: DataFrame) -> DataFrame:
-    revenue = units_to_double(_REVENUE)
+def assemble(segments: DataFrame, orders: DataFrame) -> DataFrame:
+    total = F.col(_REVENUE).cast("double")
     joined = segments.join(orders, on=ORDER_DATE, how="left")
     out = {
         "order_date": F.col(ORDER_DATE),
-        "total_product_revenue": revenue,
+        "total_product_revenue": total,
         "total_order_count": F.col("total_order_count"),
         "total_customer_count": F.col("total_customer_count"),
-        "daily_aov": safe_ratio(revenue, "total_order_count"),
+        "daily_aov": safe_ratio(total, "total_order_count"),
         "new_customer_count": F.col("new_customer_count"),
-        "new_customer_spend": units_to_double("new_customer_spend"),
+        "new_customer_spend": F.col("new_customer_spend").cast("double"),
         "repeat_customer_count": F.col("repeat_customer_count"),
-        "repeat_customer_spend": units_to_double("repeat_customer_spend"),
+        "repeat_customer_spend": F.col("repeat_customer_spend").cast("double"),
     }
     return joined.select(*[out[name].alias(name) for name in DAILY_STATS_COLUMNS])
 
@@ -122,22 +122,22 @@ def daily_stats(lines: DataFrame, share_source: bool = False) -> DataFrame:
     """
     if not share_source:
         flagged = flag_first_days(customer_days(lines))
-        return _assemble(segment_totals(flagged), orders_per_day(lines))
+        return assemble(segment_totals(flagged), orders_per_day(lines))
     orders_grain = order_grain(lines)
-    days = orders_grain.groupBy(ORDER_DATE, EMAIL).agg(F.sum(_ORDER_UNITS).alias(DAY_REVENUE))
+    days = orders_grain.groupBy(ORDER_DATE, EMAIL).agg(F.sum(_ORDER_REVENUE).alias(DAY_REVENUE))
     segments = segment_totals(flag_first_days(days)).drop(_REVENUE)
     # Revenue is taken from this branch so that both branches read every
     # column of ``orders_grain``: the two aggregates then stay identical and
     # their exchange is reused instead of recomputing ``lines``.
-    per_order = orders_grain.groupBy(ORDER_DATE, ORDER_ID).agg(F.sum(_ORDER_UNITS).alias(_ORDER_UNITS))
+    per_order = orders_grain.groupBy(ORDER_DATE, ORDER_ID).agg(F.sum(_ORDER_REVENUE).alias(_ORDER_REVENUE))
     orders = per_order.groupBy(ORDER_DATE).agg(
         F.count(ORDER_ID).alias("total_order_count"),
-        _zero_if_null(F.sum(_ORDER_UNITS)).alias(_REVENUE),
+        _zero_if_null(F.sum(_ORDER_REVENUE)).alias(_REVENUE),
     )
-    return _assemble(segments, orders)
+    return assemble(segments, orders)
 
 
-_ORDER_UNITS = "order_revenue_units"
+_ORDER_REVENUE = "order_revenue"
 
 
 def order_grain(lines: DataFrame) -> DataFrame:
@@ -145,7 +145,7 @@ def order_grain(lines: DataFrame) -> DataFrame:
     return (
         lines.where(F.col(ORDER_DATE).isNotNull())
         .groupBy(ORDER_DATE, EMAIL, ORDER_ID)
-        .agg(F.sum(revenue_units(QUANTITY, PRICE)).alias(_ORDER_UNITS))
+        .agg(F.sum(revenue(QUANTITY, PRICE)).alias(_ORDER_REVENUE))
     )
 
 
@@ -171,7 +171,7 @@ def daily_stats_for_day(
     d0 = as_date(day)
     todays = day_orders(lines.where(F.col(ORDER_DATE) == d0))
     flagged = flag_against_prior(customers_of_day(todays), lines, d0, broadcast_limit_bytes)
-    return _assemble(segment_totals(flagged), orders_of_day(todays))
+    return assemble(segment_totals(flagged), orders_of_day(todays))
 
 
 def day_orders(todays_lines: DataFrame) -> DataFrame:
@@ -189,7 +189,7 @@ def day_orders(todays_lines: DataFrame) -> DataFrame:
 
 def customers_of_day(todays: DataFrame) -> DataFrame:
     """``customer_days`` rows from ``day_orders`` output."""
-    return todays.groupBy(ORDER_DATE, EMAIL).agg(F.sum(_ORDER_UNITS).alias(DAY_REVENUE))
+    return todays.groupBy(ORDER_DATE, EMAIL).agg(F.sum(_ORDER_REVENUE).alias(DAY_REVENUE))
 
 
 def orders_of_day(todays: DataFrame) -> DataFrame:
@@ -213,7 +213,7 @@ def _segment_daily(lines: DataFrame, flag: int, prefix: str) -> DataFrame:
     flagged = flag_first_days(customer_days(lines)).where(F.col(FIRST_ORDER_FL) == flag)
     return flagged.groupBy(ORDER_DATE).agg(
         F.count(EMAIL).alias(f"{prefix}_customer_count"),
-        units_to_double(_zero_if_null(F.sum(DAY_REVENUE))).alias(f"{prefix}_customer_spend"),
+        _zero_if_null(F.sum(DAY_REVENUE)).cast("double").alias(f"{prefix}_customer_spend"),
     )
 
 

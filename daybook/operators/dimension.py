@@ -15,17 +15,23 @@ part of a backfill.
 
 Storage is plain parquet written to a new folder per version; readers are
 pointed at a version only after its write committed, and a retried write of
-the same version simply replaces that folder.
+the same version simply replaces that folder. Each version states the day
+through which it covers the lines, in the subfolder ``_covers``, written
+last; a version without it, or one that does not reach the day before the
+day to compute, is refused.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.operators.daily_stats import (
-    _assemble,
     as_date,
+    assemble,
     customers_of_day,
     day_orders,
     orders_of_day,
@@ -61,9 +67,27 @@ def merge_first_order_dimension(dimension: DataFrame, new_lines: DataFrame) -> D
     )
 
 
-def write_dimension(dimension: DataFrame, location: str) -> None:
+def write_dimension(dimension: DataFrame, location: str, covered_through: dt.date) -> None:
     """Write one dimension version (idempotent: a rerun replaces the folder)."""
+    spark = dimension.sparkSession
     dimension.write.mode("overwrite").parquet(location)
+    day = F.lit(covered_through).cast("date").alias("covered_through")
+    spark.range(1).select(day).coalesce(1).write.mode("overwrite").parquet(f"{location}/_covers")
+
+
+def covered_through(spark: SparkSession, location: str) -> dt.date:
+    """The last day whose lines the version covers; raises if it does not say."""
+    try:
+        row = spark.read.schema("covered_through DATE").parquet(f"{location}/_covers").first()
+    except AnalysisException as missing:
+        raise ValueError(f"no complete first-order dimension at {location}") from missing
+    if row is None or row[0] is None:
+        raise ValueError(f"no complete first-order dimension at {location}")
+    return row[0]
+
+
+def last_day(lines: DataFrame) -> dt.date | None:
+    return lines.agg(F.max(ORDER_DATE)).first()[0]
 
 
 def read_dimension(spark: SparkSession, location: str) -> DataFrame:
@@ -83,4 +107,4 @@ def daily_stats_for_day_from_dimension(
     todays = day_orders(lines.where(F.col(ORDER_DATE) == d0))
     earlier = dimension.where(F.col(FIRST_ORDER_DATE) < d0).select(EMAIL)
     flagged = flag_against_seen(customers_of_day(todays), earlier, broadcast_limit_bytes)
-    return _assemble(segment_totals(flagged), orders_of_day(todays))
+    return assemble(segment_totals(flagged), orders_of_day(todays))

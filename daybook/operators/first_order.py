@@ -14,8 +14,8 @@ group, even when one customer or the guest group holds a third of all lines:
   lines they have. Guests share the null window partition, bounded the same
   way, and are forced to flag 0.
 * ``with_first_order`` (line grain) - lines are joined to the (day, customer)
-  pairs on (email, day), not on email alone, so a heavy customer's lines and
-  the guests' lines spread over all their days instead of one task. Both join
+  pairs on (email, day), not on email alone, so a heavy customer's lines spread over
+  all their days instead of one task; guests go round the join. Both join
   inputs are plain shuffles, which is the shape AQE's skew-join rule needs to
   split any remaining oversized (day, customer) partition. (A join to the
   email aggregate would reuse the aggregate's exchange and AQE could not
@@ -33,7 +33,7 @@ from daybook.functions import (
     cutoff_60_days,
     first_order_flag,
     product_revenue,
-    revenue_units,
+    revenue,
     week_label,
 )
 from daybook.schema import (
@@ -49,10 +49,10 @@ from daybook.schema import (
     QUANTITY,
     WEEK,
 )
+from daybook.session import checkpoint_dir
 
-# Name of the per (day, customer) revenue column of ``customer_days``, in
-# whole money units of 0.0001 (BIGINT).
-DAY_REVENUE = "day_revenue_units"
+# Name of the per (day, customer) revenue column of ``customer_days``.
+DAY_REVENUE = "day_revenue"
 
 
 def first_order_by_customer(lines: DataFrame) -> DataFrame:
@@ -68,34 +68,45 @@ def first_order_by_customer(lines: DataFrame) -> DataFrame:
     )
 
 
-def with_first_order(lines: DataFrame) -> DataFrame:
+def with_first_order(lines: DataFrame, share_source: bool = False) -> DataFrame:
     """Lines with their customer's ``first_order_date`` (NULL for guests).
 
     The right side holds one row per distinct (day, customer) pair of the
     lines, undated ones included, with the customer's earliest day from a
     ``min`` window per email. Each line with an email matches exactly one
     pair (the day is compared null-safely, so an undated line still gets its
-    customer's date); guest lines match nothing. Row count is preserved.
+    customer's date). Guest lines can match nothing and go round the join.
+    Row count is preserved.
+
+    ``lines`` feeds three branches. With ``share_source`` they are produced
+    once and checkpointed in the shared folder; set it when producing them is
+    expensive (a join, text files). A parquet table is scanned again instead.
     """
+    if share_source:
+        checkpoint_dir(lines.sparkSession)
+        lines = lines.checkpoint()
     email, day = F.col(EMAIL), F.col(ORDER_DATE)
-    pairs = lines.where(email.isNotNull()).select(EMAIL, ORDER_DATE).distinct()
-    keyed = pairs.select(
+    known = lines.where(email.isNotNull())
+    keyed = known.select(EMAIL, ORDER_DATE).distinct().select(
         email.alias("_k_email"),
         day.alias("_k_day"),
         F.min(ORDER_DATE).over(Window.partitionBy(EMAIL)).alias(FIRST_ORDER_DATE),
     )
     cond = (email == F.col("_k_email")) & day.eqNullSafe(F.col("_k_day"))
-    return lines.join(keyed, on=cond, how="left").select(*lines.columns, FIRST_ORDER_DATE)
+    dated = known.join(keyed, on=cond, how="left").select(*lines.columns, FIRST_ORDER_DATE)
+    guests = lines.where(email.isNull()).withColumn(FIRST_ORDER_DATE, F.lit(None).cast("date"))
+    return dated.unionByName(guests)
 
 
-def enrich_line_items(lines: DataFrame) -> DataFrame:
+def enrich_line_items(lines: DataFrame, share_source: bool = False) -> DataFrame:
     """Line items with every derived column of the reference pipeline.
 
     Adds ``product_rev`` (exact decimal), ``week`` (``YYYY-WW``),
     ``first_order_date``, ``age`` (days since first order), ``cutoff_60_days``,
     ``first_order_month`` (``YYYY-MM``) and ``first_order_fl`` (0/1).
+    ``share_source`` as in ``with_first_order``.
     """
-    joined = with_first_order(lines)
+    joined = with_first_order(lines, share_source)
     od, fd = F.col(ORDER_DATE), F.col(FIRST_ORDER_DATE)
     return joined.select(
         *lines.columns,
@@ -113,8 +124,7 @@ def customer_days(lines: DataFrame) -> DataFrame:
     """One row per (order_date, email) with the exact revenue of those lines.
 
     Undated lines are dropped (they belong to no day). Guests form one row
-    per day with a null email. ``day_revenue_units`` (money units of 0.0001)
-    is NULL when every line of the group has a null revenue; the row itself
+    per day with a null email. ``day_revenue`` is NULL when every line of the group has a null revenue; the row itself
     still records presence.
     Map-side partial aggregation shrinks lines to (day, customer) pairs
     before the shuffle, so a heavy customer costs one row per day per task.
@@ -122,7 +132,7 @@ def customer_days(lines: DataFrame) -> DataFrame:
     return (
         lines.where(F.col(ORDER_DATE).isNotNull())
         .groupBy(ORDER_DATE, EMAIL)
-        .agg(F.sum(revenue_units(QUANTITY, PRICE)).alias(DAY_REVENUE))
+        .agg(F.sum(revenue(QUANTITY, PRICE)).alias(DAY_REVENUE))
     )
 
 
@@ -133,8 +143,9 @@ def flag_first_days(days: DataFrame) -> DataFrame:
     return days.withColumn(FIRST_ORDER_FL, first_order_flag(ORDER_DATE, first))
 
 
-# Per-row overhead assumed when sizing a broadcast of customer keys (bytes).
-_KEY_ROW_OVERHEAD = 32
+# Bytes that a customer key takes in a broadcast hash relation beside its text:
+# the row's header and word-aligned fields, the hash table's slot and pointer.
+_KEY_ROW_OVERHEAD = 96
 
 
 def broadcast_limit_bytes(spark) -> int:
@@ -160,9 +171,9 @@ def customer_keys_fit_broadcast(keys: DataFrame, limit: int | None = None) -> bo
     if limit <= 0:
         return False
     row = keys.agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length(EMAIL)), F.lit(0)).alias("chars")
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length(EMAIL)), F.lit(0)).alias("text_bytes")
     ).first()
-    return row["n"] * _KEY_ROW_OVERHEAD + row["chars"] <= limit
+    return row["n"] * _KEY_ROW_OVERHEAD + row["text_bytes"] <= limit
 
 
 def flag_against_seen(
@@ -171,30 +182,23 @@ def flag_against_seen(
     """Flag one day's ``customer_days`` rows given customers seen earlier.
 
     ``earlier`` holds an ``email`` column of customers with a line before the
-    day (duplicates allowed). It is semi-joined to the day's customers first,
-    so only matching customers reach the ``distinct``.
-
-    The day's customer set is broadcast only after its measured size fits the
-    session's broadcast threshold; then the large ``earlier`` side is scanned
-    and probed, never shuffled. (Left to AQE alone, both sides' shuffles would
-    already have run before the join is converted.) A larger set stays a
-    shuffle semi-join, where Spark's runtime bloom filter prunes ``earlier``.
-    ``days`` should be derived from materialised data (see ``day_orders``) so
-    the size check does not recompute the day's lines. ``broadcast_limit_bytes``
-    overrides the session's broadcast threshold for this join only (keys are
-    cheap to broadcast next to a history shuffle; a larger cap is reasonable).
+    day (duplicates allowed). Its distinct emails are left-joined to the day's
+    rows. The distinct comes before any shuffle join: a map task sends one row
+    for each customer it meets, however many lines a hot customer has.
+
+    If the day's customers fit the session's broadcast threshold by measured
+    size, ``earlier`` is first semi-joined to them where it is scanned, and
+    only matching customers reach the distinct. ``days`` should be derived
+    from materialised data (see ``day_orders``) so the size check does not
+    recompute the day's lines. ``broadcast_limit_bytes`` overrides the
+    threshold for this join; 0 means never.
     """
     email = F.col(EMAIL)
     todays = days.where(email.isNotNull()).select(EMAIL)
+    seen = earlier.where(email.isNotNull()).select(EMAIL)
     if customer_keys_fit_broadcast(todays, broadcast_limit_bytes):
-        todays = F.broadcast(todays)
-    seen = (
-        earlier.where(email.isNotNull())
-        .select(EMAIL)
-        .join(todays, on=EMAIL, how="left_semi")
-        .distinct()
-        .withColumn("_seen_before", F.lit(True))
-    )
+        seen = seen.join(F.broadcast(todays), on=EMAIL, how="left_semi")
+    seen = seen.distinct().withColumn("_seen_before", F.lit(True))
     flagged = days.join(seen, on=EMAIL, how="left")
     fl = F.when(email.isNotNull() & F.col("_seen_before").isNull(), F.lit(1)).otherwise(F.lit(0))
     return flagged.select(*days.columns, fl.alias(FIRST_ORDER_FL))

@@ -12,6 +12,12 @@ Writes are idempotent per day:
   clears the day when its result is empty (dynamic overwrite would leave
   stale rows there).
 
+A CSV table is a pair: ``<name>_files``, the partitioned table over the
+folder with every cell as text, and the view ``<name>`` that casts it, so that
+files of older writers read the same through the catalog as through
+``read_daily_stats`` and a damaged cell raises instead of turning into NULL.
+Other formats keep the types and are one table.
+
 Partitions are registered with ``ADD IF NOT EXISTS`` (reruns are no-ops) or,
 after a bulk write, recovered from the folder listing in one call.
 """
@@ -26,11 +32,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.schema import (
-    COUNT_COLUMNS,
     DAILY_STATS_COLUMNS,
-    DAILY_STATS_CSV_READ_SCHEMA,
+    DAILY_STATS_TEXT_SCHEMA,
     ORDER_DATE,
     PARTITION_DATE,
+    daily_stats_cast,
     daily_stats_ddl_columns,
 )
 
@@ -57,20 +63,21 @@ def with_partition_column(stats: DataFrame) -> DataFrame:
     return stats.select(*DAILY_STATS_COLUMNS, F.col(ORDER_DATE).alias(PARTITION_DATE))
 
 
-def write_daily_stats(stats: DataFrame, location: str, fmt: str = "csv") -> None:
+def write_daily_stats(stats: DataFrame, location: str, fmt: str = "csv", writers: int | None = None) -> None:
     """Write every day of ``stats`` to its own partition (backfill sink).
 
     One job replaces exactly the days present in ``stats``. The statistics
     have one row per day, so the repartition on the day key is a shuffle of
     at most a few thousand rows; it puts each day in exactly one task, hence
-    one file per day. The partition count is pinned to the cluster's task
-    slots: left to AQE, a result this small is coalesced into a single task,
-    which would then create every day's folder and file one after another.
-    A range (not hash) partitioning is used so the exchange is not dropped as
-    redundant with the day-keyed aggregate below it, and each writer gets a
-    contiguous run of days.
+    one file per day. The number of tasks is pinned to ``writers``, by default
+    the cluster's task slots (give it where executors arrive only later): left
+    to AQE, a result this small is coalesced into a single task, which would
+    then create every day's folder and file one after another. A range (not
+    hash) partitioning is used so the exchange is not dropped as redundant
+    with the day-keyed aggregate below it, and each writer gets a contiguous
+    run of days.
     """
-    slots = max(stats.sparkSession.sparkContext.defaultParallelism, 1)
+    slots = writers or max(stats.sparkSession.sparkContext.defaultParallelism, 1)
     writer = (
         with_partition_column(stats)
         .repartitionByRange(slots, PARTITION_DATE)
@@ -85,23 +92,33 @@ def write_daily_stats(stats: DataFrame, location: str, fmt: str = "csv") -> None
 
 
 def read_daily_stats(spark: SparkSession, location: str) -> DataFrame:
-    """Read the published table from its folder.
+    """Read the published CSV from its folder.
 
-    Count columns are read as DOUBLE and cast to BIGINT: older files hold
-    counts as ``3.0`` text, which a BIGINT CSV column would silently turn
-    into NULL. A header-only file reads as zero rows.
+    Cells are cast strictly: counts written as ``3.0`` read as 3, an infinite
+    amount as NULL, and anything else that is no number or date raises, as
+    does a line with too few or too many cells. A header-only file reads as
+    zero rows.
     """
     raw = (
-        spark.read.schema(DAILY_STATS_CSV_READ_SCHEMA)
+        spark.read.schema(DAILY_STATS_TEXT_SCHEMA)
         .option("header", "true")
+        .option("mode", "FAILFAST")
+        .option("columnPruning", "false")
         .option("basePath", location)
         .csv(location)
     )
-    cols = [
-        F.col(c).cast("bigint").alias(c) if c in COUNT_COLUMNS else F.col(c)
-        for c in DAILY_STATS_COLUMNS
-    ]
-    return raw.select(*cols, F.col(PARTITION_DATE))
+    return raw.select(*(F.expr(daily_stats_cast(c)).alias(c) for c in DAILY_STATS_COLUMNS), F.col(PARTITION_DATE))
+
+
+def stored_table(spark: SparkSession, name: str) -> str:
+    """The table that holds ``name``'s partitions: ``name_files`` behind a view, else ``name``."""
+    files = f"{_check_ident(name)}_files"
+    return files if spark.catalog.tableExists(files) else name
+
+
+def table_location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {stored_table(spark, name)}").where("col_name = 'Location'")
+    return rows.first()["data_type"]
 
 
 def create_daily_stats_table(
@@ -111,13 +128,30 @@ def create_daily_stats_table(
 
     An existing table is never altered. The table sees the days whose
     partitions are registered (see ``register_partition`` /
-    ``recover_partitions``).
+    ``recover_partitions``). For CSV ``name`` is the view over ``name_files``.
     """
-    options = " OPTIONS (header 'true')" if fmt == "csv" else ""
+    if spark.catalog.tableExists(_check_ident(name)):
+        return
+    is_text = fmt == "csv"
+    files = f"{name}_files" if is_text else name
+    options = " OPTIONS (header 'true', mode 'FAILFAST', columnPruning 'false')" if is_text else ""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {_check_ident(name)} ({daily_stats_ddl_columns()}) "
+        f"CREATE TABLE IF NOT EXISTS {files} ({daily_stats_ddl_columns(is_text)}) "
         f"USING {fmt}{options} PARTITIONED BY ({PARTITION_DATE}) LOCATION {_quote(location)}"
     )
+    if is_text:
+        typed = ", ".join(f"{daily_stats_cast(c)} AS {c}" for c in DAILY_STATS_COLUMNS)
+        spark.sql(f"CREATE VIEW IF NOT EXISTS {name} AS SELECT {typed}, {PARTITION_DATE} FROM {files}")
+
+
+def drop_daily_stats_table(spark: SparkSession, name: str) -> None:
+    """Drop the table, and the view if there is one; published files stay."""
+    files = f"{_check_ident(name)}_files"
+    if spark.catalog.tableExists(files):
+        spark.sql(f"DROP VIEW IF EXISTS {name}")
+        spark.sql(f"DROP TABLE IF EXISTS {files}")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def overwrite_day(spark: SparkSession, table: str, stats: DataFrame, day: str | dt.date) -> None:
@@ -128,12 +162,14 @@ def overwrite_day(spark: SparkSession, table: str, stats: DataFrame, day: str |
     """
     lit = _day_literal(day)
     view = f"_daybook_day_{lit.replace('-', '_')}_{uuid.uuid4().hex[:8]}"
+    target = stored_table(spark, table)
+    kinds = dict(spark.table(target).dtypes)
     stats.where(F.col(ORDER_DATE) == F.lit(dt.date.fromisoformat(lit))).select(
-        *DAILY_STATS_COLUMNS
+        *(F.col(c).cast(kinds[c]).alias(c) for c in DAILY_STATS_COLUMNS)
     ).createOrReplaceTempView(view)
     try:
         spark.sql(
-            f"INSERT OVERWRITE TABLE {_check_ident(table)} "
+            f"INSERT OVERWRITE TABLE {target} "
             f"PARTITION ({PARTITION_DATE} = DATE '{lit}') "
             f"SELECT {', '.join(DAILY_STATS_COLUMNS)} FROM {view}"
         )
@@ -144,14 +180,14 @@ def overwrite_day(spark: SparkSession, table: str, stats: DataFrame, day: str |
 def register_partition(spark: SparkSession, table: str, day: str | dt.date) -> None:
     """Register one day's partition; a no-op when it is already registered."""
     spark.sql(
-        f"ALTER TABLE {_check_ident(table)} ADD IF NOT EXISTS "
+        f"ALTER TABLE {stored_table(spark, table)} ADD IF NOT EXISTS "
         f"PARTITION ({PARTITION_DATE} = DATE '{_day_literal(day)}')"
     )
 
 
 def recover_partitions(spark: SparkSession, table: str) -> None:
     """Register every partition folder found under the table location."""
-    spark.catalog.recoverPartitions(_check_ident(table))
+    spark.catalog.recoverPartitions(stored_table(spark, table))
 
 
 def registered_partitions(spark: SparkSession, table: str) -> DataFrame:
@@ -159,6 +195,6 @@ def registered_partitions(spark: SparkSession, table: str) -> DataFrame:
 
     Catalog metadata lives on the driver by nature; this is one row per day.
     """
-    listing = spark.sql(f"SHOW PARTITIONS {_check_ident(table)}")
+    listing = spark.sql(f"SHOW PARTITIONS {stored_table(spark, table)}")
     day = F.regexp_extract(F.col("partition"), rf"{PARTITION_DATE}=([0-9-]+)", 1)
     return listing.select(F.to_date(day).alias(PARTITION_DATE))

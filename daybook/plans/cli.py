@@ -1,12 +1,15 @@
 """Command line for spark-submit.
 
     spark-submit -m daybook.plans.cli create   --table T --location L
-    spark-submit -m daybook.plans.cli backfill --source SRC --location L [--table T] [--share-source]
+    spark-submit -m daybook.plans.cli backfill --source SRC [--location L] [--table T] [--share-source]
     spark-submit -m daybook.plans.cli daily    --source SRC --table T [--date YYYY-MM-DD] [--dimension D] [--broadcast-limit-mb N]
-    spark-submit -m daybook.plans.cli dimension --source SRC --location D
+    spark-submit -m daybook.plans.cli dimension --source SRC --location D [--through YYYY-MM-DD]
+    spark-submit -m daybook.plans.cli merge-dimension --source SRC --old D1 --location D2 [--through YYYY-MM-DD]
 
 ``SRC`` is a catalog table name or a parquet folder with the line-item
-columns (order_id, email, order_date, quantity, price).
+columns (order_id, email, order_date, quantity, price); ``--partition-column``
+names its DATE partition column, if it has one that holds the order day.
+``--time-zone`` is the shop's zone, which decides what yesterday is.
 
 ``--shuffle-partitions N`` sets ``spark.sql.shuffle.partitions``. Size it to
 the input: about one partition per 128 MB of line-item data read. AQE merges
@@ -17,8 +20,9 @@ join partitions), so err on the high side.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 
-from daybook.plans.jobs import create_table, refresh_dimension, run_backfill, run_daily
+from daybook.plans.jobs import create_table, merge_dimension, refresh_dimension, run_backfill, run_daily
 from daybook.session import build_session
 from daybook.sources import line_items_from_table
 
@@ -26,6 +30,8 @@ from daybook.sources import line_items_from_table
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="daybook")
     parser.add_argument("--shuffle-partitions", type=int, default=None)
+    parser.add_argument("--time-zone", help="session time zone: a region or an offset such as +02:00")
+    parser.add_argument("--partition-column", help="DATE partition column of the source with the order day")
     sub = parser.add_subparsers(dest="command", required=True)
 
     p_create = sub.add_parser("create", help="create the partitioned statistics table")
@@ -34,7 +40,7 @@ def main(argv: list[str] | None = None) -> None:
 
     p_back = sub.add_parser("backfill", help="recompute and publish every day")
     p_back.add_argument("--source", required=True)
-    p_back.add_argument("--location", required=True)
+    p_back.add_argument("--location", help="default: the table's location")
     p_back.add_argument("--table")
     p_back.add_argument(
         "--share-source",
@@ -50,39 +56,39 @@ def main(argv: list[str] | None = None) -> None:
     p_daily.add_argument(
         "--broadcast-limit-mb",
         type=int,
-        help="cap for broadcasting the day's customers (default: session threshold)",
+        help="cap for broadcasting the day's customers (default: session threshold; 0: never)",
     )
 
     p_dim = sub.add_parser("dimension", help="rebuild the first-order dimension into a new folder")
     p_dim.add_argument("--source", required=True)
     p_dim.add_argument("--location", required=True)
+    p_dim.add_argument("--through", type=dt.date.fromisoformat, help="last day whose lines are all there")
+
+    p_merge = sub.add_parser("merge-dimension", help="fold new lines into a new version of the dimension")
+    p_merge.add_argument("--source", required=True, help="the lines loaded since the old version")
+    p_merge.add_argument("--old", required=True)
+    p_merge.add_argument("--location", required=True)
+    p_merge.add_argument("--through", type=dt.date.fromisoformat, help="last day whose lines are all there")
 
     args = parser.parse_args(argv)
     spark = build_session(shuffle_partitions=args.shuffle_partitions)
     if args.shuffle_partitions:
         spark.conf.set("spark.sql.shuffle.partitions", str(args.shuffle_partitions))
+    if args.time_zone:
+        spark.conf.set("spark.sql.session.timeZone", args.time_zone)
     if args.command == "create":
         create_table(spark, args.table, args.location)
-    elif args.command == "backfill":
-        run_backfill(
-            spark,
-            line_items_from_table(spark, args.source),
-            args.location,
-            args.table,
-            share_source=args.share_source,
-        )
+        return
+    lines = line_items_from_table(spark, args.source, args.partition_column)
+    if args.command == "backfill":
+        run_backfill(spark, lines, args.location, args.table, share_source=args.share_source)
     elif args.command == "dimension":
-        refresh_dimension(line_items_from_table(spark, args.source), args.location)
+        refresh_dimension(lines, args.location, args.through)
+    elif args.command == "merge-dimension":
+        merge_dimension(spark, lines, args.old, args.location, args.through)
     else:
-        limit = args.broadcast_limit_mb << 20 if args.broadcast_limit_mb else None
-        run_daily(
-            spark,
-            line_items_from_table(spark, args.source),
-            args.table,
-            args.date,
-            args.dimension,
-            broadcast_limit_bytes=limit,
-        )
+        limit = None if args.broadcast_limit_mb is None else args.broadcast_limit_mb << 20
+        run_daily(spark, lines, args.table, args.date, args.dimension, broadcast_limit_bytes=limit)
 
 
 if __name__ == "__main__":

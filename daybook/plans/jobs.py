@@ -11,14 +11,15 @@ with an older date can turn a later "new" customer into a repeat one; rerun
 from __future__ import annotations
 
 import datetime as dt
-from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession
 
 from daybook.operators.daily_stats import daily_stats, daily_stats_for_day
 from daybook.operators.dimension import (
     build_first_order_dimension,
+    covered_through,
     daily_stats_for_day_from_dimension,
+    last_day,
     merge_first_order_dimension,
     read_dimension,
     write_dimension,
@@ -28,14 +29,14 @@ from daybook.operators.sink import (
     overwrite_day,
     recover_partitions,
     register_partition,
+    table_location,
     write_daily_stats,
 )
 
 
 def yesterday(spark: SparkSession) -> dt.date:
     """The day before today in the session time zone, read once per run."""
-    tz = ZoneInfo(spark.conf.get("spark.sql.session.timeZone") or "UTC")
-    return dt.datetime.now(tz).date() - dt.timedelta(days=1)
+    return spark.sql("SELECT date_sub(current_date(), 1)").first()[0]
 
 
 def create_table(spark: SparkSession, name: str, location: str, fmt: str = "csv") -> None:
@@ -46,23 +47,46 @@ def create_table(spark: SparkSession, name: str, location: str, fmt: str = "csv"
 def run_backfill(
     spark: SparkSession,
     lines: DataFrame,
-    location: str,
+    location: str | None = None,
     table: str | None = None,
     fmt: str = "csv",
     share_source: bool = False,
+    writers: int | None = None,
 ) -> None:
     """Recompute every day from full history and publish it.
 
     One job, one dynamic-overwrite write: days absent from the result are
     untouched, days present are replaced. With ``table`` the partitions are
     then recovered in a single catalog call. ``share_source`` is passed to
-    ``daily_stats`` (set it when ``lines`` is itself a join or text files).
+    ``daily_stats`` (set it when ``lines`` is itself a join or text files),
+    ``writers`` to ``write_daily_stats``.
+
+    Where there is a table its location is where the days go; a different
+    ``location`` raises, as the table would not see them.
     """
-    write_daily_stats(daily_stats(lines, share_source), location, fmt)
+    if table:
+        where = table_location(spark, table)
+        if location and not _same_folder(spark, where, location):
+            raise ValueError(f"{table} is at {where}, not at {location}")
+        location = where
+    if not location:
+        raise ValueError("a backfill needs a location or a table")
+    write_daily_stats(daily_stats(lines, share_source), location, fmt, writers)
     if table:
         recover_partitions(spark, table)
 
 
+def _same_folder(spark: SparkSession, a: str, b: str) -> bool:
+    """Whether two locations are one after the file system has completed them."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def full(location: str) -> str:
+        path = jvm.org.apache.hadoop.fs.Path(location)
+        return path.getFileSystem(conf).makeQualified(path).toString().rstrip("/")
+
+    return full(a) == full(b)
+
+
 def run_daily(
     spark: SparkSession,
     lines: DataFrame,
@@ -75,8 +99,8 @@ def run_daily(
 
     First-order dates still use the whole history: through a semi-join of
     earlier lines on the day's customers, or, with ``dimension_location``,
-    through the persisted first-order dimension (which must cover every line
-    dated before the day, see ``refresh_dimension``). The day's partition is
+    through the persisted first-order dimension, which is refused unless it
+    covers every line dated before the day (see ``refresh_dimension``). The day's partition is
     replaced even when the day has no lines, and registered if new.
     ``broadcast_limit_bytes`` caps the broadcast of the day's customers (the
     session's broadcast threshold by default).
@@ -85,6 +109,9 @@ def run_daily(
     if isinstance(day, str):
         day = dt.date.fromisoformat(day)
     if dimension_location:
+        through = covered_through(spark, dimension_location)
+        if through < day - dt.timedelta(days=1):
+            raise ValueError(f"the dimension covers lines through {through}, too few for {day}")
         dim = read_dimension(spark, dimension_location)
         stats = daily_stats_for_day_from_dimension(lines, dim, day, broadcast_limit_bytes)
     else:
@@ -94,22 +121,33 @@ def run_daily(
     return day
 
 
-def refresh_dimension(lines: DataFrame, location: str) -> None:
+def refresh_dimension(lines: DataFrame, location: str, through: dt.date | None = None) -> None:
     """Rebuild the first-order dimension from full history into a new folder.
 
     Run it with the backfill (the repair path for late lines); point the
-    daily job at the newest folder.
+    daily job at the newest folder. ``through`` is the day up to which
+    ``lines`` is complete, by default its last day; give it where the last
+    days may have no lines.
     """
-    write_dimension(build_first_order_dimension(lines), location)
+    through = through or last_day(lines)
+    if through is None:
+        raise ValueError("no dated lines: give the day through which there are none")
+    write_dimension(build_first_order_dimension(lines), location, through)
 
 
 def merge_dimension(
-    spark: SparkSession, new_lines: DataFrame, old_location: str, new_location: str
+    spark: SparkSession,
+    new_lines: DataFrame,
+    old_location: str,
+    new_location: str,
+    through: dt.date | None = None,
 ) -> None:
     """Write a new dimension version: ``old`` folded with ``new_lines``.
 
     Typically ``new_lines`` are the lines loaded since the previous version
-    (late lines included); the result covers both.
+    (late lines included); the result covers both, through the later of the
+    old version's day and ``through`` (by default the new lines' last day).
     """
+    days = [covered_through(spark, old_location), through or last_day(new_lines)]
     merged = merge_first_order_dimension(read_dimension(spark, old_location), new_lines)
-    write_dimension(merged, new_location)
+    write_dimension(merged, new_location, max(d for d in days if d))

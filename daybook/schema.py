@@ -58,23 +58,31 @@ COUNT_COLUMNS = tuple(
     f.name for f in DAILY_STATS_SCHEMA.fields if isinstance(f.dataType, T.LongType)
 )
 
-# Files written by older writers hold counts as "3.0" text, which a BIGINT
-# CSV column silently turns into NULL. Reading counts as DOUBLE and casting
-# afterwards keeps them.
-DAILY_STATS_CSV_READ_SCHEMA = T.StructType(
-    [
-        T.StructField(f.name, T.DoubleType() if f.name in COUNT_COLUMNS else f.dataType, True)
-        for f in DAILY_STATS_SCHEMA.fields
-    ]
+# CSV cells are stored and read as text and cast strictly afterwards. Older
+# writers left counts as "3.0" (a BIGINT column would silently read NULL) and
+# an undefined average as "inf"; a cell that is no number raises.
+DAILY_STATS_TEXT_SCHEMA = T.StructType(
+    [T.StructField(f.name, T.StringType(), True) for f in DAILY_STATS_SCHEMA.fields]
     + [T.StructField(PARTITION_DATE, T.DateType(), True)]
 )
 
 # Money is summed exactly and published as DOUBLE.
-MONEY = T.DecimalType(18, 4)
+MONEY = T.DecimalType(28, 8)
 
 
-def daily_stats_ddl_columns() -> str:
+def daily_stats_ddl_columns(text: bool = False) -> str:
     """Column list for ``CREATE TABLE``, partition column last."""
-    cols = [f"{f.name} {f.dataType.simpleString().upper()}" for f in DAILY_STATS_SCHEMA.fields]
+    cols = [
+        f"{f.name} {'STRING' if text else f.dataType.simpleString().upper()}" for f in DAILY_STATS_SCHEMA.fields
+    ]
     cols.append(f"{PARTITION_DATE} DATE")
     return ", ".join(cols)
+
+
+def daily_stats_cast(name: str) -> str:
+    """SQL that types a text cell of column ``name``; infinite amounts are undefined, so NULL."""
+    if name in COUNT_COLUMNS:
+        return f"CAST(CAST({name} AS DOUBLE) AS BIGINT)"
+    if name == ORDER_DATE:
+        return f"CAST({name} AS DATE)"
+    return f"CASE WHEN abs(CAST({name} AS DOUBLE)) < DOUBLE('Infinity') THEN CAST({name} AS DOUBLE) END"

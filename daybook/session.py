@@ -6,9 +6,12 @@ Everything here is plain Spark configuration. The settings matter at scale:
   shuffle is broadcast, a large one stays a sort-merge join, and a partition
   holding a hot key (one customer, or all guest lines) is split into several
   tasks by the skew-join rule.
-* Shuffle partitions start high on a cluster and AQE coalesces them to the
-  advisory size, so one setting serves a 60k-row fixture and a 100 TB table.
-* Session time zone is pinned so ``to_date`` of a timestamp is reproducible.
+* Off local mode, shuffles start with many partitions and AQE coalesces them
+  to the advisory size, so one setting serves a small table and a 100 TB one.
+* The session time zone defaults to UTC so ``to_date`` of a timestamp is
+  reproducible.
+
+These are defaults: what spark-submit, spark-defaults or the caller sets wins.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 SCALE_CONF = {
@@ -37,6 +41,10 @@ SCALE_CONF = {
 }
 
 
+#: Partitions that a shuffle starts with on a cluster, before AQE merges small ones.
+INITIAL_PARTITIONS = 8000
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "daybook",
@@ -49,13 +57,19 @@ def build_session(
     ``shuffle_partitions`` to the input, e.g. input bytes / 128 MB; AQE then
     coalesces small ones.
     """
+    SparkContext._ensure_initialized()
+    given = SparkConf()  # what spark-submit and spark-defaults set
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in SCALE_CONF.items():
-        builder = builder.config(key, value)
+    defaults = dict(SCALE_CONF)
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    elif not is_local(master or given.get("spark.master", "local")):
+        defaults["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(INITIAL_PARTITIONS)
+    for key, value in defaults.items():
+        if not given.contains(key):
+            builder = builder.config(key, value)
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -63,16 +77,24 @@ def build_session(
     return spark
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process."""
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment and must be storage every
-    executor can reach. Only when it is unset (local runs, tests) a private
-    folder is created and registered so ``checkpoint()`` works.
+    executor can reach; without it this raises. Only in local mode, where
+    driver and executors are one process, a private folder is created when it
+    is unset.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
+    if not configured and not is_local(spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not configured:
         configured = tempfile.mkdtemp(prefix="daybook-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
@@ -86,10 +108,7 @@ def scratch_location(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark)}/daybook-{label}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(location: str) -> str:
-    """Strip a ``file:`` scheme so a location can be used as a plain path."""
-    if location.startswith("file://"):
-        return location[len("file://"):]
-    if location.startswith("file:"):
-        return location[len("file:"):]
-    return location
+def remove_location(spark: SparkSession, location: str) -> None:
+    """Delete a folder that a job made for itself, through its file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

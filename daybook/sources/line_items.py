@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.functions import to_day
+from daybook.functions import finite, to_day
 from daybook.schema import EMAIL, LINE_ITEM_COLUMNS, ORDER_DATE, ORDER_ID, PRICE, QUANTITY
 
 
@@ -44,34 +44,49 @@ def normalise_line_items(df: DataFrame) -> DataFrame:
     """Project to the five used columns with their working types.
 
     ``order_date`` becomes a DATE; quantity and price become DOUBLE through a
-    strict cast (an empty string or junk raises rather than becoming null).
-    Emails are kept verbatim: no trimming or case folding.
+    strict cast (an empty string or junk raises rather than becoming null),
+    with NaN, a missing number, as NULL; infinity raises. Emails are kept verbatim: no trimming or case folding.
+
+    Filters on ``order_date`` reach a parquet scan only if the column is a
+    DATE or TIMESTAMP; text is cast row by row.
     """
     return df.select(
         F.col(ORDER_ID),
         F.col(EMAIL).cast("string").alias(EMAIL),
         to_day(ORDER_DATE).alias(ORDER_DATE),
-        F.col(QUANTITY).cast("double").alias(QUANTITY),
-        F.col(PRICE).cast("double").alias(PRICE),
+        finite(QUANTITY).alias(QUANTITY),
+        finite(PRICE).alias(PRICE),
     )
 
 
-def line_items_from_table(spark: SparkSession, table_or_path: str) -> DataFrame:
-    """Line items from a catalog table name or a parquet location."""
+def line_items_from_table(
+    spark: SparkSession, table_or_path: str, partition_column: str | None = None
+) -> DataFrame:
+    """Line items from a catalog table name or a parquet location.
+
+    ``partition_column`` names a DATE partition column that holds each line's
+    order day; it then serves as ``order_date``, so the daily job's day and
+    history filters prune partitions before anything is read.
+    """
     if "/" in table_or_path:
         df = spark.read.parquet(table_or_path)
     else:
         df = spark.table(table_or_path)
+    if partition_column:
+        df = df.withColumn(ORDER_DATE, F.col(partition_column))
     return normalise_line_items(df)
 
 
-def line_items_from_csv(spark: SparkSession, path: str) -> DataFrame:
+def line_items_from_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Line items from CSV text files with a header line.
 
     Every cell is read as text, as the original job received it, and typed by
     ``normalise_line_items``. An empty unquoted cell is NULL; a quoted empty
     string stays ``''`` (an empty email is a customer). Extra columns are
-    ignored; columns are matched by header name, not position.
+    ignored. All files must have the same header: one that differs in names or
+    order raises, as does a line with too few cells. Cells that hold line
+    breaks need ``multi_line`` (a file is then read by one task); without it
+    their parts are short lines and raise.
     """
     # The parser returns ``nullValue`` for an empty unquoted cell and
     # ``emptyValue`` for a quoted ``""``; Spark then maps cells equal to
@@ -81,6 +96,9 @@ def line_items_from_csv(spark: SparkSession, path: str) -> DataFrame:
         spark.read.option("header", "true")
         .option("inferSchema", "false")
         .option("mode", "FAILFAST")
+        .option("enforceSchema", "false")
+        .option("columnPruning", "false")
+        .option("multiLine", str(multi_line).lower())
         .option("nullValue", "\u0000")
         .option("emptyValue", "")
         .csv(path)

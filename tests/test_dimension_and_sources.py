@@ -16,7 +16,7 @@ from daybook.operators.dimension import (
     read_dimension,
     write_dimension,
 )
-from daybook.session import local_path
+from fixtures import local_path
 from daybook.sources import line_items_from_csv
 
 
@@ -35,7 +35,7 @@ def test_daily_from_dimension_equals_backfill_slice(spark, day):
 def test_dimension_merge_handles_late_lines(spark, scratch):
     lines = text_lines(spark, GOLDEN_LINES)
     loc = scratch("dim")
-    write_dimension(build_first_order_dimension(lines), loc)
+    write_dimension(build_first_order_dimension(lines), loc, dt.date(2024, 1, 8))
     late = text_lines(spark, [("9001", "b@x.com", "2023-12-31", "1", "1.0"), ("9002", "z@x.com", "2024-01-05", "1", "1.0")])
     merged = {r.email: r.first_order_date for r in merge_first_order_dimension(read_dimension(spark, loc), late).collect()}
     assert merged["b@x.com"] == dt.date(2023, 12, 31)

@@ -11,13 +11,15 @@ from fixtures import GOLDEN_EXPECTED, GOLDEN_LINES, text_lines
 from daybook.operators import daily_stats
 from daybook.operators.sink import (
     create_daily_stats_table,
+    drop_daily_stats_table,
     read_daily_stats,
     registered_partitions,
+    table_location,
     write_daily_stats,
 )
 from daybook.plans import run_backfill, run_daily
 from daybook.schema import DAILY_STATS_COLUMNS
-from daybook.session import local_path
+from fixtures import local_path
 
 
 def _table():
@@ -94,7 +96,7 @@ def test_daily_job_table_overwrite_empty_day_and_registration(spark, scratch):
         assert dt.date(2024, 2, 1) in days and dt.date(2024, 1, 4) in days
         assert len(days) == len(GOLDEN_EXPECTED) + 1
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        drop_daily_stats_table(spark, table)
 
 
 def test_create_table_never_alters_existing(spark, scratch):
@@ -105,10 +107,9 @@ def test_create_table_never_alters_existing(spark, scratch):
         create_daily_stats_table(spark, table, scratch("other"))
         cols = [(c.name, c.dataType) for c in spark.catalog.listColumns(table)]
         assert [c[0] for c in cols] == list(DAILY_STATS_COLUMNS) + ["partition_date"]
-        loc_now = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
-        assert local_path(loc_now.data_type).rstrip("/").endswith(os.path.basename(loc))
+        assert table_location(spark, table).rstrip("/").endswith(os.path.basename(loc))
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        drop_daily_stats_table(spark, table)
 
 
 def test_daily_job_with_dimension(spark, scratch):
@@ -125,7 +126,7 @@ def test_daily_job_with_dimension(spark, scratch):
             run_daily(spark, lines, table, dt.date(2024, 1, d), dimension_location=dim)
         assert _rows(spark.table(table)) == GOLDEN_EXPECTED
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        drop_daily_stats_table(spark, table)
 
 
 def test_cli_help_parses():
@@ -154,7 +155,7 @@ def test_cli_backfill_and_daily_end_to_end(spark, scratch):
         main(["daily", "--source", src, "--table", table, "--date", "2024-01-03", "--broadcast-limit-mb", "64"])
         assert _rows(spark.table(table)) == GOLDEN_EXPECTED
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        drop_daily_stats_table(spark, table)
 
 
 def test_daily_dimension_versions_roll_forward(spark, scratch):
@@ -173,7 +174,7 @@ def test_daily_dimension_versions_roll_forward(spark, scratch):
             run_daily(spark, lines, table, dt.date(2024, 1, d), dimension_location=v2)
         assert _rows(spark.table(table)) == GOLDEN_EXPECTED
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        drop_daily_stats_table(spark, table)
 
 
 def test_parquet_table_format(spark, scratch):
@@ -188,4 +189,4 @@ def test_parquet_table_format(spark, scratch):
         assert _rows(back) == GOLDEN_EXPECTED
         assert back.where(F.col("partition_date") != F.col("order_date")).count() == 0
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        drop_daily_stats_table(spark, table)
