@@ -2,8 +2,8 @@
 
 Where no piece of the model crosses from a character to a whitespace marker,
 merges never cross either, so a text can be cut in front of every marker
-that follows another character. Each task keeps a table of the chunks it has
-seen: a chunk is segmented once by the library, and a text's ids are its
+that follows another character. Each worker process keeps a table of the
+chunks it has seen: a chunk is segmented once by the library, and a text's ids are its
 chunks' ids joined by position; decoding works the same way. The table has
 at most ``table_limit`` entries and starts afresh beyond; longer chunks than
 ``chunk_limit`` characters are segmented where they stand. Nothing is
@@ -21,6 +21,7 @@ named like a result column are replaced by it.
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -48,24 +49,22 @@ def load(model: bytes):
 
 
 class ChunkTable:
-    """Ids (little-endian, 32 bits) and decoded text of chunks."""
+    """Ids (little-endian, 32 bits) of chunks, and what they decode to where that is not the chunk."""
 
     def __init__(self, model: bytes, table_limit: int, chunk_limit: int):
         self.pieces = load(model)
         self.table_limit, self.chunk_limit = table_limit, chunk_limit
-        self.bare = [self.pieces.piece_to_id(MARK)]
         self.begin = self.packed([self.pieces.bos_id()])
         self.end = self.packed([self.pieces.eos_id()])
-        self.ids: dict[str, bytes] = {}
-        self.texts: dict[str, str] = {}
+        self.clear()
+
+    def clear(self) -> None:
+        self.ids: dict[str, bytes] = {"": self.packed([self.pieces.piece_to_id(MARK)])}
+        self.changed: dict[str, str] = {}
 
     @staticmethod
     def packed(ids: list[int]) -> bytes:
-        return b"".join(i.to_bytes(4, "little") for i in ids)
-
-    def segment(self, chunk: str) -> tuple[bytes, str]:
-        ids = self.pieces.encode(chunk) if chunk else self.bare
-        return self.packed(ids), self.pieces.decode(ids)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def chunks(self, text: str) -> list[str]:
         spaced = text.replace(MARK, " ")
@@ -74,18 +73,17 @@ class ChunkTable:
         return spaced.split(" ")
 
     def learn(self, chunks: list[str]) -> None:
-        new = set(chunks) - self.ids.keys()
-        if len(self.ids) + len(new) > self.table_limit:
-            self.ids, self.texts = {}, {}
-            new = set(chunks)
-        for chunk in new:
-            self.ids[chunk], self.texts[chunk] = self.segment(chunk)
-
-    def forget_long(self, chunks: list[str]) -> None:
-        for chunk in chunks:
-            if len(chunk) > self.chunk_limit:
-                self.ids.pop(chunk, None)
-                self.texts.pop(chunk, None)
+        known = self.ids
+        new = [c for c in set(chunks) if c not in known]
+        if len(known) + len(new) > self.table_limit:
+            self.clear()
+            known = self.ids
+            new = [c for c in set(chunks) if c not in known]
+        segmented = self.pieces.encode(new, num_threads=1)
+        for chunk, ids, back in zip(new, segmented, self.pieces.decode(segmented, num_threads=1), strict=True):
+            known[chunk] = self.packed(ids)
+            if back != chunk:
+                self.changed[chunk] = back
 
     def encode(self, text: str | None) -> tuple[bytes, str]:
         if not text:
@@ -96,17 +94,33 @@ class ChunkTable:
         except KeyError:
             self.learn(chunks)
             ids = b"".join(map(self.ids.__getitem__, chunks))
-        decoded = " ".join(map(self.texts.__getitem__, chunks))
-        if max(map(len, chunks)) > self.chunk_limit:
-            self.forget_long(chunks)
+        changed = self.changed
+        decoded = " ".join([changed.get(c, c) for c in chunks] if changed else chunks)
+        if len(text) > self.chunk_limit:
+            for chunk in chunks:
+                if len(chunk) > self.chunk_limit:
+                    self.ids.pop(chunk, None)
+                    changed.pop(chunk, None)
         return self.begin + ids + self.end, decoded
 
 
+#: The table that this worker process used last.
+_LAST: dict[tuple, ChunkTable] = {}
+
+
+def _table(model: bytes, table_limit: int, chunk_limit: int) -> ChunkTable:
+    key = (model, table_limit, chunk_limit)
+    if key not in _LAST:
+        _LAST.clear()
+        _LAST[key] = ChunkTable(*key)
+    return _LAST[key]
+
+
 def encode_texts(
     docs: DataFrame,
     model: bytes,
     text: str = "text",
-    table_limit: int = 1 << 18,
+    table_limit: int = 400_000,
     chunk_limit: int = 256,
 ) -> DataFrame:
     """``docs`` with ``n_tokens``, ``piece_ids`` (binary, 32-bit little-endian) and ``decoded``."""
@@ -116,7 +130,7 @@ def encode_texts(
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = ChunkTable(shipped.value, table_limit, chunk_limit)
+        table = _table(shipped.value, table_limit, chunk_limit)
         for batch in batches:
             ids, decoded = [], []
             for value in batch.column(text):
