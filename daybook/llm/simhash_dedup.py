@@ -116,6 +116,8 @@ def label_links(prints: np.ndarray, label: int, bits: int) -> np.ndarray:
                 owners.append(np.repeat(at.astype(np.int32), len(masks)))
                 far.append(np.full(len(at) * len(masks), flips == 2))
     points, owners, far = map(np.concatenate, (points, owners, far))
+    if not len(points):
+        return np.zeros((0, 2), np.uint64)
     order = np.argsort(points)
     points, owners, far = points[order], owners[order], far[order]
     same = points[1:] == points[:-1]
