@@ -16,8 +16,11 @@ These are defaults: what spark-submit, spark-defaults or the caller sets wins.
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
@@ -112,3 +115,18 @@ def remove_location(spark: SparkSession, location: str) -> None:
     """Delete a folder that a job made for itself, through its file system."""
     path = spark._jvm.org.apache.hadoop.fs.Path(location)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Spark send this package to Python workers that could not import it.
+
+    Workers see the driver's PYTHONPATH and working folder, or what
+    ``--py-files`` shipped; only where the package is on neither path is it
+    zipped and added to the session, once.
+    """
+    root = Path(__file__).resolve().parent.parent
+    known = [Path(p).resolve() for p in [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)] if p]
+    if root in known or not (root / "daybook").is_dir() or getattr(spark.sparkContext, "_daybook_shipped", False):
+        return
+    spark.sparkContext.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp()}/daybook", "zip", root, "daybook"))
+    spark.sparkContext._daybook_shipped = True
