@@ -271,7 +271,7 @@ def style_trees(features: DataFrame, pages: int) -> DataFrame:
     return common.join(rare, ["host", "place"], "left").select(
         "host", "place", "parent", "n",
         F.least(F.lit(1.0), F.col("style") / F.log("m")).alias("own"),
-        F.least(F.lit(1.0), F.col("text") / F.log("m")).alias("spread"),
+        F.when(F.col("text").isNotNull(), F.least(F.lit(1.0), F.col("text") / F.log("m"))).alias("spread"),
         F.coalesce("rare", F.lit(0)).alias("rare"),
     )
 

@@ -16,6 +16,7 @@ from daybook.llm.substring_dedup import without_repeats
 from daybook.llm.topk_search import top_products
 from daybook.llm.toxicity import score_texts, train
 from daybook.llm.url_filter import filter_urls
+from daybook.session import ship_package
 
 #: The rules that the URL query applies.
 URL_RULES = """SELECT * FROM VALUES
@@ -30,6 +31,7 @@ PIECE_MODEL = "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

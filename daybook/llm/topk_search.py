@@ -94,7 +94,7 @@ class Search:
                 self.counts["bucket"] += 1
                 continue
             local = beat / scale if scale > 0 else 0.0
-            if local >= self.coordinate_from:
+            if scale > 0 and local >= max(0.0, self.coordinate_from):
                 self.counts["coordinate"] += 1
                 chosen = self._near(unit, own / length, local - MARGIN)
             else:

@@ -1,0 +1,228 @@
+"""Toxicity, language, retrieval and page text: held-out accuracy, brute force, odd rows."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from daybook.llm import language_id, page_text, toxicity
+from daybook.llm.topk_search import Search, top_products
+
+NAN = float("nan")
+
+
+def prose(r, words, n):
+    return " ".join("".join(r.choices(words, k=r.randint(1, 3))) for _ in range(n))
+
+
+# --- toxicity
+
+
+def labelled(seed, n, share=0.3):
+    r = random.Random(seed)
+    syllables, insults = "ra to mi ken sul da ver on el ip".split(), ["grobnik", "scumly", "twerpos", "zilch"]
+    out = []
+    for i in range(n):
+        words = prose(r, syllables, r.randint(20, 120)).split()
+        toxic = r.random() < share
+        for _ in range(r.randint(1, 5) if toxic else 0):
+            words.insert(r.randrange(len(words)), r.choice(insults))
+        out.append((i, " ".join(words), int(toxic)))
+    return out
+
+
+def test_toxicity_on_texts_not_learned_from(spark):
+    rows = labelled(1, 500)
+    docs = spark.createDataFrame([(i, t, "mine", 0.5) for i, t, _ in rows], "doc_id long, text string, source string, score double")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows if i % 5] + [(1, None), (None, 1), (2, rows[2][2])], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    assert model.constant is None
+    got = {r.doc_id: r.score for r in toxicity.score_texts(docs, model).collect()}
+    held = [(got[i], y) for i, _, y in rows if i % 5 == 0]
+    assert sum((s >= 0.5) == y for s, y in held) / len(held) > 0.95
+    assert all(0 <= s <= 1 for s in got.values())
+
+
+def test_toxicity_of_odd_rows(spark):
+    rows = labelled(2, 300)
+    model = toxicity.fit([t for _, t, y in rows if y], [t for _, t, y in rows if not y], 0.3)
+    docs = spark.createDataFrame([(1, None), (2, ""), (3, " \n"), (4, "x" * 300_000), (5, "grobnik scumly"), (5, "grobnik scumly")], "doc_id int, text string")
+    got = [(r.doc_id, r.score) for r in toxicity.score_texts(docs, model).collect()]
+    by = dict(got)
+    assert by[1] == by[2] == by[3] < 0.5 < by[5] and by[4] < 0.5 and got.count((5, by[5])) == 2
+    assert toxicity.score_texts(docs.limit(0), model).count() == 0
+
+
+def test_toxicity_without_enough_labels(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string")
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    few = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    assert [r.score for r in toxicity.score_texts(docs, toxicity.train(docs, none)).collect()] == [0.0, 0.0]
+    assert [r.score for r in toxicity.score_texts(docs, toxicity.train(docs, few)).collect()] == [0.5, 0.5]
+
+
+# --- language
+
+
+SOUNDS = {"aa": "the ing er on th".split(), "bb": "ung sch ei ä ver".split(), "cc": "oi eau é ette qu".split()}
+
+
+def test_language_on_texts_not_learned_from(spark):
+    r = random.Random(4)
+    rows = [(i, prose(r, SOUNDS[lang], r.randint(3, 60)), lang) for i, lang in enumerate(r.choices(sorted(SOUNDS), k=240))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    net = language_id.train(docs.where("doc_id % 3 <> 1"))
+    odd = [(900, None), (901, ""), (902, "123 ... !"), (903, "THEING ERON THTHE" * 9000), (904, "é"), (904, "é")]
+    asked = docs.select("doc_id", "text").union(spark.createDataFrame(odd, "doc_id long, text string")).withColumn("score", F.lit("mine"))
+    got = language_id.label_languages(asked, net).collect()
+    label = {r.doc_id: (r.lang_pred, r.score) for r in got}
+    held = [label[i][0] == lang for i, _, lang in rows if i % 3 == 1]
+    assert sum(held) / len(held) > 0.95
+    assert all(label[i] == ("und", 0.0) for i in (900, 901, 902))
+    assert label[903][0] == "aa" and len(got) == len(rows) + len(odd)
+    assert all(0 <= s <= 1 for _, s in label.values())
+    assert language_id.label_languages(asked.limit(0), net).count() == 0
+
+
+def test_language_without_labels(spark):
+    docs = spark.createDataFrame([(1, "a b", None)], "doc_id long, text string, lang string")
+    net = language_id.train(docs)
+    assert [(r.lang_pred, r.score) for r in language_id.label_languages(docs, net).collect()] == [("und", 0.0)]
+
+
+def test_backpropagation_against_differences():
+    rng = np.random.default_rng(0)
+    h, k = 3, 2
+    side = language_id.Direction(rng.normal(size=(256, 3 * h)), rng.normal(size=(h, 3 * h)), rng.normal(size=(h, k)))
+    text = rng.integers(0, 4, (5, 2)).astype(np.uint8)
+    weight = rng.normal(size=(5, 2, h)).astype(np.float32)
+    side.inputs, side.state = side.inputs.astype(np.float32), side.state.astype(np.float32)
+    loss = lambda: float((language_id._run(side, text) * weight).sum())
+    keep: list = []
+    language_id._run(side, text, keep)
+    for name, gradient in zip(("inputs", "state"), language_id._gradients(side, text, keep, weight), strict=True):
+        w = getattr(side, name)
+        for at in [(int(text[0, 0]) if name == "inputs" else 1, j) for j in range(3 * h)]:
+            old, step = w[at], 1e-2
+            w[at] = old + step
+            up = loss()
+            w[at] = old - step
+            down = loss()
+            w[at] = old
+            assert abs((up - down) / (2 * step) - gradient[at]) < 2e-2
+
+
+# --- retrieval
+
+
+def vectors():
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(6, 16))
+    rows = [(i, (centres[i % 6] + 0.3 * rng.normal(size=16)).tolist()) for i in range(400)]
+    rows += [(500 + i, rows[50][1]) for i in range(30)]  # ties
+    rows += [(600, [0.0] * 16), (601, None), (602, []), (603, [NAN] * 16), (604, [float("inf")] + [0.0] * 15), (605, [None] + [0.0] * 15)]
+    rows += [(650, [1.0, -1.0]), (None, [1.0] * 16), (700, [9.0] * 16), (450, [-x for x in rows[0][1]])]
+    return rows
+
+
+def top_by_hand(rows, k=5):
+    good = [(i, [int(np.floor(256 * np.float64(np.float32(x)))) for x in v]) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
+    out = set()
+    for q, own in good:
+        if q % 50 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(own, v)), i) for i, v in good if i != q)
+            out |= {(q, n, i, -s) for n, (s, i) in enumerate(scored[:k], 1)}
+    return out
+
+
+@pytest.mark.parametrize("options", [{}, {"bucket": 16, "seeds": 4, "block": 3}, {"coordinate_from": 0.0, "bucket": 50}, {"coordinate_from": 2.0, "bucket": 50}])
+def test_top_products_equal_brute_force(spark, options):
+    rows = vectors()
+    frame = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<float>, rank int").select("vec_id", "embedding").repartition(3)
+    got = {tuple(r) for r in top_products(frame, F.col("vec_id") % 50 == 0, **options).collect()}
+    assert got == top_by_hand(rows)
+
+
+def test_buckets_are_pruned():
+    rng = np.random.default_rng(1)
+    own = rng.integers(-50, 50, (1, 8))
+    search = Search(np.array([0]), own, 1, np.array([float((own**2).sum())]), 0.5, 4)
+    close = np.vstack([own * 1, rng.integers(-5, 5, (200, 8))])
+    for block in (close, rng.integers(-3, 3, (200, 8))):
+        search.bucket(np.arange(1, len(block) + 1), block, (block.astype(float) ** 2).sum(1))
+    assert search.counts["bucket"] == 1 and search.counts["coordinate"] == 1 and search.counts["verified"] < 20
+    assert search.best == [[(-int((own**2).sum()), 1)]]
+
+
+def test_no_vectors(spark):
+    frame = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    assert top_products(frame, F.col("vec_id") % 50 == 0).count() == 0
+
+
+# --- page text
+
+
+def body(*parts):
+    return "<!DOCTYPE html><html><head><title>t</title><style>p{}</style></head><body>" + "".join(parts) + "</body></html>"
+
+
+def text_of(page, **k):
+    return page_text.text_of(page_text.parse(page, **k))
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        (None, ""),
+        ("", ""),
+        ("plain &amp; simple", "plain & simple"),
+        (body("<nav><a>menu</a></nav><article><h1>T</h1><p>a<p>b</article><footer>f</footer>"), "T\na\nb"),
+        (body("<div class=ad>buy</div><div><p>a <b>b</b>\n c&nbsp;d</p></div>"), "a b c d"),
+        (body("<article><p><b>one<br><p>two</p></article>"), "one\ntwo"),
+        (body("<script>var t='</p>';</script><p>a</p><!-- <p>x</p> --><form><p>f</p></form>"), "a"),
+        (body("<article><p>a</p><section id=comments><p>c</p></section><div class='share-bar'>s</div></article>"), "a"),
+        (body("<header>h</header><main><header><h1>T</h1></header><p>a</p></main><aside>s</aside>"), "T\na"),
+        (body("<div id='cookie-notice'>c</div><ul><li>a<li>b<ul><li>c</ul></ul>"), "a\nb\nc"),
+        (body("<table><tr><td>a<td>b<tr><td>c</table>"), "a\nb\nc"),
+        (body("<p title='a>b' hidden>x</p><p>y</p><p style='display: none'>z</p>"), "y"),
+        ("<p>open <b>never closed", "open never closed"),
+        ("</div></p><p>a</p></article>", "a"),
+        ("<p>&lt;p&gt; &#233;&eacute; &bogus; 1 < 2</p>", "<p> éé &bogus; 1 < 2"),
+        ("<p>a</p><!-- never closed <p>b</p>", "a"),
+        ("<p>a</p><script>never closed <p>b</p>", "a"),
+        ("<div>" * 3000 + "deep" + "</div>" * 3000, "deep"),
+        ("<p>" + "w " * 100_000 + "</p>", ("w " * 100_000).strip()),
+    ],
+)
+def test_page_texts(page, text):
+    assert text_of(page) == text
+
+
+def test_repeated_branches_go_by_importance(spark):
+    r = random.Random(8)
+    pages = []
+    for i in range(30):
+        paragraphs = "".join(f"<p>{prose(r, ['ka', 'lo', 'mi', 'tu'], 12)}</p>" for _ in range(r.randint(2, 6)))
+        pages.append((i, "http://a.net/x", body(f"<div class=top><p>Welcome to our site</p></div><div class=text>{paragraphs}</div><div class=end><p>Same line</p></div>")))
+    pages += [(100, "http://b.net/", body("<div class=top><p>Welcome to our site</p></div>")), (101, None, None), (102, "http://a.net/y", ""), (102, "http://a.net/y", "")]
+    frame = spark.createDataFrame([(*p, "mine") for p in pages], "page_id int, url string, html string, text string")
+    for limit in (16 << 20, 0):
+        out = page_text.main_texts(frame, broadcast_limit=limit)
+        assert out.columns == ["page_id", "url", "text", "n_chars"]
+        got = {r.page_id: r.text for r in out.collect()}
+        for i in range(30):
+            assert got[i] == "\n".join(b[0] for b in page_text.parse(pages[i][2]) if b[0] not in ("Welcome to our site", "Same line"))
+        assert got[100] == "Welcome to our site" and got[101] == got[102] == ""
+        assert out.count() == len(pages)
+    assert page_text.main_texts(frame.limit(0)).count() == 0
+
+
+def test_importance_by_hand():
+    node = lambda place, parent, n, own, spread=None, rare=0: {"place": place, "parent": parent, "n": n, "own": own, "spread": spread, "rare": rare}
+    nodes = [node(0, -1, 10, 0.0), node(1, 0, 10, 0.0), node(2, 1, 10, 0.0, 1.0), node(3, 1, 10, 0.8, 0.0), node(4, 0, 10, 0.0, None, 10)]
+    # 2 repeats one text; 3 has its own; 1 holds both: (1 - .81) * 0 + .81 * mean(0, 1); 4 has only rare children.
+    assert page_text.low_branches(nodes, 0.15) == [2]
+    assert sorted(page_text.low_branches(nodes, 0.5)) == [1, 2]
