@@ -12,7 +12,7 @@ the base m, of its child sequences; a text on k pages has entropy log k to
 the base m, and content importance is 1 less the mean of that. Both meet in a
 composite importance from the leaves up (Yi, Liu and Li, KDD 2003): with l
 children it is (1 - g^l) of the node's own plus g^l of its children's mean.
-Branches below ``least`` go, on hosts with ``pages`` pages or more; nodes on
+Branches all of whose nodes are below ``least`` go, on hosts with ``pages`` pages or more; nodes on
 less than a tenth of a host's pages count as important, so that a tree has at
 most ten times as many nodes as a page.
 
@@ -277,12 +277,13 @@ def style_trees(features: DataFrame, pages: int) -> DataFrame:
 
 
 def low_branches(nodes: list[dict], least: float, damping: float = 0.9) -> list[int]:
-    """Places of one host whose composite importance is below ``least``."""
+    """Places of one host where composite importance is below ``least`` all the way down."""
     below: dict[int, list[dict]] = {}
     for node in nodes:
         if node["place"]:
             below.setdefault(node["parent"], []).append(node)
     known: dict[int, float] = {}
+    low: set[int] = set()
     stack = [(n, False) for n in below.get(0, [])]
     while stack:
         node, ready = stack.pop()
@@ -296,13 +297,12 @@ def low_branches(nodes: list[dict], least: float, damping: float = 0.9) -> list[
             weights.append((node["rare"], 1.0))
         if node["spread"] is not None:
             weights.append((node["n"], 1.0 - node["spread"]))
-        if not weights:
-            known[node["place"]] = node["own"]
-            continue
-        inner = sum(w * x for w, x in weights) / sum(w for w, _ in weights)
-        share = damping ** len(children)
+        share = damping ** len(children) if weights else 0.0
+        inner = sum(w * x for w, x in weights) / sum(w for w, _ in weights) if weights else 0.0
         known[node["place"]] = (1 - share) * node["own"] + share * inner
-    return [p for p, x in known.items() if x < least]
+        if known[node["place"]] < least and not node["rare"] and all(c["place"] in low for c in children):
+            low.add(node["place"])
+    return sorted(low)
 
 
 def _cut_places(trees: DataFrame, least: float) -> DataFrame:
