@@ -1,0 +1,30 @@
+"""The training-data operators are optional: the rest must not need them."""
+
+from __future__ import annotations
+
+import subprocess
+import sys
+
+from conftest import ROOT
+
+CODE = """
+import sys
+sys.modules["daybook.llm"] = None
+import __spark_entry__ as e
+names = set(e.queries())
+assert "daily_stats_backfill" in names and "pipeline" not in names and not any(n.startswith("op") for n in names)
+assert set(e.oracle_sql()) == names
+"""
+
+
+def test_entry_without_the_subpackage():
+    subprocess.run([sys.executable, "-c", CODE], cwd=ROOT, check=True, timeout=120)
+
+
+def test_nothing_else_imports_the_subpackage():
+    found = subprocess.run(
+        ["grep", "-rlE", "daybook\\.llm|corpus_pipeline", "--include=*.py", "daybook", "bench.py", "tests"],
+        cwd=ROOT, capture_output=True, text=True,
+    ).stdout.split()
+    allowed = ("daybook/llm/", "tests/llm/", "tests/test_without_llm.py")
+    assert [f for f in found if not f.startswith(allowed)] == []
