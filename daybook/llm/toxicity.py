@@ -160,7 +160,7 @@ def fit(toxic: list[str], ordinary: list[str], share: float) -> Classifier:
         leans = {w: sign * lean(w) for w, n in found.items() if n >= 4}
         return sorted((w for w in leans if leans[w] > least), key=lambda w: (-leans[w], w))
 
-    toxic_words, ordinary_words = telling(in_toxic, 1, 4.5), telling(in_ordinary, -1, 2.0)
+    toxic_words, ordinary_words = telling(in_toxic, 1, 5.5), telling(in_ordinary, -1, 2.0)
     usual = sorted(in_ordinary, key=lambda w: (-in_ordinary[w], w))[:600]
     shared = b" " + b" ".join([w for w in usual if lean(w) < 3][:150][::-1]) + b" "
     y = np.concatenate([np.ones(len(held[0])), np.zeros(len(held[1]))])
