@@ -1,6 +1,6 @@
 """DataFrame -> DataFrame operators of the statistics pipeline."""
 
-from daybook.operators.daily_stats import (
+from daybook.operators.per_day import (
     daily_stats,
     daily_stats_for_day,
     daily_totals,

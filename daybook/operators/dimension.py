@@ -29,7 +29,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.operators.daily_stats import (
+from daybook.operators.per_day import (
     as_date,
     assemble,
     customers_of_day,

@@ -14,7 +14,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.operators.daily_stats import daily_stats, daily_stats_for_day
+from daybook.operators.per_day import daily_stats, daily_stats_for_day
 from daybook.operators.dimension import (
     build_first_order_dimension,
     covered_through,

@@ -51,7 +51,7 @@ def test_daily_job_pushes_day_filters_to_scan(spark, scratch):
 
     from pyspark.sql import functions as F
 
-    from daybook.operators.daily_stats import order_grain
+    from daybook.operators.per_day import order_grain
 
     # The day's lines (read once, into the checkpoint) ...
     day_plan = _plan(order_grain(lines.where(F.col("order_date") == dt.date(2024, 1, 2))))
