@@ -12,14 +12,16 @@ the base m, of its child sequences; a text on k pages has entropy log k to
 the base m, and content importance is 1 less the mean of that. Both meet in a
 composite importance from the leaves up (Yi, Liu and Li, KDD 2003): with l
 children it is (1 - g^l) of the node's own plus g^l of its children's mean.
-Branches all of whose nodes are below ``least`` go, on hosts with ``pages`` pages or more; nodes on
-less than a tenth of a host's pages count as important, so that a tree has at
-most ten times as many nodes as a page.
+Branches all of whose nodes are below ``least`` go, inside articles and
+outside; nodes on less than a tenth of a host's pages count as important, so
+that a tree has at most ten times as many nodes as a page.
+
+An article or main element is a weight, not a verdict: it multiplies the odds
+of importance by ``ODDS`` inside, and divides them outside on hosts whose
+pages have one (by the power of their share).
 
 Elements that announce what they are (navigation, adverts, forms, comments
-by tag, role or class) have no presentation importance whatever the counts,
-and an announced article is never taken for noise. Where a page has an
-article with text, only what is inside counts.
+by tag, role or class) are dropped whatever the counts.
 
 Blocks are what block-level elements hold directly; inline markup and line
 breaks stay inside. Character references are decoded, white space becomes
@@ -86,6 +88,8 @@ ENDS = {
     "option": ({"option"}, {"select"}),
 }
 RESULT = ("text", "n_chars")
+#: What an article element multiplies the odds of importance by.
+ODDS = 9.0
 
 
 class Node:
@@ -117,7 +121,7 @@ def _announced(tag: str, attributes: str, inside_main: bool) -> tuple[str, bool]
 def parse(page: str | None, cut: frozenset[int] = frozenset(), seen: list | None = None) -> list[tuple[str, bool, bool]]:
     """Blocks that announce nothing: text, inside an article, in a branch of ``cut``.
 
-    ``seen`` gets (place, parent, is content, feature) of every node.
+    ``seen`` gets (place, parent, is content, feature, inside an article) of every node.
     """
     from xxhash import xxh3_64_intdigest as digest
 
@@ -134,7 +138,7 @@ def parse(page: str | None, cut: frozenset[int] = frozenset(), seen: list | None
                 if not holder.noise:
                     blocks.append((text, holder.main, holder.cut))
                 if seen is not None:
-                    seen.append((holder.place, -1, True, digest(text.encode())))
+                    seen.append((holder.place, -1, True, digest(text.encode()), holder.main))
 
     def close(count: int) -> None:
         for _ in range(count):
@@ -142,7 +146,7 @@ def parse(page: str | None, cut: frozenset[int] = frozenset(), seen: list | None
             if node.tag not in INLINE:
                 flush()
                 if seen is not None:
-                    seen.append((node.place, stack[-2].place, False, digest(" ".join(node.children).encode())))
+                    seen.append((node.place, stack[-2].place, False, digest(" ".join(node.children).encode()), node.main))
             stack.pop()
 
     def end(wanted: set[str], stop: set[str]) -> None:
@@ -210,17 +214,12 @@ def parse(page: str | None, cut: frozenset[int] = frozenset(), seen: list | None
     flush()
     close(len(stack) - 1)
     if seen is not None:
-        seen.append((0, -1, False, digest(" ".join(root.children).encode())))
+        seen.append((0, -1, False, digest(" ".join(root.children).encode()), False))
     return blocks
 
 
 def text_of(blocks: list[tuple[str, bool, bool]]) -> str:
-    for kept in ([b for b in blocks if not b[2]], blocks):
-        inside = [b for b in blocks if b[1]]
-        chosen = inside or kept
-        if chosen:
-            return "\n".join(b[0] for b in chosen)
-    return ""
+    return "\n".join(b[0] for b in [b for b in blocks if not b[2]] or blocks)
 
 
 def _features(pages: DataFrame, html: str) -> DataFrame:
@@ -233,15 +232,15 @@ def _features(pages: DataFrame, html: str) -> DataFrame:
                 seen: list = []
                 parse(page.as_py(), seen=seen)
                 rows += [(host, *x) for x in set(seen)]
-            columns = list(zip(*rows, strict=True)) or [()] * 5
+            columns = list(zip(*rows, strict=True)) or [()] * 6
             signed = lambda c: pa.array([v - (1 << 64) if v >> 63 and v > 0 else v for v in c], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.string()), signed(columns[1]), signed(columns[2]), pa.array(columns[3], pa.bool_()), signed(columns[4])],
-                ["host", "place", "parent", "content", "feature"],
+                [pa.array(columns[0], pa.string()), signed(columns[1]), signed(columns[2]), pa.array(columns[3], pa.bool_()), signed(columns[4]), pa.array(columns[5], pa.bool_())],
+                ["host", "place", "parent", "content", "feature", "main"],
             )
 
     narrow = pages.select("_host", F.col(html).alias("_html"))
-    return narrow.mapInArrow(run, "host string, place bigint, parent bigint, content boolean, feature bigint")
+    return narrow.mapInArrow(run, "host string, place bigint, parent bigint, content boolean, feature bigint, main boolean")
 
 
 def style_trees(features: DataFrame, pages: int) -> DataFrame:
@@ -250,15 +249,19 @@ def style_trees(features: DataFrame, pages: int) -> DataFrame:
     ``own`` is presentation importance, ``spread`` the mean entropy of texts;
     ``rare`` the pages of children that are on few of the host's pages.
     """
-    counted = features.groupBy("host", "place", "parent", "content", "feature").agg(F.count("*").alias("n"))
+    counted = features.groupBy("host", "place", "parent", "content", "feature").agg(
+        F.count("*").alias("n"), F.max("main").alias("main")
+    )
     nodes = counted.groupBy("host", "place", "content").agg(
         F.max("parent").alias("parent"),
+        F.max("main").alias("main"),
         F.sum("n").alias("_sum"),
         F.sum(F.col("n") * F.log("n")).alias("_nlogn"),
         F.avg(F.log("n")).alias("_logn"),
     )
     nodes = nodes.groupBy("host", "place").agg(
         F.max(F.when(~F.col("content"), F.col("parent"))).alias("parent"),
+        F.max("main").alias("main"),
         F.max(F.when(~F.col("content"), F.col("_sum"))).alias("n"),
         F.max(F.when(~F.col("content"), F.log("_sum") - F.col("_nlogn") / F.col("_sum"))).alias("style"),
         F.max(F.when(F.col("content"), F.col("_logn"))).alias("text"),
@@ -269,7 +272,7 @@ def style_trees(features: DataFrame, pages: int) -> DataFrame:
     common = nodes.where("n * 10 >= m")
     rare = nodes.where("n * 10 < m").groupBy("host", F.col("parent").alias("place")).agg(F.sum("n").alias("rare"))
     return common.join(rare, ["host", "place"], "left").select(
-        "host", "place", "parent", "n",
+        "host", "place", "parent", "main", "n",
         F.least(F.lit(1.0), F.col("style") / F.log("m")).alias("own"),
         F.when(F.col("text").isNotNull(), F.least(F.lit(1.0), F.col("text") / F.log("m"))).alias("spread"),
         F.coalesce("rare", F.lit(0)).alias("rare"),
@@ -277,7 +280,9 @@ def style_trees(features: DataFrame, pages: int) -> DataFrame:
 
 
 def low_branches(nodes: list[dict], least: float, damping: float = 0.9) -> list[int]:
-    """Places of one host where composite importance is below ``least`` all the way down."""
+    """Places of one host where weighed composite importance is below ``least`` all the way down."""
+    pages = max((n["n"] for n in nodes if not n["place"]), default=1)
+    articles = max((n["n"] for n in nodes if n.get("main")), default=0) / pages
     below: dict[int, list[dict]] = {}
     for node in nodes:
         if node["place"]:
@@ -300,7 +305,9 @@ def low_branches(nodes: list[dict], least: float, damping: float = 0.9) -> list[
         share = damping ** len(children) if weights else 0.0
         inner = sum(w * x for w, x in weights) / sum(w for w, _ in weights) if weights else 0.0
         known[node["place"]] = (1 - share) * node["own"] + share * inner
-        if known[node["place"]] < least and not node["rare"] and all(c["place"] in low for c in children):
+        odds = ODDS if node.get("main") else ODDS ** -min(1.0, articles)
+        value = known[node["place"]]
+        if odds * value / (odds * value + 1 - value) < least and not node["rare"] and all(c["place"] in low for c in children):
             low.add(node["place"])
     return sorted(low)
 

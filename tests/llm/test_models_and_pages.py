@@ -228,3 +228,47 @@ def test_importance_by_hand():
     # 1 is below one half with .405, but not what is under it.
     assert page_text.low_branches(nodes, 0.5) == [2]
     assert page_text.low_branches([*nodes[:3], node(5, 2, 10, 0.1, 1.0)], 0.5) == [1, 2, 5]
+
+
+def site(seed, count, page):
+    """Pages of a host: ``page`` gets what makes invented paragraphs."""
+    r = random.Random(seed)
+    new = lambda n=3: "".join(f"<p>{prose(r, ['ka', 'lo', 'mi', 'tu'], 12)}</p>" for _ in range(n))
+    return [(i, "http://a.net/x", body(page(new))) for i in range(count)]
+
+
+def lines(html):
+    return html.replace("</p>", "\n").replace("<p>", "").split("\n")[:-1]
+
+
+def page_results(spark, pages):
+    frame = spark.createDataFrame(pages, "page_id int, url string, html string")
+    return {r.page_id: r.text for r in page_text.main_texts(frame).collect()}
+
+
+def test_importance_chooses_inside_articles_and_outside(spark):
+    stories = []
+
+    def page(new):
+        stories.append(lines(story := new()))
+        return f"<div class=top><p>Welcome</p></div><article class=card><h2>Our shop</h2></article><div class=story>{story}</div>"
+
+    got = page_results(spark, site(1, 20, page))
+    assert got == {i: "\n".join(s) for i, s in enumerate(stories)}
+    stories.clear()
+
+    def page(new):
+        stories.append(lines(story := new()))
+        return f"<div class=top><p>Welcome</p></div><article><div class=legal>All rights</div>{story}</article>"
+
+    got = page_results(spark, site(2, 20, page))
+    assert got == {i: "\n".join(s) for i, s in enumerate(stories)}
+
+
+def test_articles_weigh_in_importance():
+    node = lambda place, parent, own, **k: {"place": place, "parent": parent, "n": 10, "own": own, "spread": None, "rare": 0, **k}
+    root, low, half = node(0, -1, 0.0), node(1, 0, 0.05), node(1, 0, 0.5)
+    assert page_text.low_branches([root, low], 0.15) == [1] and page_text.low_branches([root, {**low, "main": True}], 0.15) == []
+    # Half important: less beside an article.
+    assert page_text.low_branches([root, half], 0.15) == [] and page_text.low_branches([root, half, node(2, 0, 1.0, main=True)], 0.15) == [1]
+    assert page_text.low_branches([root, node(1, 0, 0.0, main=True)], 0.15) == [1]
