@@ -18,10 +18,14 @@ that a tree has at most ten times as many nodes as a page.
 
 An article or main element is a weight, not a verdict: it multiplies the odds
 of importance by ``ODDS`` inside, and divides them outside on hosts whose
-pages have one (by the power of their share).
+pages have one (by the power of their share). The same odds weigh a page's
+characters, uncut ones against cut ones too.
 
-Elements that announce what they are (navigation, adverts, forms, comments
-by tag, role or class) are dropped whatever the counts.
+Elements that announce by tag or role what they are (navigation, forms,
+asides) are dropped up to an article or main element in them that is not
+itself in an article, hidden ones whole. A class or id word is a low prior only: such a branch stays if, with
+its odds divided by ``ODDS``, its share of the page's weighed characters is
+``least`` or more; an article or main element in it is judged without it.
 
 Blocks are what block-level elements hold directly; inline markup and line
 breaks stay inside. Character references are decoded, white space becomes
@@ -30,8 +34,9 @@ one space.
 Defined results: null and empty pages have an empty text; a null URL belongs
 to the host ''; unclosed and stray tags are closed or passed over as browsers
 do; a page that would lose all text by importance keeps what announces
-nothing; repeated rows each count as a page. Input columns named like a
-result column are replaced.
+nothing, and if nothing is left, what announces itself by words; repeated
+rows each count as a page. Input columns named like a result column are
+replaced.
 """
 
 from __future__ import annotations
@@ -88,21 +93,32 @@ ENDS = {
     "option": ({"option"}, {"select"}),
 }
 RESULT = ("text", "n_chars")
-#: What an article element multiplies the odds of importance by.
+#: What an article element multiplies the odds of importance by, and a class or id word divides them by.
 ODDS = 9.0
+#: How surely an element says that it is not the article.
+WORD, KIND, HIDDEN = 1, 2, 3
+
+
+class Branch:
+    """What an element with a class or id word holds."""
+
+    __slots__ = ("up", "at")
+
+    def __init__(self, up: Branch | None, at: int):
+        self.up, self.at = up, at
 
 
 class Node:
-    __slots__ = ("tag", "place", "noise", "main", "cut", "children")
+    __slots__ = ("tag", "place", "noise", "main", "cut", "branch", "children")
 
-    def __init__(self, tag: str, place: int, noise: bool, main: bool, cut: bool):
-        self.tag, self.place, self.noise, self.main, self.cut = tag, place, noise, main, cut
+    def __init__(self, tag: str, place: int, noise: int, main: bool, cut: bool, branch: Branch | None):
+        self.tag, self.place, self.noise, self.main, self.cut, self.branch = tag, place, noise, main, cut, branch
         self.children: list[str] = []
 
 
-def _announced(tag: str, attributes: str, inside_main: bool) -> tuple[str, bool]:
-    """The element's style, and whether it says that it is not the article."""
-    classes, noise = "", tag in NOISE_TAGS or (tag == "header" and not inside_main)
+def _announced(tag: str, attributes: str, inside_main: bool) -> tuple[str, int]:
+    """The element's style, and how surely it says that it is not the article."""
+    classes, noise = "", KIND if tag in NOISE_TAGS or (tag == "header" and not inside_main) else 0
     if attributes and not attributes.isspace():
         for name, *values, hidden in ATTRIBUTE.findall(attributes):
             name, value = name.lower(), (values[0] or values[1] or values[2]).lower()
@@ -110,24 +126,28 @@ def _announced(tag: str, attributes: str, inside_main: bool) -> tuple[str, bool]
                 if name == "class":
                     classes = DIGITS.sub("0", value)
                 if tag not in ("body", "html") and not NOISE_WORDS.isdisjoint(NAME.findall(value)):
-                    noise = True
-            elif hidden or (name == "role" and value in NOISE_ROLES) or (name == "aria-hidden" and value == "true"):
-                noise = True
+                    noise = max(noise, WORD)
+            elif hidden or (name == "aria-hidden" and value == "true"):
+                noise = HIDDEN
+            elif name == "role" and value in NOISE_ROLES:
+                noise = max(noise, KIND)
             elif name == "style" and "display:none" in value.replace(" ", ""):
-                noise = True
+                noise = HIDDEN
     return f"{tag}.{classes}" if classes else tag, noise
 
 
-def parse(page: str | None, cut: frozenset[int] = frozenset(), seen: list | None = None) -> list[tuple[str, bool, bool]]:
-    """Blocks that announce nothing: text, inside an article, in a branch of ``cut``.
+def parse(
+    page: str | None, cut: frozenset[int] = frozenset(), seen: list | None = None
+) -> list[tuple[str, bool, bool, Branch | None]]:
+    """Blocks not announced as noise by tag or role: text, inside an article, in a branch of ``cut``, branch by words.
 
     ``seen`` gets (place, parent, is content, feature, inside an article) of every node.
     """
     from xxhash import xxh3_64_intdigest as digest
 
     page = page or ""
-    root = Node("", 0, False, False, False)
-    stack, blocks, parts, at = [root], [], [], 0
+    root = Node("", 0, 0, False, False, None)
+    stack, blocks, parts, at, branches = [root], [], [], 0, 0
 
     def flush() -> None:
         if parts:
@@ -136,7 +156,7 @@ def parse(page: str | None, cut: frozenset[int] = frozenset(), seen: list | None
             if text:
                 holder = next(n for n in reversed(stack) if n.tag not in INLINE)
                 if not holder.noise:
-                    blocks.append((text, holder.main, holder.cut))
+                    blocks.append((text, holder.main, holder.cut, holder.branch))
                 if seen is not None:
                     seen.append((holder.place, -1, True, digest(text.encode()), holder.main))
 
@@ -190,7 +210,7 @@ def parse(page: str | None, cut: frozenset[int] = frozenset(), seen: list | None
                 continue
             if tag in VOID:
                 continue
-            stack.append(Node(tag, parent.place, parent.noise, parent.main, parent.cut))
+            stack.append(Node(tag, parent.place, parent.noise, parent.main, parent.cut, parent.branch))
             if noise and not parent.noise:  # an inline element that announces itself holds a block of its own
                 stack.pop()
                 flush()
@@ -201,8 +221,14 @@ def parse(page: str | None, cut: frozenset[int] = frozenset(), seen: list | None
         if tag in VOID:
             continue
         place = digest(style.encode(), parent.place)
+        inherited, branch = parent.noise, parent.branch
+        if tag in MAIN_TAGS and inherited != HIDDEN and all(n.tag != "article" for n in stack):
+            inherited, branch = 0, None  # an article is not taken for what is around it; one in an article may be a comment
+        if noise == WORD:
+            branches += 1
+            branch, noise = Branch(branch, branches), 0
         main = parent.main or tag in MAIN_TAGS
-        node = Node(tag.rstrip(":"), place, parent.noise or noise, main, parent.cut or (place in cut))
+        node = Node(tag.rstrip(":"), place, max(inherited, noise), main, parent.cut or (place in cut), branch)
         if tag in RAW:
             finish = re.compile(f"</{re.escape(tag)}(?=[\\s/>]|\\Z)", re.I).search(page, at)
             at = len(page) if finish is None else page.find(">", finish.start()) + 1 or len(page)
@@ -218,8 +244,33 @@ def parse(page: str | None, cut: frozenset[int] = frozenset(), seen: list | None
     return blocks
 
 
-def text_of(blocks: list[tuple[str, bool, bool]]) -> str:
-    return "\n".join(b[0] for b in [b for b in blocks if not b[2]] or blocks)
+def text_of(blocks: list[tuple[str, bool, bool, Branch | None]], least: float = 0.15) -> str:
+    """The text of the blocks that are not cut, without branches by words that hold too little of the page."""
+    branches: dict[int, Branch] = {}
+    masses: dict[int, float] = {}
+    total = 0.0
+    for text, main, cut, branch in blocks:
+        # A word inside an article takes its weight back.
+        mass = len(text) * ODDS ** ((main and branch is None) - cut)
+        total += mass
+        if branch is not None:
+            masses[branch.at] = masses.get(branch.at, 0.0) + mass
+        while branch is not None and branch.at not in branches:
+            branches[branch.at] = branch
+            branch = branch.up
+    for at in sorted(branches, reverse=True):  # a branch opens after the one that holds it
+        if (up := branches[at].up) is not None:
+            masses[up.at] = masses.get(up.at, 0.0) + masses[at]
+    low = set()
+    for at in sorted(branches):
+        up, mass = branches[at].up, masses[at] / ODDS
+        if mass < least * (mass + total - masses[at]) or (up is not None and up.at in low):
+            low.add(at)
+    plain = [b for b in blocks if b[3] is None or b[3].at not in low]
+    for chosen in ([b for b in plain if not b[2]], plain, [b for b in blocks if not b[2]]):
+        if chosen:
+            return "\n".join(b[0] for b in chosen)
+    return "\n".join(b[0] for b in blocks)
 
 
 def _features(pages: DataFrame, html: str) -> DataFrame:
@@ -347,7 +398,7 @@ def main_texts(
         for batch in batches:
             texts = []
             for page, cut in zip(batch.column("_html"), batch.column("_cut").to_pylist(), strict=True):
-                texts.append(text_of(parse(page.as_py(), frozenset(p % (1 << 64) for p in cut or ()))))
+                texts.append(text_of(parse(page.as_py(), frozenset(p % (1 << 64) for p in cut or ())), least))
             names = [f.name for f in others]
             added = [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *added], [*names, *RESULT])

@@ -272,3 +272,29 @@ def test_articles_weigh_in_importance():
     # Half important: less beside an article.
     assert page_text.low_branches([root, half], 0.15) == [] and page_text.low_branches([root, half, node(2, 0, 1.0, main=True)], 0.15) == [1]
     assert page_text.low_branches([root, node(1, 0, 0.0, main=True)], 0.15) == [1]
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        (body("<div class='layout has-sidebar'><article><p>a</p></article><div class=sidebar>s</div></div>"), "a"),
+        (body("<div id='widget-area'><main><p>a</p></main></div>"), "a"),
+        (body("<form action=/><input><nav>n</nav><article><p>a</p></article><button>b</button></form>"), "a"),
+        (body("<div class='layout has-sidebar'><div class=story><p>a story</p></div><div class=sidebar>s</div></div>"), "a story"),
+        (body("<article><p>a</p><div id=comments><article><p>c</p></article></div></article>"), "a"),
+        (body("<div hidden><article><p>x</p></article></div><p>y</p>"), "y"),
+        (body("<div class=ad>" * 3000 + "deep"), "deep"),
+    ],
+)
+def test_articles_in_announced_wrappers(page, text):
+    assert text_of(page) == text
+
+
+def test_words_are_weighed_with_the_tree(spark):
+    stories = []
+
+    def page(new):
+        stories.append(lines(story := new(6)))
+        return f"<div class=widget><div class=top>Welcome</div><div class=story>{story}</div><div class=comments>{new(1)}</div></div>"
+
+    assert page_results(spark, site(3, 20, page)) == {i: "\n".join(s) for i, s in enumerate(stories)}
