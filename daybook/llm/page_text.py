@@ -14,7 +14,10 @@ composite importance from the leaves up (Yi, Liu and Li, KDD 2003): with l
 children it is (1 - g^l) of the node's own plus g^l of its children's mean.
 Branches all of whose nodes are below ``least`` go, inside articles and
 outside; nodes on less than a tenth of a host's pages count as important, so
-that a tree has at most ten times as many nodes as a page.
+that a tree has at most ten times as many nodes as a page. Few pages say
+little: before the comparison importance is drawn to ``PRIOR`` as if by one
+more page, so what repeats on all pages of a host goes from three pages on,
+and on two pages nothing does with the given ``least``.
 
 An article or main element is a weight, not a verdict: it multiplies the odds
 of importance by ``ODDS`` inside, and divides them outside on hosts whose
@@ -95,6 +98,8 @@ ENDS = {
 RESULT = ("text", "n_chars")
 #: What an article element multiplies the odds of importance by, and a class or id word divides them by.
 ODDS = 9.0
+#: Importance before any page is seen, which counts as much as one page.
+PRIOR = 0.5
 #: How surely an element says that it is not the article.
 WORD, KIND, HIDDEN = 1, 2, 3
 
@@ -295,7 +300,7 @@ def _features(pages: DataFrame, html: str) -> DataFrame:
 
 
 def style_trees(features: DataFrame, pages: int) -> DataFrame:
-    """A row for each node of each host's tree, with what its importance needs.
+    """A row for each node of the tree of each host of ``pages`` pages or more, with what its importance needs.
 
     ``own`` is presentation importance, ``spread`` the mean entropy of texts;
     ``rare`` the pages of children that are on few of the host's pages.
@@ -358,7 +363,8 @@ def low_branches(nodes: list[dict], least: float, damping: float = 0.9) -> list[
         known[node["place"]] = (1 - share) * node["own"] + share * inner
         odds = ODDS if node.get("main") else ODDS ** -min(1.0, articles)
         value = known[node["place"]]
-        if odds * value / (odds * value + 1 - value) < least and not node["rare"] and all(c["place"] in low for c in children):
+        weighed = odds * value / (odds * value + 1 - value)
+        if (pages * weighed + PRIOR) / (pages + 1) < least and not node["rare"] and all(c["place"] in low for c in children):
             low.add(node["place"])
     return sorted(low)
 
@@ -376,7 +382,7 @@ def main_texts(
     url: str = "url",
     html: str = "html",
     least: float = 0.15,
-    pages: int = 8,
+    pages: int = 2,
     broadcast_limit: int = 16 << 20,
 ) -> DataFrame:
     """``pages_table`` without its HTML, with ``text`` and ``n_chars``.

@@ -298,3 +298,11 @@ def test_words_are_weighed_with_the_tree(spark):
         return f"<div class=widget><div class=top>Welcome</div><div class=story>{story}</div><div class=comments>{new(1)}</div></div>"
 
     assert page_results(spark, site(3, 20, page)) == {i: "\n".join(s) for i, s in enumerate(stories)}
+
+
+def test_importance_of_hosts_with_few_pages(spark):
+    page = lambda new: f"<div class=top><p>Welcome</p></div><div class=story>{new()}</div>"
+    for count, menu in ((1, True), (2, True), (3, False), (7, False), (8, False)):
+        got = page_results(spark, site(count, count, page))
+        assert [t.startswith("Welcome\n") for t in got.values()] == [menu] * count
+        assert all(t.count("\n") == 2 + menu for t in got.values())
