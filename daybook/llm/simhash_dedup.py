@@ -16,7 +16,10 @@ The shuffle deals out points by their first ``bits`` bits. A fingerprint is
 sent once to each such label that its ball reaches, and the task of a label
 lays out the ball's points inside the label. ``bits`` grows with the
 measured number of distinct fingerprints, so that a label has at most
-``label_points`` points on average. At one point, each fingerprint within
+``label_points`` points on average. Near copies share first bits, so the
+points of each label are counted before they are laid out, and labels with
+more than twice as many are split by further bits until none is left; a label
+of ``FINEST`` bits has few points whatever the fingerprints. At one point, each fingerprint within
 one flip of it is within distance 3 of every other one there, so linking one
 of these to all others keeps the components with fewer links than pairs; a
 point that has none such links nothing that does not meet elsewhere. Each
@@ -38,7 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.session import checkpoint_dir
@@ -47,6 +50,8 @@ from daybook.session import checkpoint_dir
 RADIUS = 3
 SEED = 42
 POINTS = 1041  # mean points of a ball: (1 + 2016) for half of them, 64 for the others
+FINEST = 60
+LEAST_BOUND = (1 << 64 - FINEST) * 2081  # so many distinct fingerprints at most are within two flips of a point
 
 
 def fingerprint_of(text: bytes | None, shingle: int) -> int:
@@ -153,24 +158,63 @@ def _forest(pairs: np.ndarray) -> np.ndarray:
     return np.array(kept, np.int64).reshape(-1, 2)
 
 
+def _left(bits: int) -> Column:
+    """How many flips a row of ``fingerprint`` and ``label`` has left inside the label."""
+    flips = F.when(F.bit_count("fingerprint") % 2 == 1, 1).otherwise(2)
+    if not bits:
+        return flips
+    return flips - F.bit_count(F.shiftrightunsigned("fingerprint", 64 - bits).bitwiseXOR(F.col("label")))
+
+
+def _split(rows: DataFrame, bits: int, more: int) -> DataFrame:
+    """``rows`` of labels of ``bits`` bits, once for each label with ``more`` further bits that a ball reaches."""
+    masks = [F.array(*(F.lit(int(m)) for k in range(n + 1) for m in _flips(more, k))) for n in range(RADIUS)]
+    reached = F.when(_left(bits) == 0, masks[0]).when(_left(bits) == 1, masks[1]).otherwise(masks[2])
+    own = F.shiftrightunsigned("fingerprint", 64 - bits - more).bitwiseAND(F.lit((1 << more) - 1))
+    first = F.shiftleft("label", more).bitwiseOR(own)
+    return rows.select("fingerprint", F.explode(F.transform(reached, lambda m: first.bitwiseXOR(m))).alias("label"))
+
+
+def _points(rows: DataFrame, bits: int) -> DataFrame:
+    """How many points each label lays out."""
+    rest = 64 - bits
+    laid = F.when(_left(bits) == 0, 1).when(_left(bits) == 1, rest).otherwise(1 + rest * (rest - 1) // 2)
+    return rows.groupBy("label").agg(F.sum(laid).alias("points"))
+
+
+def dealt_labels(prints: DataFrame, label_points: int = 1 << 21) -> DataFrame:
+    """``prints`` once for each label that a ball reaches, with ``label`` and its number of ``bits``.
+
+    No label has more than ``2 * label_points`` points, or ``LEAST_BOUND`` if that is more.
+    """
+    checkpoint_dir(prints.sparkSession)
+    count, bound = prints.count(), max(2 * label_points, LEAST_BOUND)
+    more = min(40, max(6, math.ceil(math.log2(max(1, count * POINTS / label_points)))))
+    rows, bits, dealt = prints.select("fingerprint", F.lit(0).cast("long").alias("label")), 0, None
+    while True:
+        rows, bits = _split(rows, bits, more), bits + more
+        # As each of them has more than ``bound`` points, the labels above it are few.
+        above = _points(rows, bits).where(F.col("points") > bound).checkpoint()
+        largest = above.agg(F.max("points")).first()[0] if bits < FINEST else None
+        stay = rows if largest is None else rows.join(F.broadcast(above), "label", "left_anti")
+        stay = stay.select("fingerprint", "label", F.lit(bits).alias("bits"))
+        dealt = stay if dealt is None else dealt.union(stay)
+        if largest is None:
+            return dealt
+        rows = rows.join(F.broadcast(above), "label", "left_semi").select("fingerprint", "label").checkpoint()
+        more = min(FINEST - bits, 8, max(2, math.ceil(math.log2(largest / bound))))
+
+
 def near_links(prints: DataFrame, label_points: int = 1 << 21) -> DataFrame:
     """Links ``a`` < ``b`` that connect what is within distance 3, from distinct ``fingerprint``."""
-    count = prints.count()
-    bits = min(40, max(6, math.ceil(math.log2(max(1, count * POINTS / label_points)))))
-    label = F.shiftrightunsigned("fingerprint", 64 - bits)
-    odd = F.bit_count("fingerprint") % 2 == 1
-    near = F.array(*(F.lit(int(m)) for k in (0, 1) for m in _flips(bits, k)))
-    all_ = F.array(*(F.lit(int(m)) for k in (0, 1, 2) for m in _flips(bits, k)))
-    sent = prints.select(
-        "fingerprint", F.explode(F.transform(F.when(odd, near).otherwise(all_), lambda m: label.bitwiseXOR(m))).alias("label")
-    )
 
     def meet(key, table):
         found = table.column("fingerprint").to_numpy().view(np.uint64)
-        pairs = np.sort(label_links(found, key[0].as_py(), bits).view(np.int64), axis=1)
+        pairs = np.sort(label_links(found, key[0].as_py(), key[1].as_py()).view(np.int64), axis=1)
         return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
-    return sent.groupBy("label").applyInArrow(meet, "a bigint, b bigint").distinct()
+    dealt = dealt_labels(prints, label_points)
+    return dealt.groupBy("label", "bits").applyInArrow(meet, "a bigint, b bigint").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from daybook.llm import queries
 from daybook.llm.decontaminate import find_leaks, remove_leaks
 from daybook.llm.piece_encoding import ChunkTable, encode_texts
-from daybook.llm.simhash_dedup import components, fingerprint_of, label_links, near_groups, near_links, one_of_each_group
+from daybook.llm.simhash_dedup import LEAST_BOUND, components, dealt_labels, fingerprint_of, label_links, near_groups, near_links, one_of_each_group
 from daybook.llm.substring_dedup import _merged, anchors, without_repeats
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -251,6 +251,38 @@ def test_links_connect_what_brute_force_connects(spark, seed, points):
     assert [root(i) for i in range(len(prints))] == roots_by_hand(prints)
 
 
+def test_labels_of_near_copies_are_split(spark):
+    r = random.Random(5)
+    prints = sorted({(0xC0FFEE << 40) ^ sum(1 << b for b in r.sample(range(40), r.randint(0, 7))) for _ in range(400)} | {0, (1 << 64) - 1})
+    signed = [(x - (1 << 64) if x >> 63 else x,) for x in prints]
+    frame = spark.createDataFrame(signed, "fingerprint long")
+    points = {}
+    for row in dealt_labels(frame, label_points=1 << 14).collect():
+        own, rest = row.fingerprint % (1 << 64), 64 - row.bits
+        left = (1 if own.bit_count() % 2 else 2) - ((own >> rest) ^ row.label).bit_count()
+        points[row.label, row.bits] = points.get((row.label, row.bits), 0) + (1, rest, 1 + rest * (rest - 1) // 2)[left]
+    # Every point of every ball once, and no label with too many of them.
+    assert sum(points.values()) == sum(64 if x.bit_count() % 2 else 2017 for x in prints)
+    assert max(points.values()) <= LEAST_BOUND and len({bits for _, bits in points}) > 1
+    links = near_links(frame, label_points=1 << 14).collect()
+    at = {x: i for i, (x,) in enumerate(signed)}
+    parent = list(range(len(prints)))
+    for a, b in links:
+        assert ((a ^ b) % (1 << 64)).bit_count() <= 3
+        a, b = at[a], at[b]
+        while parent[a] != a:
+            a = parent[a]
+        while parent[b] != b:
+            b = parent[b]
+        parent[max(a, b)] = min(a, b)
+    found = []
+    for i in range(len(prints)):
+        while parent[i] != i:
+            i = parent[i]
+        found.append(i)
+    assert found == roots_by_hand(prints)
+
+
 def test_pairs_at_every_distance_meet():
     for seed in range(40):
         r = random.Random(seed)
