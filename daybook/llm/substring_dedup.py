@@ -1,9 +1,10 @@
-"""Removal of repeated byte strings by prefix doubling over sparse positions.
+"""Removal of repeated byte strings by names of growing strings around anchors.
 
 A byte goes if a string of ``length`` bytes that covers it starts anywhere
-else. Ranks are names of strings (64-bit hashes, used in pairs), Spark
-counts them, and strings grow from round to round until a rank is unique or
-reaches past the threshold. Positions are sparse at first:
+else. This takes the place of prefix doubling: no ranks are sorted or paired
+and no lengths double. Strings have names (64-bit hashes of their bytes, used
+in pairs) that each round makes anew and Spark counts; strings grow from round
+to round until a name is unique or reaches past the threshold:
 
 * Every window of ``length`` bytes chooses an anchor, the place of its
   smallest 8-byte hash; equal windows choose the same place. A window is an
@@ -15,9 +16,8 @@ reaches past the threshold. Positions are sparse at first:
   smaller blocks, whose cores are longer and hulls shorter; at one window a
   block, core and hull are the window itself.
 
-So each round pairs the rank of a string below the threshold with that of a
-longer one at growing offsets, for the places that are still open. Plain
-doubling of all positions would shuffle 16 bytes for each byte of text in
+So each round names a string below the threshold and one above it, for the
+places that are still open. Prefix doubling of all positions would shuffle 16 bytes for each byte of text in
 every round.
 
 Texts are keyed by hash and length; equal texts share their spans. Texts are
