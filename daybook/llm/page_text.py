@@ -305,9 +305,9 @@ def style_trees(features: DataFrame, pages: int) -> DataFrame:
     ``own`` is presentation importance, ``spread`` the mean entropy of texts;
     ``rare`` the pages of children that are on few of the host's pages.
     """
-    counted = features.groupBy("host", "place", "parent", "content", "feature").agg(
-        F.count("*").alias("n"), F.max("main").alias("main")
-    )
+    # A place has one ``main``; as a key it stays in every branch of the plan, so that they share one exchange.
+    keys = ("host", "place", "parent", "content", "feature", "main")
+    counted = features.groupBy(*keys).agg(F.count("*").alias("n"))
     nodes = counted.groupBy("host", "place", "content").agg(
         F.max("parent").alias("parent"),
         F.max("main").alias("main"),
