@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.llm import filter_audit
 from daybook.llm.decontaminate import find_leaks
 from daybook.llm.language_id import label_languages
 from daybook.llm.language_id import train as train_languages
+from daybook.llm.mix_sources import mix
 from daybook.llm.page_text import main_texts
 from daybook.llm.piece_encoding import encode_texts
 from daybook.llm.ring_sharding import shard_rows
@@ -152,6 +156,40 @@ def op10_page_text(spark, sf_dir):
     return main_texts(pages).select("page_id", "url", "text", "n_chars")
 
 
+def audited_filters():
+    """The five filters of the audit, as conditions over whole texts."""
+    words = F.regexp_extract_all("_text", F.lit(filter_audit.WORD), F.lit(0))
+    capitals = F.length("_text") - F.length(F.translate("_text", string.ascii_uppercase, ""))
+    return {
+        "A": F.size(words) < 200,
+        "B": 100 * F.size(F.array_distinct(words)) < 50 * F.size(words),
+        "C": 100 * capitals > 2 * F.length("_text"),
+        "D": F.col("_text").rlike(r"[#$%&*|]"),
+        "E": filter_audit.COPY,
+    }
+
+
+def op11_filter_audit(spark, sf_dir):
+    """What each of five filters removes, in every source and order."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    labels = _table(spark, sf_dir, "labels")
+    good, toxic = (labels.where(F.col(c) == 1).select("doc_id") for c in ("quality", "toxic"))
+    return filter_audit.audit(docs, audited_filters(), good, toxic)
+
+
+def op12_source_mix(spark, sf_dir):
+    """Every document's part in a mix of the sources by weight."""
+    docs = _table(spark, sf_dir, "documents").select(
+        "doc_id",
+        "source",
+        F.regexp_count(F.coalesce("text", F.lit("")), F.lit(filter_audit.WORD)).cast("long").alias("size"),
+    )
+    mixed = mix(docs)
+    return mixed.select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source", "copies"
+    )
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
@@ -163,6 +201,8 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_topk_search": op9_topk_search,
     "op10_page_text": op10_page_text,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_source_mix": op12_source_mix,
 }
 
 ORACLE_SQL = {
@@ -222,4 +262,72 @@ ORACLE_SQL = {
         r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
               FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op11_filter_audit": r"""
+        WITH w AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+            FROM documents),
+        f AS (
+            SELECT doc_id, part,
+                   CAST(len(words) < 200 AS INT)
+                   + 2 * CAST(100 * len(list_distinct(words)) < 50 * len(words) AS INT)
+                   + 4 * CAST(100 * len(regexp_replace(t, '[^A-Z]+', '', 'g')) > 2 * len(t) AS INT)
+                   + 8 * CAST(regexp_matches(t, '[#$%&*|]') AS INT)
+                   + 16 * CAST(coalesce(min(doc_id) OVER (PARTITION BY t) < doc_id, false) AS INT) AS fails
+            FROM w),
+        l AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic
+              FROM labels GROUP BY doc_id),
+        c AS (
+            SELECT part, fails, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+            FROM f LEFT JOIN l USING (doc_id) GROUP BY part, fails),
+        x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS a),
+        o AS (
+            SELECT [p.a, q.a, r.a, s.a, t.a] AS o FROM x p, x q, x r, x s, x t
+            WHERE len(list_distinct([p.a, q.a, r.a, s.a, t.a])) = 5),
+        st AS (SELECT o, unnest(range(1, 6)) AS step FROM o),
+        b AS (
+            SELECT array_to_string(o, '') AS filter_order, CAST(step AS INT) AS step,
+                   1 << (ascii(o[step]) - 65) AS own,
+                   CAST(coalesce(list_sum(list_transform(o[1 : step - 1], lambda g: 1 << (ascii(g) - 65))), 0) AS INT) AS before
+            FROM st),
+        r AS (
+            SELECT part, filter_order, step, own,
+                   sum(CASE WHEN fails & (own | before) = 0 THEN n ELSE 0 END) AS kept,
+                   sum(CASE WHEN fails & own <> 0 AND fails & before = 0 THEN n ELSE 0 END) AS removed,
+                   sum(CASE WHEN fails & own <> 0 AND fails & before <> 0 THEN n ELSE 0 END) AS redundant,
+                   sum(CASE WHEN fails = own THEN n ELSE 0 END) AS unique_fails,
+                   sum(CASE WHEN fails & own <> 0 AND fails & before = 0 THEN good ELSE 0 END) AS good_lost,
+                   sum(CASE WHEN fails & own <> 0 AND fails & before = 0 THEN toxic ELSE 0 END) AS toxic_lost
+            FROM c, b GROUP BY part, filter_order, step, own)
+        SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+               CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+               CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+               CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+        FROM r""",
+    "op12_source_mix": r"""
+        WITH d AS (
+            SELECT doc_id, source, coalesce('s' || source, 'n') AS k,
+                   CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+            FROM documents),
+        s AS (SELECT k, CAST(sum(size) AS HUGEINT) AS ss, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS r
+              FROM d GROUP BY k, source),
+        w AS (SELECT *, CAST([5, 2, 1][r % 3 + 1] AS HUGEINT) AS w FROM s),
+        p AS (SELECT *, coalesce(sum(ss) OVER o, 0) AS sb, coalesce(sum(w) OVER o, 0) AS wb,
+                     sum(ss) OVER () AS total, sum(w) OVER () AS heavy
+              FROM w WINDOW o AS (ORDER BY ss * (10 // w), r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        c AS (SELECT *, 3 * ss * (heavy - wb) <= w * (total - 3 * sb) AS capped FROM p),
+        m AS (SELECT *, CAST(sum(total) FILTER (WHERE r = 0) OVER () - 3 * coalesce(sum(ss) FILTER (WHERE capped) OVER (), 0) AS HUGEINT) AS rest,
+                     CAST(coalesce(sum(w) FILTER (WHERE NOT capped) OVER (), 1) AS HUGEINT) AS among
+              FROM c),
+        t AS (SELECT k, CAST(ss AS BIGINT) AS source_size,
+                     CASE WHEN capped THEN CAST(3 * ss AS DOUBLE) ELSE CAST(w * rest AS DOUBLE) / CAST(among AS DOUBLE) END AS target,
+                     CASE WHEN ss = 0 THEN 0 WHEN capped THEN 3000000000000
+                          ELSE (w * rest * 1000000000000) // (among * ss) END AS rate,
+                     (CAST('0x' || md5('mix:' || k)[1:8] AS UBIGINT)::HUGEINT * 1000000000000) // 4294967296 AS off
+              FROM m),
+        n AS (SELECT doc_id, k, source, size, row_number() OVER (PARTITION BY k ORDER BY size, doc_id NULLS FIRST) AS i FROM d),
+        e AS (SELECT doc_id, source, size, source_size, target,
+                     CAST((off + rate * i) // 1000000000000 - (off + rate * (i - 1)) // 1000000000000 AS BIGINT) AS copies
+              FROM n JOIN t USING (k))
+        SELECT doc_id, size, source_size, target, copies * size AS taken, source, copies FROM e""",
 }
