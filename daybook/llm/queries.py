@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from daybook.llm import filter_audit
 from daybook.llm.decontaminate import find_leaks
+from daybook.llm.hard_negatives import mine
 from daybook.llm.language_id import label_languages
 from daybook.llm.language_id import train as train_languages
 from daybook.llm.mix_sources import mix
@@ -190,6 +191,14 @@ def op12_source_mix(spark, sf_dir):
     )
 
 
+def op13_hard_negatives(spark, sf_dir):
+    """Hard negatives of every hundredth vector, some of whose labels are moved on by one."""
+    vec = F.col("vec_id")
+    moved = F.when(vec % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return mine(vectors, vec % 100 == 0)
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
@@ -203,6 +212,7 @@ QUERIES = {
     "op10_page_text": op10_page_text,
     "op11_filter_audit": op11_filter_audit,
     "op12_source_mix": op12_source_mix,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE_SQL = {
@@ -330,4 +340,23 @@ ORACLE_SQL = {
                      CAST((off + rate * i) // 1000000000000 - (off + rate * (i - 1)) // 1000000000000 AS BIGINT) AS copies
               FROM n JOIN t USING (k))
         SELECT doc_id, size, source_size, target, copies * size AS taken, source, copies FROM e""",
+    "op13_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+        s AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+                   CAST(list_dot_product(a.e, c.e) AS BIGINT) AS score
+            FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id),
+        p AS (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS i FROM s WHERE same),
+        n AS (
+            SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id,
+                   p.score AS positive_score, s.score AS negative_score,
+                   CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS INT) AS rank
+            FROM p JOIN s ON p.i <= 5 AND s.anchor_id = p.anchor_id AND NOT s.same
+             AND 80 * p.score <= 100 * s.score AND s.score <= p.score)
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5""",
 }
