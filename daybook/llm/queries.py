@@ -133,7 +133,7 @@ def op7_piece_encoding(spark, sf_dir):
 
 
 def op8_substring_dedup(spark, sf_dir):
-    """Every document's repeated bytes and a digest of the others."""
+    """Every document's repeated bytes, and the others as a digest and as text."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     span_bytes = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return without_repeats(docs).select(
@@ -142,6 +142,7 @@ def op8_substring_dedup(spark, sf_dir):
         span_bytes.alias("n_removed"),
         F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("kept"),
     )
 
 

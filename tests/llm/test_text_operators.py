@@ -16,7 +16,8 @@ from daybook.llm import queries
 from daybook.llm.decontaminate import find_leaks, remove_leaks
 from daybook.llm.piece_encoding import ChunkTable, encode_texts
 from daybook.llm.simhash_dedup import LEAST_BOUND, components, dealt_labels, fingerprint_of, label_links, near_groups, near_links, one_of_each_group
-from daybook.llm.substring_dedup import _merged, anchors, without_repeats
+from conftest import SF001
+from daybook.llm.substring_dedup import STRETCH, _anchor_rows, _merged, anchors, without_repeats
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
@@ -129,7 +130,7 @@ def test_encoding_rows(spark, pieces):
 # --- repeats
 
 
-def repeats_by_hand(texts, length):
+def repeats_by_hand(texts, length, words=0):
     raws = [(t or "").encode() for t in texts]
     seen = Counter(r[i : i + length] for r in raws for i in range(len(r) - length + 1))
     out = []
@@ -138,6 +139,10 @@ def repeats_by_hand(texts, length):
         for i in range(len(r) - length + 1):
             if seen[r[i : i + length]] > 1:
                 covered[i : i + length] = True
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], covered, [0]])))
+        for a, b in zip(edges[::2], edges[1::2], strict=True):
+            inside = sum(a <= m.start() and m.end() <= b for m in re.finditer(rb"\S+", r))
+            covered[a:b] = not words or inside > words
         out.append((bytes(np.frombuffer(r, np.uint8)[~covered]), int(covered.sum())))
     return out
 
@@ -171,6 +176,49 @@ def test_repeats_equal_brute_force(spark):
     assert without_repeats(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("length", [32, 200, 401])
+def test_repeats_of_other_lengths(spark, length):
+    texts = repeat_rows() + ["ab" * 40_000, "ab" * 40_000 + "c"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    rows = {r.doc_id: r for r in without_repeats(docs, length=length).collect()}
+    for i, (kept, removed) in enumerate(repeats_by_hand(texts, length)):
+        assert bytes(rows[i].kept) == kept and sum(s.end - s.start for s in rows[i].removed) == removed, i
+
+
+def test_only_runs_of_more_words_go(spark):
+    r = random.Random(4)
+    own = lambda n: " ".join("".join(r.choices("abcdefgh", k=6)) for _ in range(n))
+    for n, gone in ((50, False), (51, True), (90, True)):
+        passage = own(n)
+        texts = [f"{own(30)} \n{passage}\n {own(20)}" for _ in range(3)]
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+        kept = without_repeats(docs, length=200, words=50, decode=True).collect()
+        assert all((passage not in x.kept) == gone and (x.kept == x.text) != gone for x in kept)
+
+
+def test_long_text_is_one_text():
+    r = random.Random(8)
+    text = bytes(r.choices(b"abcd ", k=2 * STRETCH + 777))
+    core, hull, place, low, high = _anchor_rows(text, 400)
+    chosen = np.concatenate([np.full(h - lo + 1, p) for p, lo, h in zip(place, low, high, strict=True)])
+    assert len(chosen) == len(text) - 399 and (np.diff(place) > 0).all()
+    names = {}
+    for p, c, lo, h, x in zip(place, core, low, high, hull, strict=True):
+        assert names.setdefault(text[p - 100 : p + 108], c) == c
+        assert names.setdefault((text[p - h : p - lo + 400], lo, h), x) == x
+    assert len(set(names.values())) == len(names)
+
+
+def test_registered_repeats_equal_brute_force(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").collect()
+    rows = {r.doc_id: r for r in queries.op8_substring_dedup(spark, SF001).collect()}
+    for d, (kept, removed) in zip(docs, repeats_by_hand([d.text for d in docs], 400), strict=True):
+        r = rows[d.doc_id]
+        assert (r.n_bytes, r.n_removed) == (len((d.text or "").encode()), removed)
+        assert r.kept_sha256 == hashlib.sha256(kept).hexdigest() and (removed > 0) == (r.n_spans > 0)
+        assert r.kept == kept.decode("utf-8", "replace")
+
+
 def test_equal_windows_choose_the_same_place():
     r = random.Random(2)
     text = bytes(r.choices(b"abcd ", k=3000))
