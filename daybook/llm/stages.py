@@ -17,6 +17,10 @@ from daybook.llm.simhash_dedup import one_of_each_group
 from daybook.llm.substring_dedup import without_repeats
 from daybook.llm.toxicity import score_texts, train
 
+#: What a passage is that repeats: more than so many words; they are found by strings of so many bytes.
+PASSAGE_WORDS = 50
+PASSAGE_BYTES = 200
+
 
 def _columns(docs: DataFrame) -> list:
     return [F.col(f"`{c}`") for c in docs.columns]
@@ -35,11 +39,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the bytes that repeat elsewhere in 400 bytes or more.
+    """Documents without passages of more than ``PASSAGE_WORDS`` words that repeat elsewhere.
 
-    A null text stays null; a document that loses all its text stays, empty.
+    The bytes that repeat in ``PASSAGE_BYTES`` or more are found first; runs of
+    them with more words go. So a passage is missed only if its words are
+    shorter than four letters on average. A null text stays null; a document
+    that loses all its text stays, empty.
     """
-    cut = without_repeats(docs.withColumnsRenamed({"removed": "_own_removed", "kept": "_own_kept"}), decode=True)
+    own = docs.withColumnsRenamed({"removed": "_own_removed", "kept": "_own_kept"})
+    cut = without_repeats(own, length=PASSAGE_BYTES, words=PASSAGE_WORDS, decode=True)
     changed = F.size("removed") > 0
     now = {"text": F.when(changed, F.col("kept")).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:

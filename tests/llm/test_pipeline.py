@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as entry
 import corpus_pipeline
 from conftest import SF001
-from daybook.llm import queries, toxicity
+from daybook.llm import queries, stages, toxicity
 from test_models_and_pages import labelled
 from test_text_operators import leaks_by_hand, print_by_hand, repeats_by_hand, roots_by_hand
 
@@ -28,6 +28,10 @@ def tables(spark, tmp_path_factory):
         texts[i] = " ".join(r.choices("ra mi ken sul ver".split(), k=40)) + " " + passage + f" end{i}é"
     texts[410], texts[411], texts[412] = texts[5], texts[5] + " ", texts[5].upper()
     texts[420], texts[421] = "", None
+    for i in range(500, 540):  # passages of 51 to 90 words, each in two documents
+        own = lambda n: " ".join("".join(r.choices("bcdfgklm", k=5)) for _ in range(n))
+        words = " ".join(f"p{i // 2}x{n}x" for n in range(51 + (i // 2 - 250) * 2))
+        texts[i] = f"rare {own(120)} {words} {own(120)}"
     frame = [(i, t, "en", "s", None if t is None else len(t), "extra") for i, t in sorted(texts.items())]
     schema = "doc_id long, text string, lang string, source string, n_chars long, kept string"
     spark.createDataFrame(frame, schema).write.parquet(f"{at}/documents.parquet")
@@ -48,7 +52,7 @@ def by_hand(spark, at, texts, items):
     roots = roots_by_hand([print_by_hand(kept[i]) for i in ids])
     kept = {ids[k]: kept[ids[k]] for k in sorted(set(roots))}
     yield set(kept)
-    cut = repeats_by_hand(list(kept.values()), 400)
+    cut = repeats_by_hand(list(kept.values()), stages.PASSAGE_BYTES, stages.PASSAGE_WORDS)
     kept = {i: None if t is None else k.decode("utf-8", "ignore") for (i, t), (k, _) in zip(kept.items(), cut, strict=True)}
     yield set(kept)
     kept = {i: t for i, t in kept.items() if not leaks_by_hand(t, items)[1]}
@@ -59,13 +63,15 @@ def by_hand(spark, at, texts, items):
 
 def test_run_equals_plain_python(spark, tables):
     at, texts, items = tables
-    *stages, expected = by_hand(spark, at, texts, items)
-    sizes = [len(texts), *map(len, stages)]
+    *kept, expected = by_hand(spark, at, texts, items)
+    sizes = [len(texts), *map(len, kept)]
     assert all(a > b for a, b in zip(sizes[:2], sizes[1:])) and sizes[2] < sizes[1] and sizes[4] < sizes[3]
     out = corpus_pipeline.run(spark, at)
     got = {(r.doc_id, r.text, r.n_chars, tuple(int.from_bytes(r.piece_ids[k : k + 4], "little") for k in range(0, 4 * r.n_tokens, 4))) for r in out.collect()}
     assert got == expected
     assert {r.kept for r in out.collect()} == {"extra"}
+    planted = {i: t for i, t, *_ in got if i >= 500}
+    assert len(planted) == 40 and all(f"p{i // 2}x40x" not in t and "rare" in t for i, t in planted.items())
     short = [t for i, t, *_ in got if i in range(402, 406)]
     assert short and all("passage30" not in t for t in short)
 
