@@ -16,7 +16,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions import product_revenue, week_label
@@ -30,15 +30,18 @@ from daybook.operators import (
     repeat_customer_daily,
     with_first_order,
 )
-from daybook.operators import dimension, quality
+from daybook.operators import affected, dimension, publish, quality
+from daybook.operators.run_profile import RunProfile
 from daybook.operators.sink import (
     drop_daily_stats_table,
     overwrite_day,
     read_daily_stats,
     recover_partitions,
     registered_partitions,
+    stored_table,
+    with_partition_column,
 )
-from daybook.plans import create_table, run_backfill, run_daily
+from daybook.plans import create_table, refresh_dimension, run_backfill, run_catch_up, run_daily, run_repair
 from daybook.schema import (
     COUNT_COLUMNS,
     DAILY_STATS_COLUMNS,
@@ -71,6 +74,10 @@ PUBLISHED_DAYS = (SAMPLE_DAY, dt.date(1996, 2, 29), dt.date(1995, 1, 1), dt.date
 NAN_EVERY = 97
 # Fixed value: where the history is cut to exercise the dimension merge.
 MERGE_CUT_DAY = dt.date(1998, 1, 1)
+# Fixed value: the lines of every so manieth order arrive late.
+LATE_EVERY = 53
+# Days of the month on which a copy of the statistics is damaged, and a day that has none.
+MISCOUNTED, DOUBLED, MISSING_DAY = 13, 17, dt.date(1990, 1, 1)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -305,6 +312,110 @@ def q_line_items_from_partitioned_table(spark, sf_dir):
     return _kept(line_items_from_table(spark, table, partition_column="day"), location, table)
 
 
+def q_run_profile_backfill(spark, sf_dir):
+    """What a backfill saw and wrote, counted along the way."""
+    location = scratch_location(spark, "profile")
+    profile = run_backfill(spark, _li(spark, sf_dir, dirty=True), location, share_source=SHARED)
+    return _kept(profile.frame(spark), location)
+
+
+def q_run_profile_daily(spark, sf_dir):
+    """What a daily run saw of its day and of the history, and wrote."""
+    location, table = scratch_location(spark, "profile"), _table_name("profile")
+    create_table(spark, table, location)
+    profile = run_daily(spark, _li(spark, sf_dir, dirty=True), table, SAMPLE_DAY, profile_history=True)
+    return _kept(profile.frame(spark), location, table)
+
+
+def q_publish_by_version(spark, sf_dir):
+    """The table while a version is staged, after a damaged version was refused, and after the switch."""
+    location, table = scratch_location(spark, "versions"), _table_name("versions")
+    li = _li(spark, sf_dir)
+    create_table(spark, table, location)
+    run_backfill(spark, li.where(F.col(ORDER_DATE) < MERGE_CUT_DAY), table=table, share_source=SHARED, by_version=True)
+
+    def seen(state: str) -> DataFrame:
+        return spark.table(table).withColumn("state", F.lit(state)).checkpoint()
+
+    checkpoint_dir(spark)
+    profile = RunProfile(li)
+    stats = daily_stats(li, SHARED, profile)
+    version = publish.stage(spark, table, stats, profile)
+    states = [seen("staged")]
+    damaged = read_daily_stats(spark, version).drop("partition_date")
+    damaged = damaged.withColumn("total_customer_count", F.col("total_customer_count") + F.lit(1))
+    try:
+        publish.publish(spark, table, damaged, RunProfile(li))
+    except publish.AuditFailed:
+        states.append(seen("refused"))
+    publish.switch(spark, table, version, profile)
+    states.append(seen("switched"))
+    return _kept(states[0].union(states[1]).union(states[2]), location, table)
+
+
+def q_publication_audit(spark, sf_dir):
+    """What the audit finds in damaged statistics."""
+    stats = with_partition_column(daily_stats(_li(spark, sf_dir), share_source=SHARED))
+    month_day, more = F.dayofmonth(ORDER_DATE), F.col("total_customer_count") + 1
+    damaged = stats.withColumn("total_customer_count", F.when(month_day == MISCOUNTED, more).otherwise(more - 1))
+    damaged = damaged.withColumn("_again", F.explode(F.when(month_day == DOUBLED, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    expected = stats.select(ORDER_DATE).union(spark.range(1).select(F.lit(MISSING_DAY)))
+    return publish.audit(damaged.drop("_again"), expected)
+
+
+def _late(order: Column) -> Column:
+    return order % LATE_EVERY == 0
+
+
+def q_affected_days(spark, sf_dir):
+    """Days that late lines change, from these lines and the first orders of before."""
+    li, late = _li(spark, sf_dir), _late(F.col(ORDER_ID))
+    return affected.affected_days(li.where(late), dimension.build_first_order_dimension(li.where(~late)))
+
+
+def _repaired(spark, sf_dir, label):
+    """A table published without the late lines, then repaired; its files before the repair."""
+    location, table = scratch_location(spark, label), _table_name(label)
+    li, late = _li(spark, sf_dir), _late(F.col(ORDER_ID))
+    create_table(spark, table, location)
+    run_backfill(spark, li.where(~late), table=table, share_source=SHARED)
+    refresh_dimension(li.where(~late), f"{location}-v1")
+    files = spark.table(stored_table(spark, table)).select("partition_date", F.input_file_name().alias("file"))
+    checkpoint_dir(spark)
+    before = files.checkpoint()
+    run_repair(spark, li, li.where(late), table, f"{location}-v1", f"{location}-v2")
+    for version in ("v1", "v2"):
+        remove_location(spark, f"{location}-{version}")
+    return location, table, before
+
+
+def q_repair_late_lines(spark, sf_dir):
+    """The table after the days that late lines change were published again: a full backfill's."""
+    location, table, _ = _repaired(spark, sf_dir, "repair")
+    return _kept(spark.table(table), location, table)
+
+
+def q_repair_rewritten_days(spark, sf_dir):
+    """Every day of the repaired table, and whether the repair has rewritten its file."""
+    location, table, before = _repaired(spark, sf_dir, "rewritten")
+    after = spark.table(stored_table(spark, table)).select("partition_date", F.input_file_name().alias("now"))
+    both = after.join(before, "partition_date", "left")
+    rewritten = F.coalesce(F.col("file") != F.col("now"), F.lit(True))
+    return _kept(both.select(F.col("partition_date").alias(ORDER_DATE), rewritten.alias("rewritten")), location, table)
+
+
+def q_catch_up_days(spark, sf_dir):
+    """Days published together, from one pass over the history and from a dimension."""
+    location, table = scratch_location(spark, "catch-up"), _table_name("catchup")
+    li = _li(spark, sf_dir)
+    create_table(spark, table, location)
+    run_catch_up(spark, li, table, PUBLISHED_DAYS[:2])
+    refresh_dimension(li, f"{location}-dim", max(PUBLISHED_DAYS))
+    run_catch_up(spark, li, table, PUBLISHED_DAYS[2:], f"{location}-dim")
+    remove_location(spark, f"{location}-dim")
+    return _kept(spark.table(table), location, table)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "line_items": q_line_items,
     "product_revenue": q_product_revenue,
@@ -337,6 +448,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_stats_legacy_table": q_daily_stats_legacy_table,
     "line_items_from_path": q_line_items_from_path,
     "line_items_from_partitioned_table": q_line_items_from_partitioned_table,
+    "run_profile_backfill": q_run_profile_backfill,
+    "run_profile_daily": q_run_profile_daily,
+    "publish_by_version": q_publish_by_version,
+    "publication_audit": q_publication_audit,
+    "affected_days": q_affected_days,
+    "repair_late_lines": q_repair_late_lines,
+    "repair_rewritten_days": q_repair_rewritten_days,
+    "catch_up_days": q_catch_up_days,
 }
 
 
@@ -425,22 +544,54 @@ def _null_counts_sql() -> str:
     return f"WITH {LI_DIRTY} SELECT COUNT(*) AS row_count, {parts} FROM li"
 
 
+# Spark type names of the adapter's line-item columns.
+TYPES = [
+    ("order_id", "bigint"),
+    ("email", "string"),
+    ("order_date", "date"),
+    ("quantity", "double"),
+    ("price", "double"),
+]
+
+
 def _column_profile_sql() -> str:
-    # Spark type names of the adapter's line-item columns.
-    types = [
-        ("order_id", "bigint"),
-        ("email", "string"),
-        ("order_date", "date"),
-        ("quantity", "double"),
-        ("price", "double"),
-    ]
     union = " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, '{t}' AS data_type, COUNT({c}) AS non_null_count FROM li"
-        for c, t in types
+        for c, t in TYPES
     )
     return f"WITH {LI_DIRTY} {union}"
 
 
+def _figures_sql(scope: str, where: str, columns: bool) -> str:
+    """A run's figures of the lines that ``where`` names, as rows (scope, item, value)."""
+    items = {"row_count": "COUNT(*)", "null_order_date": "COUNT(*) - COUNT(order_date)"}
+    if columns:
+        items |= {f"non_null_{c}": f"COUNT({c})" for c, _ in TYPES}
+    items |= {"min_order_date": "MIN(order_date)", "max_order_date": "MAX(order_date)"}
+    return " UNION ALL ".join(
+        f"SELECT '{scope}' AS scope, '{k}' AS item, CAST({v} AS VARCHAR) AS value FROM li WHERE {where}" for k, v in items.items()
+    )
+
+
+def _run_profile_sql(lines: str, history: str | None, days: str) -> str:
+    types = " UNION ALL ".join(f"SELECT 'lines' AS scope, 'type_{c}' AS item, '{t}' AS value" for c, t in TYPES)
+    parts = [types, _figures_sql("lines", lines, True)]
+    if history:
+        parts.append(_figures_sql("history", history, False))
+    published = {"row_count": "COUNT(DISTINCT order_date)", "min_order_date": "MIN(order_date)", "max_order_date": "MAX(order_date)"}
+    parts += [f"SELECT 'days' AS scope, '{k}' AS item, CAST({v} AS VARCHAR) AS value FROM li WHERE {days}" for k, v in published.items()]
+    return f"WITH {LI_DIRTY} {' UNION ALL '.join(parts)}"
+
+
+# Days of late lines, and the first days of customers whom these give an earlier one.
+AFFECTED = f"""late AS (SELECT * FROM li WHERE order_id % {LATE_EVERY} = 0),
+    was AS (SELECT email, MIN(order_date) AS first_day FROM li WHERE order_id % {LATE_EVERY} <> 0 AND email IS NOT NULL GROUP BY email),
+    affected AS (
+        SELECT order_date FROM late WHERE order_date IS NOT NULL
+        UNION
+        SELECT first_day FROM was JOIN late USING (email) WHERE late.order_date < first_day)"""
+
+
 def oracle_sql() -> dict[str, str]:
     own = _own_oracle_sql()
     return own | llm_queries.ORACLE_SQL if llm_queries is not None else own
@@ -504,6 +655,25 @@ def _own_oracle_sql() -> dict[str, str]:
         "daily_stats_legacy_table": f"""{BACKFILL_BODY}
             SELECT * REPLACE (CASE WHEN order_date <> DATE '{day}' THEN daily_aov END AS daily_aov)
             FROM ({with_partition})""",
+        "run_profile_backfill": _run_profile_sql("true", None, "order_date IS NOT NULL"),
+        "run_profile_daily": _run_profile_sql(
+            f"order_date = DATE '{day}'", f"order_date < DATE '{day}' OR order_date IS NULL", f"order_date = DATE '{day}'"
+        ),
+        "publish_by_version": f"""{BACKFILL_BODY}
+            SELECT {STATS_COLS}, order_date AS partition_date, state
+            FROM stats, (SELECT unnest(['staged', 'refused', 'switched']) AS state)
+            WHERE state = 'switched' OR order_date < DATE '{MERGE_CUT_DAY}'""",
+        "publication_audit": f"""{BACKFILL_BODY}
+            SELECT 'customers_add_up' AS "check", order_date, CAST(total_customer_count AS VARCHAR) AS found
+            FROM stats WHERE day(order_date) = {MISCOUNTED}
+            UNION ALL SELECT 'one_row_a_day', order_date, '2' FROM stats WHERE day(order_date) = {DOUBLED}
+            UNION ALL SELECT 'one_row_a_day', DATE '{MISSING_DAY}', '0'""",
+        "affected_days": f"WITH {LI}, {AFFECTED} SELECT order_date FROM affected",
+        "repair_late_lines": f"{BACKFILL_BODY} {with_partition}",
+        "repair_rewritten_days": f"""WITH {LI}, {AFFECTED}
+            SELECT DISTINCT order_date, order_date IN (SELECT order_date FROM affected) AS rewritten
+            FROM li WHERE order_date IS NOT NULL""",
+        "catch_up_days": f"{BACKFILL_BODY} {with_partition} WHERE order_date IN ({published})",
         "line_items_from_path": f"WITH {LI} SELECT * FROM li",
         "line_items_from_partitioned_table": f"WITH {LI} SELECT * FROM li",
     }

@@ -38,6 +38,7 @@ from daybook.operators.per_day import (
     segment_totals,
 )
 from daybook.operators.first_order import flag_against_seen
+from daybook.operators.run_profile import RunProfile
 from daybook.schema import EMAIL, FIRST_ORDER_DATE, ORDER_DATE
 
 DIMENSION_SCHEMA = f"{EMAIL} STRING, {FIRST_ORDER_DATE} DATE"
@@ -95,7 +96,11 @@ def read_dimension(spark: SparkSession, location: str) -> DataFrame:
 
 
 def daily_stats_for_day_from_dimension(
-    lines: DataFrame, dimension: DataFrame, day, broadcast_limit_bytes: int | None = None
+    lines: DataFrame,
+    dimension: DataFrame,
+    day,
+    broadcast_limit_bytes: int | None = None,
+    profile: RunProfile | None = None,
 ) -> DataFrame:
     """Single-day statistics using the dimension instead of the line history.
 
@@ -104,7 +109,7 @@ def daily_stats_for_day_from_dimension(
     dimension rows with an earlier first order are read.
     """
     d0 = as_date(day)
-    todays = day_orders(lines.where(F.col(ORDER_DATE) == d0))
+    todays = day_orders(lines.where(F.col(ORDER_DATE) == d0), profile)
     earlier = dimension.where(F.col(FIRST_ORDER_DATE) < d0).select(EMAIL)
     flagged = flag_against_seen(customers_of_day(todays), earlier, broadcast_limit_bytes)
     return assemble(segment_totals(flagged), orders_of_day(todays))

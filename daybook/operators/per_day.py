@@ -42,6 +42,7 @@ from daybook.operators.first_order import (
     flag_against_prior,
     flag_first_days,
 )
+from daybook.operators.run_profile import RunProfile
 from daybook.schema import (
     DAILY_STATS_COLUMNS,
     EMAIL,
@@ -109,7 +110,7 @@ def assemble(segments: DataFrame, orders: DataFrame) -> DataFrame:
     return joined.select(*[out[name].alias(name) for name in DAILY_STATS_COLUMNS])
 
 
-def daily_stats(lines: DataFrame, share_source: bool = False) -> DataFrame:
+def daily_stats(lines: DataFrame, share_source: bool = False, profile: RunProfile | None = None) -> DataFrame:
     """Full-history statistics: one row per day that has a dated line.
 
     ``share_source=False`` (default) builds the customer branch and the
@@ -119,11 +120,13 @@ def daily_stats(lines: DataFrame, share_source: bool = False) -> DataFrame:
     branches start from one aggregate at (day, customer, order) grain whose
     shuffle Spark reuses, at the price of one more shuffle of order-grain
     rows. Use it when producing ``lines`` is expensive (a join, text files).
+    ``profile`` counts the lines on their way through the aggregate.
     """
     if not share_source:
-        flagged = flag_first_days(customer_days(lines))
+        days = profile.grain(lines, [ORDER_DATE, EMAIL], DAY_REVENUE) if profile else customer_days(lines)
+        flagged = flag_first_days(days)
         return assemble(segment_totals(flagged), orders_per_day(lines))
-    orders_grain = order_grain(lines)
+    orders_grain = order_grain(lines, profile)
     days = orders_grain.groupBy(ORDER_DATE, EMAIL).agg(F.sum(_ORDER_REVENUE).alias(DAY_REVENUE))
     segments = segment_totals(flag_first_days(days)).drop(_REVENUE)
     # Revenue is taken from this branch so that both branches read every
@@ -140,8 +143,10 @@ def daily_stats(lines: DataFrame, share_source: bool = False) -> DataFrame:
 _ORDER_REVENUE = "order_revenue"
 
 
-def order_grain(lines: DataFrame) -> DataFrame:
+def order_grain(lines: DataFrame, profile: RunProfile | None = None) -> DataFrame:
     """Dated lines reduced to one row per (day, customer, order) with revenue."""
+    if profile:
+        return profile.grain(lines, [ORDER_DATE, EMAIL, ORDER_ID], _ORDER_REVENUE)
     return (
         lines.where(F.col(ORDER_DATE).isNotNull())
         .groupBy(ORDER_DATE, EMAIL, ORDER_ID)
@@ -158,7 +163,10 @@ def as_date(day: str | dt.date | Column) -> Column:
 
 
 def daily_stats_for_day(
-    lines: DataFrame, day: str | dt.date | Column, broadcast_limit_bytes: int | None = None
+    lines: DataFrame,
+    day: str | dt.date | Column,
+    broadcast_limit_bytes: int | None = None,
+    profile: RunProfile | None = None,
 ) -> DataFrame:
     """Statistics of a single day, equal to that day's row of ``daily_stats``.
 
@@ -166,15 +174,16 @@ def daily_stats_for_day(
     checkpointed (see ``day_orders``); customer and order figures both come
     from that. History is consulted through a semi-join on the day's
     customers (see ``flag_against_prior``), so the job does not reshuffle the
-    full history every day.
+    full history every day. ``profile`` counts the day's lines and the history.
     """
     d0 = as_date(day)
-    todays = day_orders(lines.where(F.col(ORDER_DATE) == d0))
-    flagged = flag_against_prior(customers_of_day(todays), lines, d0, broadcast_limit_bytes)
+    todays = day_orders(lines.where(F.col(ORDER_DATE) == d0), profile)
+    earlier = profile.history(lines, d0) if profile else lines
+    flagged = flag_against_prior(customers_of_day(todays), earlier, d0, broadcast_limit_bytes)
     return assemble(segment_totals(flagged), orders_of_day(todays))
 
 
-def day_orders(todays_lines: DataFrame) -> DataFrame:
+def day_orders(todays_lines: DataFrame, profile: RunProfile | None = None) -> DataFrame:
     """One day's lines at (day, customer, order) grain, checkpointed.
 
     One day of orders: small next to the history. Materialising it reads the
@@ -184,7 +193,7 @@ def day_orders(todays_lines: DataFrame) -> DataFrame:
     the loss of executors.
     """
     checkpoint_dir(todays_lines.sparkSession)
-    return order_grain(todays_lines).checkpoint(eager=True)
+    return order_grain(todays_lines, profile).checkpoint(eager=True)
 
 
 def customers_of_day(todays: DataFrame) -> DataFrame:

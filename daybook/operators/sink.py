@@ -18,8 +18,9 @@ files of older writers read the same through the catalog as through
 ``read_daily_stats`` and a damaged cell raises instead of turning into NULL.
 Other formats keep the types and are one table.
 
-Partitions are registered with ``ADD IF NOT EXISTS`` (reruns are no-ops) or,
-after a bulk write, recovered from the folder listing in one call.
+Partitions are registered with ``ADD IF NOT EXISTS`` (reruns are no-ops): one,
+or after a bulk write those of the written days that the catalog lacks
+(``point_days``). ``recover_partitions`` adds what a folder listing finds.
 """
 
 from __future__ import annotations
@@ -27,10 +28,12 @@ from __future__ import annotations
 import datetime as dt
 import re
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.operators.run_profile import RunProfile
 from daybook.schema import (
     DAILY_STATS_COLUMNS,
     DAILY_STATS_TEXT_SCHEMA,
@@ -40,6 +43,8 @@ from daybook.schema import (
     daily_stats_ddl_columns,
 )
 
+#: Partitions that one statement names.
+BATCH = 500
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?$")
 
 
@@ -63,7 +68,13 @@ def with_partition_column(stats: DataFrame) -> DataFrame:
     return stats.select(*DAILY_STATS_COLUMNS, F.col(ORDER_DATE).alias(PARTITION_DATE))
 
 
-def write_daily_stats(stats: DataFrame, location: str, fmt: str = "csv", writers: int | None = None) -> None:
+def write_daily_stats(
+    stats: DataFrame,
+    location: str,
+    fmt: str = "csv",
+    writers: int | None = None,
+    profile: RunProfile | None = None,
+) -> None:
     """Write every day of ``stats`` to its own partition (backfill sink).
 
     One job replaces exactly the days present in ``stats``. The statistics
@@ -75,12 +86,13 @@ def write_daily_stats(stats: DataFrame, location: str, fmt: str = "csv", writers
     then create every day's folder and file one after another. A range (not
     hash) partitioning is used so the exchange is not dropped as redundant
     with the day-keyed aggregate below it, and each writer gets a contiguous
-    run of days.
+    run of days. ``profile`` counts the days behind that exchange, as the job
+    that samples its ranges would be counted too.
     """
     slots = writers or max(stats.sparkSession.sparkContext.defaultParallelism, 1)
+    days = with_partition_column(stats).repartitionByRange(slots, PARTITION_DATE)
     writer = (
-        with_partition_column(stats)
-        .repartitionByRange(slots, PARTITION_DATE)
+        (profile.days(days) if profile else days)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PARTITION_DATE)
@@ -154,19 +166,63 @@ def drop_daily_stats_table(spark: SparkSession, name: str) -> None:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def overwrite_day(spark: SparkSession, table: str, stats: DataFrame, day: str | dt.date) -> None:
+def _day_folder(root: str, day: dt.date) -> str:
+    return f"{root.rstrip('/')}/{PARTITION_DATE}={day.isoformat()}"
+
+
+def partition_locations(spark: SparkSession, table: str) -> dict[dt.date, str]:
+    """Registered days and the folders they point at: one catalog call, a row for each day."""
+    state = spark._jsparkSession.sessionState()
+    ident = state.sqlParser().parseTableIdentifier(stored_table(spark, table))
+    listed = state.catalog().listPartitions(ident, spark._jvm.scala.Option.empty())
+    out = {}
+    for i in range(listed.size()):
+        part = listed.apply(i)
+        day = part.spec().apply(PARTITION_DATE)
+        out[dt.date.fromisoformat(day[:10])] = part.location().toString()
+    return out
+
+
+def point_days(spark: SparkSession, table: str, root: str, days: Iterable[dt.date]) -> list[dt.date]:
+    """Lets each day's partition point into ``root``; returns the days that did not yet."""
+    target, known = stored_table(spark, table), partition_locations(spark, table)
+    wanted = {d: _day_folder(root, d) for d in days}
+    new = sorted(d for d in wanted if d not in known)
+    for at in range(0, len(new), BATCH):
+        parts = " ".join(f"PARTITION ({PARTITION_DATE} = DATE '{d}') LOCATION {_quote(wanted[d])}" for d in new[at : at + BATCH])
+        spark.sql(f"ALTER TABLE {target} ADD IF NOT EXISTS {parts}")
+    moved = sorted(d for d in wanted if d in known and plain_path(known[d]) != plain_path(wanted[d]))
+    for d in moved:
+        spark.sql(f"ALTER TABLE {target} PARTITION ({PARTITION_DATE} = DATE '{d}') SET LOCATION {_quote(wanted[d])}")
+    return sorted([*new, *moved])
+
+
+def plain_path(location: str) -> str:
+    """A location without its scheme, as the catalog may or may not add one."""
+    scheme, mark, rest = location.partition(":/")
+    return "/" + (rest if mark and "/" not in scheme else location).strip("/")
+
+
+def overwrite_day(
+    spark: SparkSession, table: str, stats: DataFrame, day: str | dt.date, profile: RunProfile | None = None
+) -> None:
     """Replace one day's partition of ``table`` with that day's rows of ``stats``.
 
     A static partition spec is used on purpose: with zero rows the partition
-    is emptied and stays registered, instead of keeping stale rows.
+    is emptied and stays registered, instead of keeping stale rows. A day that
+    was published by version is written to the table's own folder again.
     """
     lit = _day_literal(day)
+    date, root = dt.date.fromisoformat(lit), table_location(spark, table)
+    at = partition_locations(spark, table).get(date)
+    if at and plain_path(at) != plain_path(_day_folder(root, date)):
+        point_days(spark, table, root, [date])
     view = f"_daybook_day_{lit.replace('-', '_')}_{uuid.uuid4().hex[:8]}"
     target = stored_table(spark, table)
     kinds = dict(spark.table(target).dtypes)
-    stats.where(F.col(ORDER_DATE) == F.lit(dt.date.fromisoformat(lit))).select(
-        *(F.col(c).cast(kinds[c]).alias(c) for c in DAILY_STATS_COLUMNS)
-    ).createOrReplaceTempView(view)
+    rows = stats.where(F.col(ORDER_DATE) == F.lit(dt.date.fromisoformat(lit)))
+    rows = profile.days(rows) if profile else rows
+    rows.select(*(F.col(c).cast(kinds[c]).alias(c) for c in DAILY_STATS_COLUMNS)).createOrReplaceTempView(view)
     try:
         spark.sql(
             f"INSERT OVERWRITE TABLE {target} "

@@ -5,7 +5,9 @@ from daybook.plans.jobs import (
     merge_dimension,
     refresh_dimension,
     run_backfill,
+    run_catch_up,
     run_daily,
+    run_repair,
     yesterday,
 )
 
@@ -14,6 +16,8 @@ __all__ = [
     "merge_dimension",
     "refresh_dimension",
     "run_backfill",
+    "run_catch_up",
     "run_daily",
+    "run_repair",
     "yesterday",
 ]

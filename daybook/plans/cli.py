@@ -1,8 +1,10 @@
 """Command line for spark-submit.
 
     spark-submit -m daybook.plans.cli create   --table T --location L
-    spark-submit -m daybook.plans.cli backfill --source SRC [--location L] [--table T] [--share-source]
+    spark-submit -m daybook.plans.cli backfill --source SRC [--location L] [--table T] [--share-source] [--by-version]
     spark-submit -m daybook.plans.cli daily    --source SRC --table T [--date YYYY-MM-DD] [--dimension D] [--broadcast-limit-mb N]
+    spark-submit -m daybook.plans.cli catch-up --source SRC --table T --dates YYYY-MM-DD [YYYY-MM-DD ...] [--dimension D]
+    spark-submit -m daybook.plans.cli repair   --source SRC --late LATE --table T --old D1 --location D2
     spark-submit -m daybook.plans.cli dimension --source SRC --location D [--through YYYY-MM-DD]
     spark-submit -m daybook.plans.cli merge-dimension --source SRC --old D1 --location D2 [--through YYYY-MM-DD]
 
@@ -11,6 +13,10 @@ columns (order_id, email, order_date, quantity, price); ``--partition-column``
 names its DATE partition column, if it has one that holds the order day.
 ``--time-zone`` is the shop's zone, which decides what yesterday is.
 
+Publishing commands print the run's profile. ``repair`` takes the late lines
+(``LATE``, already part of ``SRC``) and the dimension of before, and writes the
+new dimension.
+
 ``--shuffle-partitions N`` sets ``spark.sql.shuffle.partitions``. Size it to
 the input: about one partition per 128 MB of line-item data read. AQE merges
 partitions that turn out small but cannot split large ones (except skewed
@@ -22,7 +28,16 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
-from daybook.plans.jobs import create_table, merge_dimension, refresh_dimension, run_backfill, run_daily
+from daybook.plans.jobs import (
+    create_table,
+    merge_dimension,
+    refresh_dimension,
+    run_backfill,
+    run_catch_up,
+    run_daily,
+    run_repair,
+)
+from daybook.operators.run_profile import RunProfile
 from daybook.session import build_session
 from daybook.sources import line_items_from_table
 
@@ -48,6 +63,21 @@ def main(argv: list[str] | None = None) -> None:
         help="read the source once (for sources that are views over joins or text files)",
     )
 
+    p_back.add_argument("--by-version", action="store_true", help="stage, audit, then switch partitions (CSV table)")
+
+    p_catch = sub.add_parser("catch-up", help="publish several days in one pass")
+    p_catch.add_argument("--source", required=True)
+    p_catch.add_argument("--table", required=True)
+    p_catch.add_argument("--dates", nargs="+", type=dt.date.fromisoformat, required=True)
+    p_catch.add_argument("--dimension", help="folder of a persisted first-order dimension")
+
+    p_repair = sub.add_parser("repair", help="publish the days that late lines change")
+    p_repair.add_argument("--source", required=True, help="all lines, the late ones included")
+    p_repair.add_argument("--late", required=True, help="the late lines")
+    p_repair.add_argument("--table", required=True)
+    p_repair.add_argument("--old", required=True, help="the dimension from before the late lines")
+    p_repair.add_argument("--location", required=True, help="where the new dimension goes")
+
     p_daily = sub.add_parser("daily", help="publish one day (default yesterday)")
     p_daily.add_argument("--source", required=True)
     p_daily.add_argument("--table", required=True)
@@ -81,14 +111,31 @@ def main(argv: list[str] | None = None) -> None:
         return
     lines = line_items_from_table(spark, args.source, args.partition_column)
     if args.command == "backfill":
-        run_backfill(spark, lines, args.location, args.table, share_source=args.share_source)
+        show(run_backfill(spark, lines, args.location, args.table, share_source=args.share_source, by_version=args.by_version))
+    elif args.command == "catch-up":
+        show(run_catch_up(spark, lines, args.table, args.dates, args.dimension))
+    elif args.command == "repair":
+        late = line_items_from_table(spark, args.late, args.partition_column)
+        show(run_repair(spark, lines, late, args.table, args.old, args.location))
     elif args.command == "dimension":
         refresh_dimension(lines, args.location, args.through)
     elif args.command == "merge-dimension":
         merge_dimension(spark, lines, args.old, args.location, args.through)
     else:
         limit = None if args.broadcast_limit_mb is None else args.broadcast_limit_mb << 20
-        run_daily(spark, lines, args.table, args.date, args.dimension, broadcast_limit_bytes=limit)
+        show(run_daily(spark, lines, args.table, args.date, args.dimension, broadcast_limit_bytes=limit))
+
+
+def show(profile: RunProfile) -> None:
+    for column, kind in profile.types.items():
+        print(f"{column}: {kind}")
+    for scope, figures in profile.figures().items():
+        for item, value in figures.items():
+            if item == "first_rows":
+                value = "\n  ".join(["", *(str(tuple(r)) for r in value)])
+            print(f"{scope} {item}: {value if item != 'listed' else len(value)}")
+    if profile.published is not None:
+        print(f"partitions added or moved: {len(profile.published)}")
 
 
 if __name__ == "__main__":

@@ -4,17 +4,21 @@ Each job is a handful of DataFrame / SQL calls; Spark does the work. The
 only driver-side steps are the write commit and the catalog statements.
 
 Late data: the daily job never revisits an earlier day. A line that arrives
-with an older date can turn a later "new" customer into a repeat one; rerun
-``run_backfill`` to repair every affected day in one idempotent write.
+with an older date can turn a later "new" customer into a repeat one;
+``run_repair`` publishes exactly the days that such lines change, given the
+first-order dimension of before, and ``run_backfill`` all days.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from daybook.operators.affected import affected_days, daily_stats_for_days, daily_stats_for_days_from_history
 from daybook.operators.per_day import daily_stats, daily_stats_for_day
+from daybook.operators.publish import publish
 from daybook.operators.dimension import (
     build_first_order_dimension,
     covered_through,
@@ -24,14 +28,16 @@ from daybook.operators.dimension import (
     read_dimension,
     write_dimension,
 )
+from daybook.operators.run_profile import RunProfile
 from daybook.operators.sink import (
     create_daily_stats_table,
     overwrite_day,
-    recover_partitions,
+    point_days,
     register_partition,
     table_location,
     write_daily_stats,
 )
+from daybook.schema import DAILY_STATS_SCHEMA
 
 
 def yesterday(spark: SparkSession) -> dt.date:
@@ -52,15 +58,20 @@ def run_backfill(
     fmt: str = "csv",
     share_source: bool = False,
     writers: int | None = None,
-) -> None:
+    by_version: bool = False,
+) -> RunProfile:
     """Recompute every day from full history and publish it.
 
     One job, one dynamic-overwrite write: days absent from the result are
-    untouched, days present are replaced. With ``table`` the partitions are
-    then recovered in a single catalog call. ``share_source`` is passed to
+    untouched, days present are replaced. With ``table`` the days that the job
+    wrote and the table does not have yet are then registered; no folder is
+    listed. ``by_version`` publishes through a staged version instead (see
+    ``operators.publish``): audited, and switched day by day. ``share_source`` is passed to
     ``daily_stats`` (set it when ``lines`` is itself a join or text files),
     ``writers`` to ``write_daily_stats``.
 
+    Returns the run's profile, which is counted along the way.
+
     Where there is a table its location is where the days go; a different
     ``location`` raises, as the table would not see them.
     """
@@ -71,9 +82,17 @@ def run_backfill(
         location = where
     if not location:
         raise ValueError("a backfill needs a location or a table")
-    write_daily_stats(daily_stats(lines, share_source), location, fmt, writers)
+    if by_version and (not table or fmt != "csv"):
+        raise ValueError("publication by version needs a CSV table")
+    profile = RunProfile(lines)
+    stats = daily_stats(lines, share_source, profile)
+    if by_version:
+        profile.published = publish(spark, table, stats, profile, writers=writers)
+        return profile
+    write_daily_stats(stats, location, fmt, writers, profile)
     if table:
-        recover_partitions(spark, table)
+        profile.published = point_days(spark, table, location, profile.written_days())
+    return profile
 
 
 def _same_folder(spark: SparkSession, a: str, b: str) -> bool:
@@ -94,8 +113,9 @@ def run_daily(
     as_of_date: str | dt.date | None = None,
     dimension_location: str | None = None,
     broadcast_limit_bytes: int | None = None,
-) -> dt.date:
-    """Publish one day (default: yesterday) into ``table``.
+    profile_history: bool = False,
+) -> RunProfile:
+    """Publish one day (default: yesterday) into ``table``; returns the run's profile, with the ``day``.
 
     First-order dates still use the whole history: through a semi-join of
     earlier lines on the day's customers, or, with ``dimension_location``,
@@ -103,22 +123,84 @@ def run_daily(
     covers every line dated before the day (see ``refresh_dimension``). The day's partition is
     replaced even when the day has no lines, and registered if new.
     ``broadcast_limit_bytes`` caps the broadcast of the day's customers (the
-    session's broadcast threshold by default).
+    session's broadcast threshold by default). ``profile_history`` counts the
+    scanned history too (see ``RunProfile``).
     """
     day = as_of_date or yesterday(spark)
     if isinstance(day, str):
         day = dt.date.fromisoformat(day)
+    profile = RunProfile(lines, day, with_history=profile_history)
     if dimension_location:
         through = covered_through(spark, dimension_location)
         if through < day - dt.timedelta(days=1):
             raise ValueError(f"the dimension covers lines through {through}, too few for {day}")
         dim = read_dimension(spark, dimension_location)
-        stats = daily_stats_for_day_from_dimension(lines, dim, day, broadcast_limit_bytes)
+        stats = daily_stats_for_day_from_dimension(lines, dim, day, broadcast_limit_bytes, profile)
     else:
-        stats = daily_stats_for_day(lines, day, broadcast_limit_bytes)
-    overwrite_day(spark, table, stats, day)
+        stats = daily_stats_for_day(lines, day, broadcast_limit_bytes, profile)
+    overwrite_day(spark, table, stats, day, profile)
     register_partition(spark, table, day)
-    return day
+    return profile
+
+
+def run_catch_up(
+    spark: SparkSession,
+    lines: DataFrame,
+    table: str,
+    days: Sequence[dt.date],
+    dimension_location: str | None = None,
+) -> RunProfile:
+    """Publish several days, for example those that daily runs have missed.
+
+    First orders of all the days come from one pass over the history, or from a
+    dimension that covers the lines before the last day. Days without lines
+    are emptied, as by the daily job.
+    """
+    days = sorted(set(days))
+    if not days:
+        raise ValueError("no days to publish")
+    profile = RunProfile(lines)
+    if dimension_location:
+        through = covered_through(spark, dimension_location)
+        if through < days[-1]:
+            raise ValueError(f"the dimension covers lines through {through}, too few for {days[-1]}")
+        stats = daily_stats_for_days(lines, days, read_dimension(spark, dimension_location), profile)
+    else:
+        stats = daily_stats_for_days_from_history(lines, days, profile)
+    profile.published = publish(spark, table, stats, profile)
+    nothing = spark.createDataFrame([], DAILY_STATS_SCHEMA)
+    for day in sorted(set(days) - set(profile.written_days())):
+        overwrite_day(spark, table, nothing, day)
+        register_partition(spark, table, day)
+    return profile
+
+
+def run_repair(
+    spark: SparkSession,
+    lines: DataFrame,
+    late_lines: DataFrame,
+    table: str,
+    old_dimension: str,
+    new_dimension: str,
+) -> RunProfile:
+    """Publish the days that late lines change, and no others.
+
+    ``lines`` holds the late lines already; ``old_dimension`` is the version
+    of before. A new version is written to ``new_dimension`` first. The days
+    follow from the late lines and the old version (``affected_days``); they
+    are computed from their lines and the new version, and published by
+    version. Afterwards the table equals a full backfill; other days keep
+    their files. Run again after a failure with the same arguments.
+    """
+    merge_dimension(spark, late_lines, old_dimension, new_dimension)
+    affected = affected_days(late_lines, read_dimension(spark, old_dimension))
+    days = sorted(r[0] for r in affected.collect())  # calendar days
+    profile = RunProfile(lines)
+    profile.published = []
+    if days:
+        stats = daily_stats_for_days(lines, days, read_dimension(spark, new_dimension), profile)
+        profile.published = publish(spark, table, stats, profile)
+    return profile
 
 
 def refresh_dimension(lines: DataFrame, location: str, through: dt.date | None = None) -> None:
