@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -306,3 +307,90 @@ def test_importance_of_hosts_with_few_pages(spark):
         got = page_results(spark, site(count, count, page))
         assert [t.startswith("Welcome\n") for t in got.values()] == [menu] * count
         assert all(t.count("\n") == 2 + menu for t in got.values())
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        ("<p data-x=it's>Hello</p><p>don't stop</p><p>end</p>", "Hello\ndon't stop\nend"),
+        ('<p class="x>Hello</p>', ""),  # the page ends within the value
+        ("<p title='a > b' title=c>x</p><p = y=>z</p><p/a/b=c>w</p>", "x\nz\nw"),
+        ("<p>a <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>tex</annotation></math> b</p>", "a x=1 b"),
+        ("a < b <!-- > --> c <!--> d </> e </ x> f <a href=/x/>g</a> h<!-- open", "a < b c d e f g h"),
+        ("<p>a</p><!doctype x><p hidden>b</p><p hidden=''>c</p><p data-hidden>d</p>", "a\nd"),
+    ],
+)
+def test_attributes_and_comments_as_html_reads_them(page, text):
+    assert text_of(page) == text
+
+
+@pytest.mark.parametrize(
+    "piece,tail",
+    [
+        ('<a "', ""), ("<div>", "</span>"), ("<div>", "x</span>"), ("<b>", "x<hr>"), ("<p><ul>", "<li>x"), ("<div><b>", "</b>"),
+        ("<tr><b>", "<td>x"), ("<div class=ad>", "x"), ("<", ""), ("<!", ""), ("</", ""), ("<a b='", ""), ("<article>", "x"),
+    ],
+)
+def test_broken_pages_take_time_in_proportion(piece, tail):
+    import time
+
+    times = []
+    for n in (10_000, 40_000):
+        start = time.perf_counter()
+        page_text.text_of(page_text.parse(piece * n + tail * n))
+        times.append(time.perf_counter() - start)
+    assert times[1] < 8 * times[0] + 0.5
+
+
+def trees_by_hand(pages):
+    """(host, place): pages, presentation importance and entropy of content."""
+    import math
+
+    hosts, seen = Counter(h for h, _ in pages), Counter()
+    for host, page in pages:
+        own = []
+        page_text.parse(page, seen=own)
+        seen.update({(host, *x) for x in own})
+    out = {}
+    for host, place in {(k[0], k[1]) for k in seen}:
+        m = hosts[host]
+        of = lambda what: [n for k, n in seen.items() if k[:2] == (host, place) and k[3] == what]  # noqa: B023, E731
+        styles, total = of(0), sum(of(0))
+        if not total or total * 10 < m or m < 2:
+            continue
+        entropy = -sum(n / total * math.log(n / total, m) for n in styles)
+        mean = [sum(math.log(n, m) for n in of(w)) / len(of(w)) for w in (1, 2, 3) if of(w)]
+        spread = min(1.0, 0.8 * mean[0] + 0.1 * mean[1] + 0.1 * mean[2]) if mean else None
+        out[host, place] = (total, min(1.0, entropy), spread)
+    return out
+
+
+def test_style_trees_equal_plain_python(spark):
+    pages = [("a", f"<div><p>same</p><p>{'long ' * (i % 3)}own {i}</p><ul>{'<li><a href=x>l</a>' * (i % 2 + 1)}</ul></div>") for i in range(12)]
+    pages += [("a", "<aside>rare</aside>"), ("b", "<p>x</p>"), ("c", "<p>x</p>"), ("c", None)]
+    frame = spark.createDataFrame(pages, "_host string, html string")
+    hosts = frame.groupBy(F.col("_host").alias("host")).agg(F.count("*").alias("m")).where("m >= 2")
+    got = {
+        (r.host, r.place % (1 << 64)): (r.n, r.own, r.spread)
+        for r in page_text.style_trees(page_text._features(frame, "html"), hosts).collect()
+    }
+    expected = trees_by_hand(pages)
+    assert set(got) == set(expected)
+    for k, (n, own, spread) in expected.items():
+        assert got[k][0] == n and got[k][1] == pytest.approx(own, abs=1e-9)
+        assert (got[k][2] is None) == (spread is None) and (spread is None or got[k][2] == pytest.approx(spread, abs=1e-9))
+
+
+def test_trees_judge_the_given_pages(spark):
+    """Places outside articles are low on the given pages, places inside are not; what announces itself is judged too."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").withColumn("_host", page_text.url_host(F.col("url")))
+    hosts = pages.groupBy(F.col("_host").alias("host")).agg(F.count("*").alias("m")).where("m >= 2")
+    trees = page_text.style_trees(page_text._features(pages, "html"), hosts)
+    low = {r._host: {p % (1 << 64) for p in r._cut} for r in page_text._judged_places(trees, 0.15).collect()}
+    blocks = Counter()
+    for page in pages.select("_host", "html").collect():
+        seen = []
+        page_text.parse(page.html, seen=seen)
+        blocks.update((main, place in low.get(page._host, ())) for place, _, what, _, main, _ in seen if what == 1)
+    assert blocks[True, True] == 0 and blocks[True, False] > 1000
+    assert blocks[False, True] > 0.8 * (blocks[False, True] + blocks[False, False])
