@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daybook.session import checkpoint_dir
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RESULT = ("host", "path", "rule", "verdict")
 WORDS = 4
@@ -138,10 +140,12 @@ def filter_urls(
         .select("_url", F.explode(F.array_compact(F.array(*(key_of(a, b) for a, b, *_ in shapes)))).alias("_rule"))
     )
     hits = possible_hits(keys, "_rule", blocked_bloom(entries, "_rule", blocks), blocks, few_blocks)
-    exact = hits.join(F.broadcast(entries) if few_rules else entries.hint("shuffle_hash"), "_rule")
+    # What is aggregated is written out before a join: of two plain sides Spark can split a hot rule or URL.
+    checkpoint_dir(pages.sparkSession)
+    exact = hits.join(F.broadcast(entries) if few_rules else entries.checkpoint().hint("shuffle_hash"), "_rule")
     decided = exact.groupBy("_url").agg(
         F.max_by(F.struct("_rule", "_verdict"), F.struct(F.length("_rule"), "_rule")).alias("_best")
-    )
+    ).checkpoint()
     return (
         out.join(decided, out[url] == decided["_url"], "left")
         .withColumns({"rule": F.col("_best._rule"), "verdict": F.coalesce("_best._verdict", F.lit(default))})
