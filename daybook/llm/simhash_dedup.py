@@ -51,6 +51,8 @@ RADIUS = 3
 SEED = 42
 POINTS = 1041  # mean points of a ball: (1 + 2016) for half of them, 64 for the others
 FINEST = 60
+#: Labels that are broadcast to be split; more of them are joined by a shuffle.
+BROADCAST_LABELS = 1 << 18
 LEAST_BOUND = (1 << 64 - FINEST) * 2081  # so many distinct fingerprints at most are within two flips of a point
 
 
@@ -195,13 +197,15 @@ def dealt_labels(prints: DataFrame, label_points: int = 1 << 21) -> DataFrame:
         rows, bits = _split(rows, bits, more), bits + more
         # As each of them has more than ``bound`` points, the labels above it are few.
         above = _points(rows, bits).where(F.col("points") > bound).checkpoint()
-        largest = above.agg(F.max("points")).first()[0] if bits < FINEST else None
-        stay = rows if largest is None else rows.join(F.broadcast(above), "label", "left_anti")
+        largest, labels = above.agg(F.max("points"), F.count("*")).first() if bits < FINEST else (None, 0)
+        if labels <= BROADCAST_LABELS:
+            above = F.broadcast(above)
+        stay = rows if largest is None else rows.join(above, "label", "left_anti")
         stay = stay.select("fingerprint", "label", F.lit(bits).alias("bits"))
         dealt = stay if dealt is None else dealt.union(stay)
         if largest is None:
             return dealt
-        rows = rows.join(F.broadcast(above), "label", "left_semi").select("fingerprint", "label").checkpoint()
+        rows = rows.join(above, "label", "left_semi").select("fingerprint", "label").checkpoint()
         more = min(FINEST - bits, 8, max(2, math.ceil(math.log2(largest / bound))))
 
 
@@ -221,21 +225,22 @@ def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node that has a link; the root is the smallest node."""
     checkpoint_dir(links.sparkSession)
 
-    def spread(pairs: DataFrame, smaller: DataFrame) -> DataFrame:
-        least = smaller.groupBy("u").agg(F.min("v").alias("m"))
-        return pairs.join(least, "u")
+    def spread(pairs: DataFrame) -> DataFrame:
+        # Written out, the least neighbours are a plain side of the join, whose other side
+        # Spark can then split where one node has very many links.
+        return pairs.join(pairs.groupBy("u").agg(F.min("v").alias("m")).checkpoint(), "u")
 
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     edges, before = edges.checkpoint(), None
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # Large star: every larger neighbour of u goes to u's least neighbour.
-        large = spread(both, both).select(
+        large = spread(both).select(
             F.when(F.col("v") > F.col("u"), F.col("v")).alias("u"), F.least("m", "u").alias("v")
         )
-        large = large.where("u is not null and u <> v").distinct()
+        large = large.where("u is not null and u <> v").distinct().checkpoint()
         # Small star: u and its smaller neighbours go to the least of them.
-        small = spread(large, large).select(
+        small = spread(large).select(
             F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")
         )
         edges = small.select("e.*").where("u <> v").distinct().checkpoint()
@@ -257,8 +262,8 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     marked = add_fingerprints(docs.drop("root", "component_id"), text, shingle).checkpoint()
     prints = marked.groupBy("fingerprint").agg(F.min(doc_id).alias("_least")).checkpoint()
     roots = components(near_links(prints.select("fingerprint"))).withColumnRenamed("node", "fingerprint")
-    rooted = prints.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
-    named = rooted.groupBy("root").agg(F.min("_least").alias("component_id"))
+    rooted = prints.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint")).checkpoint()
+    named = rooted.groupBy("root").agg(F.min("_least").alias("component_id")).checkpoint()
     classes = rooted.select("fingerprint", "root").join(named, "root")
     return marked.join(classes, "fingerprint")
 
