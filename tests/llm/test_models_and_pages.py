@@ -158,6 +158,29 @@ def test_buckets_are_pruned():
     assert search.best == [[(-int((own**2).sum()), 1)]]
 
 
+def test_repeated_ids_and_large_components(spark):
+    rows = [(0, [1.0, 2.0]), (0, [3.0, -1.0]), (1, [2.0, 2.0]), (1, [2.0, 2.0]), (50, [3e17, 1.0]), (2, [1e18, 5.0]), (3, [-1e18, 7.0]), (4, [1e300, 1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = Counter(tuple(r) for r in top_products(frame, F.col("vec_id") % 50 == 0, k=3, tile=3, seeds=4).collect())
+    hold = lambda x: max(-(2**63 - 1), min(2**63 - 1, x))
+    whole = [(i, [int(max(-1e150, min(1e150, np.floor(256 * x)))) for x in v]) for i, v in rows]
+    expected = Counter()
+    for n, (q, own) in enumerate(whole):
+        if q % 50 == 0:
+            scored = sorted((-hold(sum(a * b for a, b in zip(own, v))), i) for m, (i, v) in enumerate(whole) if m != n)
+            expected.update((q, rank, i, -s) for rank, (s, i) in enumerate(scored[:3], 1))
+    assert got == expected
+
+
+def test_queries_stay_off_the_driver(spark):
+    """Many tiles and queries: only runs of tiles and seeds are collected, and short tiles are not visited."""
+    rng = np.random.default_rng(4)
+    rows = [(i, (rng.normal(size=6) * (100 if i < 200 else 1)).tolist()) for i in range(3000)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = {tuple(r) for r in top_products(frame, F.col("vec_id") % 50 == 0, tile=100, seeds=64, block=7).collect()}
+    assert got == top_by_hand(rows)
+
+
 def test_no_vectors(spark):
     frame = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert top_products(frame, F.col("vec_id") % 50 == 0).count() == 0
