@@ -10,7 +10,8 @@ shortest benchmark window ends can match nothing and are left out.
 
 Nothing is shuffled. The benchmark is the query set: it goes to the tasks in
 blocks of whole items of about ``block_bytes``, one pass for each block, and
-a pass adds to the hits of the passes before it.
+a pass adds to the hits of the passes before it, which are in a file by then:
+a worker process holds the index of one block.
 
 Words: A-Z lower-cased, then ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``.
 
@@ -23,6 +24,7 @@ hits nothing. Input columns named like a result column are replaced by it.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.session import remove_location, scratch_location
+
 #: Lower-cases A-Z and turns all other ASCII characters that no word has into spaces.
 TO_WORDS = bytes(
     b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20
@@ -45,36 +49,51 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 class Benchmark:
-    """The windows of some items, as suffixes cut to ``window`` words."""
+    """The windows of some items, sorted, with the places where they come from.
+
+    About 100 bytes for each word while it is built, 60 afterwards, and the
+    vocabulary.
+    """
 
     def __init__(self, items: list[tuple[str | None, bytes | None]], window: int):
         self.window = window
         self.vocabulary: dict[bytes, int] = {}
         self.ids: list[str | None] = []
-        windows: dict[tuple[int, ...], int] = {}
-        owners: list[set[int]] = []
-        self.first: list[tuple[int, int]] = []  # item and word where a window comes first
+        texts: list[np.ndarray] = []
         for item_id, text in items:
             words = words_of(text or b"")
             if not words:
                 continue
-            numbers = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words]
+            numbers = (self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words)
+            texts.append(np.fromiter(numbers, ">u4", len(words)))
             self.ids.append(item_id)
-            for at in range(max(1, len(numbers) - window + 1)):
-                key = tuple(numbers[at : at + window])
-                k = windows.setdefault(key, len(windows))
-                if k == len(owners):
-                    owners.append(set())
-                    self.first.append((len(self.ids) - 1, at))
-                owners[k].add(len(self.ids) - 1)
-        self.owners = [sorted(x) for x in owners]
-        self.lengths = np.array([len(k) for k in windows], np.int64)
-        self.shortest = int(self.lengths.min()) if windows else 0
-        low = np.zeros((len(windows), window), ">u4")
-        high = np.full((len(windows), window), 0xFFFFFFFF, ">u4")
-        for i, key in enumerate(windows):
-            low[i, : len(key)] = high[i, : len(key)] = key
-        self.low, self.high = self.as_keys(low), self.as_keys(high)
+        sizes = np.array([len(t) for t in texts], np.int64)
+        counts = np.maximum(1, sizes - window + 1)
+        item = np.repeat(np.arange(len(sizes), dtype=np.int32), counts)
+        word = (np.arange(len(item)) - np.repeat(np.cumsum(counts) - counts, counts)).astype(np.int32)
+        length = np.minimum(window, sizes)[item]
+        joined = np.concatenate([*texts, np.zeros(window, ">u4")])
+        begin = (np.cumsum(sizes) - sizes)[item] + word
+        rows = joined[begin[:, None] + np.arange(window)]
+        rows[np.arange(window) >= length[:, None]] = 0
+        keys = self.as_keys(rows)
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+        self.low, self.lengths = keys[new], length[order[new]]
+        #: Window k comes from places ``owned[k]`` up to ``owned[k + 1]`` of ``item`` and ``word``.
+        self.owned, self.item, self.word = np.append(new, len(keys)), item[order], word[order]
+        self.shortest = int(self.lengths.min()) if len(new) else 0
+        self.high = self.low
+        if (self.lengths < window).any():  # these match whatever follows
+            high = self.low.copy().view(">u4").reshape(-1, window)
+            high[np.arange(window) >= self.lengths[:, None]] = 0xFFFFFFFF
+            self.high = self.as_keys(high)
+
+    def items_of(self, which: np.ndarray) -> set[str]:
+        """Ids of the items that windows ``which`` come from."""
+        held = [self.item[self.owned[k] : self.owned[k + 1]] for k in np.unique(which).tolist()]
+        return {self.ids[i] for i in np.unique(np.concatenate(held)).tolist()} - {None} if held else set()
 
     def as_keys(self, rows: np.ndarray) -> np.ndarray:
         """Rows of big-endian numbers as byte strings that sort alike."""
@@ -101,7 +120,7 @@ class Benchmark:
         return starts[np.repeat(begin, found) + within], which
 
 
-def _shard(texts: list[bytes | None], bench: Benchmark, before: list) -> list[dict]:
+def _shard(texts: list[bytes | None], bench: Benchmark, before: list, placed: bool) -> list[dict]:
     """One result for each text; ``before`` has what earlier passes found."""
     get = bench.vocabulary.get
     tokens, counts = [], []
@@ -130,13 +149,13 @@ def _shard(texts: list[bytes | None], bench: Benchmark, before: list) -> list[di
         for s in spans or ():
             covered[s["start"] : s["start"] + s["n_words"]] = True
         turns = np.flatnonzero(np.diff(np.concatenate([[0], covered.astype(np.int8), [0]])))
-        listed = {bench.ids[o] for k in np.unique(own_which) for o in bench.owners[k]} - {None}
+        listed = bench.items_of(own_which)
         out.append(
             {
                 "n_words": n,
                 "n_hit": int(covered.sum()),
                 "items": sorted(listed | set(items or ())),
-                "matches": [*(matches or ()), *_matches(own_at, own_which, bench)],
+                "matches": [*(matches or ()), *(_matches(own_at, own_which, bench) if placed else ())],
                 "spans": [{"start": int(a), "n_words": int(b - a)} for a, b in zip(turns[::2], turns[1::2], strict=True)],
             }
         )
@@ -144,21 +163,25 @@ def _shard(texts: list[bytes | None], bench: Benchmark, before: list) -> list[di
 
 
 def _matches(at: np.ndarray, which: np.ndarray, bench: Benchmark) -> list[dict]:
-    """Longest verbatim matches: windows that follow one another in both texts."""
+    """Longest verbatim matches: windows that follow one another in the text and in an item, for each place of an item."""
     out: list[dict] = []
     open_: dict[tuple[int, int], int] = {}  # (item, item word - document word) -> its last match
     for p, k in zip(at.tolist(), which.tolist(), strict=True):
-        item, word = bench.first[k]
-        length = int(bench.lengths[k])
-        last = open_.get((item, word - p))
-        if last is not None and out[last]["start"] + out[last]["n_words"] >= p + length - 1:
-            out[last]["n_words"] = max(out[last]["n_words"], p + length - out[last]["start"])
-            continue
-        open_[(item, word - p)] = len(out)
-        out.append({"start": p, "n_words": length, "item_id": bench.ids[item], "item_word": word})
+        length, places = int(bench.lengths[k]), slice(bench.owned[k], bench.owned[k + 1])
+        for item, word in zip(bench.item[places].tolist(), bench.word[places].tolist(), strict=True):
+            last = open_.get((item, word - p))
+            if last is not None and out[last]["start"] + out[last]["n_words"] >= p + length - 1:
+                out[last]["n_words"] = max(out[last]["n_words"], p + length - out[last]["start"])
+                continue
+            open_[(item, word - p)] = len(out)
+            out.append({"start": p, "n_words": length, "item_id": bench.ids[item], "item_word": word})
     return out
 
 
+#: The block that this worker process searched last.
+_HELD: dict[str, Benchmark] = {}
+
+
 def find_leaks(
     docs: DataFrame,
     items: DataFrame,
@@ -167,9 +190,14 @@ def find_leaks(
     item_text: str = "text",
     window: int = 10,
     shard_bytes: int = 8 << 20,
-    block_bytes: int = 16 << 20,
+    block_bytes: int = 4 << 20,
+    places: bool = True,
 ) -> DataFrame:
-    """``docs`` with ``n_words``, ``n_hit``, ``items``, ``matches`` and ``spans`` (hit runs)."""
+    """``docs`` with ``n_words``, ``n_hit``, ``items``, ``matches`` and ``spans`` (hit runs).
+
+    Without ``places`` the matches are left empty. A match names one place of
+    one item: a text that many items hold has as many matches.
+    """
     spark = docs.sparkSession
     named = items.select(F.col(item_id).cast("string").alias("id"), F.col(item_text).cast("binary").alias("text"))
     named = named.where(F.col("text").isNotNull())
@@ -184,17 +212,27 @@ def find_leaks(
         shipped = spark.sparkContext.broadcast(
             [(r["id"], bytes(r["text"])) for r in own.orderBy("id", "text").collect()]
         )
-        out = _pass(out, columns, shipped, window, shard_bytes)
+        out = _pass(out, columns, shipped, window, shard_bytes, places)
+        if block + 1 < blocks:  # the next pass starts from a file, when this block's index is gone
+            done = scratch_location(spark, "leaks")
+            out.write.parquet(done)
+            if block:
+                remove_location(spark, at)
+            at, out = done, spark.read.schema(out.schema).parquet(done)
     return out.select(*(F.col(f"`{c}`") for c in columns), *RESULT)
 
 
-def _pass(docs: DataFrame, columns: list[str], shipped, window: int, shard_bytes: int) -> DataFrame:
+def _pass(docs: DataFrame, columns: list[str], shipped, window: int, shard_bytes: int, places: bool) -> DataFrame:
+    name = uuid.uuid4().hex
     kept = [f for f in docs.schema if f.name not in RESULT]
     again = "spans" in docs.columns
     kinds = {"n_words": "bigint", "n_hit": "bigint", "items": "array<string>", "matches": MATCH, "spans": SPAN}
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bench = Benchmark(shipped.value, window)
+        if name not in _HELD:
+            _HELD.clear()
+            _HELD[name] = Benchmark(shipped.value, window)
+        bench = _HELD[name]
         types = {
             "n_words": pa.int64(),
             "n_hit": pa.int64(),
@@ -216,7 +254,7 @@ def _pass(docs: DataFrame, columns: list[str], shipped, window: int, shard_bytes
                 before = []
                 if again:
                     before = list(zip(*(part.column(c).to_pylist() for c in ("items", "matches", "spans")), strict=True))
-                rows = _shard(part.column("_text").to_pylist(), bench, before)
+                rows = _shard(part.column("_text").to_pylist(), bench, before, places)
                 added = [pa.array([r[c] for r in rows], types[c]) for c in RESULT]
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), *added], [*names, *RESULT])
 
@@ -226,4 +264,4 @@ def _pass(docs: DataFrame, columns: list[str], shipped, window: int, shard_bytes
 
 def remove_leaks(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that share no window with any item."""
-    return find_leaks(docs, items, **options).where(F.col("n_hit") == 0).select(*(F.col(f"`{c}`") for c in docs.columns))
+    return find_leaks(docs, items, places=False, **options).where(F.col("n_hit") == 0).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from daybook.llm import queries
-from daybook.llm.decontaminate import find_leaks, remove_leaks
+from daybook.llm.decontaminate import Benchmark, find_leaks, remove_leaks
 from daybook.llm.piece_encoding import ChunkTable, encode_texts
 from daybook.llm.simhash_dedup import LEAST_BOUND, components, dealt_labels, fingerprint_of, label_links, near_groups, near_links, one_of_each_group
 from conftest import SF001
@@ -88,6 +88,30 @@ def test_longest_match_and_place(spark):
     assert [(m.start, m.n_words, m.item_id, m.item_word) for m in row.matches] == [(2, 21, "9", 4)]
 
 
+def test_every_place_of_an_item_has_its_longest_match(spark):
+    words = [f"w{i}" for i in range(40)]
+    items = [(1, " ".join(words[:20])), (2, " ".join(["x", *words[5:35]])), (2, " ".join(words[5:35])), (3, " ".join(words[8:18] * 2))]
+    docs = spark.createDataFrame([(1, " ".join(["a", *words[3:30], "b"]))], "doc_id int, text string")
+    for block in (4 << 20, 60):
+        row = find_leaks(docs, spark.createDataFrame(items, "item_id int, text string"), block_bytes=block).first()
+        got = sorted((m.item_id, m.start, m.n_words, m.item_word) for m in row.matches)
+        assert got == [("1", 1, 17, 3), ("2", 3, 25, 0), ("2", 3, 25, 1), ("3", 6, 10, 0), ("3", 6, 10, 10)]
+        assert row.spans == [(1, 27)] and row["items"] == ["1", "2", "3"]
+
+
+def test_index_of_a_block_is_small():
+    import tracemalloc
+
+    r = random.Random(1)
+    vocabulary = ["".join(r.choices("abcdefghij", k=5)) for _ in range(20_000)]
+    items = [(str(i), " ".join(r.choices(vocabulary, k=200)).encode()) for i in range(1700)]  # 2 MB
+    tracemalloc.start()
+    bench = Benchmark(items, 10)
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(bench.low) == 1700 * 191 and held < 40 << 20 and peak < 80 << 20
+
+
 def test_no_benchmark(spark):
     docs = spark.createDataFrame([(1, "a b c")], "doc_id int, text string")
     none = spark.createDataFrame([], "item_id int, text string")
