@@ -18,7 +18,6 @@ and other columns are kept, result columns of the same name are replaced.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,7 +31,6 @@ HIDDEN = 16
 BATCH = 2048
 UNKNOWN = "und"
 RESULT = ("lang_pred", "score")
-LETTER = re.compile(r"[^\W\d_]")
 #: Bytes that count in the pooling: ASCII letters and parts of other characters.
 COUNTS = np.array([b >= 0x80 or chr(b).isalpha() for b in range(256)])
 
@@ -169,7 +167,7 @@ def label_texts(net: Network, texts: list[str | None]) -> list[tuple[str, float]
     out = [(UNKNOWN, 0.0)] * len(texts)
     if net.forward is None:
         return out
-    raws = [(i, np.frombuffer(t.lower().encode(), np.uint8)) for i, t in enumerate(texts) if t and LETTER.search(t)]
+    raws = [(i, np.frombuffer(t.lower().encode(), np.uint8)) for i, t in enumerate(texts) if t and any(map(str.isalpha, t))]
     if not raws:
         return out
     pieces = np.array([-(-len(raw) // SEGMENT) for _, raw in raws])

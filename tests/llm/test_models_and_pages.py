@@ -94,6 +94,14 @@ def test_language_without_labels(spark):
     assert [(r.lang_pred, r.score) for r in language_id.label_languages(docs, net).collect()] == [("und", 0.0)]
 
 
+def test_only_letters_make_a_language(spark):
+    rows = [(1, "² ½ ① Ⅷ _ 12"), (2, "é"), (3, "漢"), (4, "1 a 2")]
+    train = spark.createDataFrame([(i, "abc def " * 20, "x") for i in range(9)] + [(9 + i, "éà çù " * 20, "y") for i in range(9)], "doc_id int, text string, lang string")
+    net = language_id.train(train)
+    got = {r.doc_id: r.lang_pred for r in language_id.label_languages(spark.createDataFrame(rows, "doc_id int, text string"), net).collect()}
+    assert got[1] == "und" and "und" not in (got[2], got[3], got[4])
+
+
 def test_backpropagation_against_differences():
     rng = np.random.default_rng(0)
     h, k = 3, 2
