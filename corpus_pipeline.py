@@ -4,8 +4,8 @@ Toxicity, SimHash near-dedup, repeated byte strings, benchmark leaks, and
 SentencePiece ids.
 
 Every stage reads what its predecessor wrote as Parquet below the session's
-shared checkpoint folder, and goes when its successor is written. All stages but the last return the columns of
-``documents``.
+shared checkpoint folder; these files go when the stage's own are written. All
+stages but the last return the columns of ``documents``.
 """
 
 from __future__ import annotations

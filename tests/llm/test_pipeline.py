@@ -89,7 +89,7 @@ def test_stages_keep_the_columns(spark, tables):
 def test_queries_are_registered(spark):
     found = entry.queries()
     assert [k for k in found if k.startswith("op")] == [*queries.QUERIES]
-    assert len(queries.QUERIES) == 10 and found["pipeline"] is corpus_pipeline.run
+    assert len(queries.QUERIES) == 13 and found["pipeline"] is corpus_pipeline.run
     assert set(queries.ORACLE_SQL) <= set(entry.oracle_sql())
 
 
