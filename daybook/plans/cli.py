@@ -126,7 +126,10 @@ def main(argv: list[str] | None = None) -> None:
         show(run_daily(spark, lines, args.table, args.date, args.dimension, broadcast_limit_bytes=limit))
 
 
-def show(profile: RunProfile) -> None:
+def show(profile: RunProfile | None) -> None:
+    """Prints what a job saw and wrote."""
+    if profile is None:
+        return
     for column, kind in profile.types.items():
         print(f"{column}: {kind}")
     for scope, figures in profile.figures().items():
