@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 CELL_BITS = 16
+#: Rows that one array gives out where a row is repeated.
+PIECE = 1 << 16
 
 
 def ring_arcs(spark, shards: int, vnodes: int) -> DataFrame:
@@ -160,8 +162,13 @@ def shard_rows(rows: DataFrame, key: str, shards: int, vnodes: int = 64, parts:
         F.broadcast(runs),
         (F.col("arc") == F.col("_arc")) & (F.col("_from") < F.col("_end")) & (F.col("_to") > F.col("_start")),
     )
-    ranks = F.sequence(F.greatest("_from", "_start"), F.least("_to", "_end") - 1)
-    return placed.select(
+    # In two steps, so that no array is as long as a row is repeated.
+    first, last = F.greatest("_from", "_start"), F.least("_to", "_end") - 1
+    pieces = placed.withColumns(
+        {"_last": last, "_piece": F.explode(F.sequence(first, last, F.lit(PIECE).cast("long")))}
+    )
+    ranks = F.sequence(F.col("_piece"), F.least(F.col("_piece") + (PIECE - 1), F.col("_last")))
+    return pieces.select(
         *(F.col(f"`{c}`") for c in columns), "home_shard", "shard", "_slot", "_start", F.explode(ranks).alias("_rank")
     ).select(
         *(F.col(f"`{c}`") for c in columns),

@@ -121,6 +121,18 @@ def test_ring_moves_little_when_a_shard_is_added(spark):
     assert sum(a[k] != b[k] for k in a) / len(a) < 0.35  # 1/13 at least; dealing out anew moves 12/13
 
 
+def test_ring_with_a_row_repeated_beyond_one_piece(spark, monkeypatch):
+    from daybook.llm import ring_sharding
+
+    monkeypatch.setattr(ring_sharding, "PIECE", 16)
+    rows = spark.createDataFrame([(7, "x")] * 333 + [(i, "y") for i in range(60)], "doc_id long, text string")
+    out = shard_rows(rows, "doc_id", 5, vnodes=4, parts=4).collect()
+    assert Counter((r.doc_id, r.text) for r in out) == Counter((r.doc_id, r.text) for r in rows.collect())
+    slots = {s: sorted(r.slot for r in out if r.shard == s) for s in range(5)}
+    assert all(v == list(range(len(v))) for v in slots.values())
+    assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+
+
 def test_ring_with_hot_null_and_repeated_keys(spark):
     rows = spark.createDataFrame(
         [(None, i % 7, "x") for i in range(300)] + [(5, i, "y") for i in range(300)] + [(i, 1, "z") for i in range(300)] + [(1, 1, "z")] * 50,
