@@ -30,7 +30,7 @@ from daybook.operators import (
     repeat_customer_daily,
     with_first_order,
 )
-from daybook.operators import affected, dimension, publish, quality
+from daybook.operators import affected, bucketed_dimension, dimension, publish, quality
 from daybook.operators.run_profile import RunProfile
 from daybook.operators.sink import (
     drop_daily_stats_table,
@@ -41,7 +41,16 @@ from daybook.operators.sink import (
     stored_table,
     with_partition_column,
 )
-from daybook.plans import create_table, refresh_dimension, run_backfill, run_catch_up, run_daily, run_repair
+from daybook.plans import (
+    create_table,
+    merge_into_bucketed_dimension,
+    refresh_bucketed_dimension,
+    refresh_dimension,
+    run_backfill,
+    run_catch_up,
+    run_daily,
+    run_repair,
+)
 from daybook.schema import (
     COUNT_COLUMNS,
     DAILY_STATS_COLUMNS,
@@ -74,6 +83,8 @@ PUBLISHED_DAYS = (SAMPLE_DAY, dt.date(1996, 2, 29), dt.date(1995, 1, 1), dt.date
 NAN_EVERY = 97
 # Fixed value: where the history is cut to exercise the dimension merge.
 MERGE_CUT_DAY = dt.date(1998, 1, 1)
+# Fixed value: buckets of the dimension at test size.
+DIMENSION_BUCKETS = 16
 # Fixed value: the lines of every so manieth order arrive late.
 LATE_EVERY = 53
 # Days of the month on which a copy of the statistics is damaged, and a day that has none.
@@ -289,6 +300,23 @@ def q_daily_stats_for_day_dimension(spark, sf_dir):
     return _kept(dimension.daily_stats_for_day_from_dimension(li, dim, SAMPLE_DAY), location)
 
 
+def q_bucketed_dimension_merge(spark, sf_dir):
+    """A dimension in buckets of the history before a cut day, merged in place with the lines from that day on."""
+    li, location, table = _li(spark, sf_dir), scratch_location(spark, "buckets"), _table_name("buckets")
+    cut = F.col(ORDER_DATE) < MERGE_CUT_DAY
+    refresh_bucketed_dimension(spark, li.where(cut), table, location, DIMENSION_BUCKETS)
+    merge_into_bucketed_dimension(spark, li.where(~cut), table)
+    return _kept(bucketed_dimension.read_bucketed_dimension(spark, table), location, table)
+
+
+def q_daily_stats_for_day_bucketed(spark, sf_dir):
+    """Single-day statistics joined to a dimension in buckets, which is not shuffled."""
+    li, location, table = _li(spark, sf_dir), scratch_location(spark, "buckets"), _table_name("buckets")
+    refresh_bucketed_dimension(spark, li, table, location, DIMENSION_BUCKETS)
+    dim = bucketed_dimension.read_bucketed_dimension(spark, table)
+    return _kept(dimension.daily_stats_for_day_from_dimension(li, dim, SAMPLE_DAY, broadcast_limit_bytes=0), location, table)
+
+
 def q_daily_stats_from_csv_source(spark, sf_dir):
     """Backfill over line items delivered as CSV text (all cells text)."""
     location = scratch_location(spark, "csv-lines")
@@ -442,6 +470,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_stats_table_schema": q_daily_stats_table_schema,
     "first_order_dimension_merge": q_first_order_dimension_merge,
     "daily_stats_for_day_dimension": q_daily_stats_for_day_dimension,
+    "bucketed_dimension_merge": q_bucketed_dimension_merge,
+    "daily_stats_for_day_bucketed": q_daily_stats_for_day_bucketed,
     "daily_stats_from_csv_source": q_daily_stats_from_csv_source,
     "daily_publish": q_daily_publish,
     "registered_partitions_daily": q_registered_partitions_daily,
@@ -646,6 +676,8 @@ def _own_oracle_sql() -> dict[str, str]:
             SELECT DISTINCT order_date AS partition_date FROM li WHERE order_date IS NOT NULL""",
         "daily_stats_table_schema": f"{BACKFILL_BODY} {with_partition}",
         "first_order_dimension_merge": f"WITH {LI}, {FIRST} SELECT * FROM fo",
+        "bucketed_dimension_merge": f"WITH {LI}, {FIRST} SELECT * FROM fo",
+        "daily_stats_for_day_bucketed": f"{BACKFILL_BODY} SELECT {STATS_COLS} FROM stats WHERE order_date = DATE '{day}'",
         "daily_stats_for_day_dimension": f"{BACKFILL_BODY} SELECT {STATS_COLS} FROM stats WHERE order_date = DATE '{day}'",
         "daily_stats_from_csv_source": f"{BACKFILL_BODY} SELECT {STATS_COLS} FROM stats",
         "daily_stats_for_day_shuffle": f"{BACKFILL_BODY} SELECT {STATS_COLS} FROM stats WHERE order_date = DATE '{day}'",

@@ -48,7 +48,7 @@ BATCH = 500
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?$")
 
 
-def _check_ident(name: str) -> str:
+def check_ident(name: str) -> str:
     if not _IDENT.match(name):
         raise ValueError(f"not a plain table identifier: {name!r}")
     return name
@@ -60,7 +60,7 @@ def _day_literal(day: str | dt.date) -> str:
     return (day if isinstance(day, dt.date) else dt.date.fromisoformat(str(day))).isoformat()
 
 
-def _quote(text: str) -> str:
+def quote(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
@@ -124,7 +124,7 @@ def read_daily_stats(spark: SparkSession, location: str) -> DataFrame:
 
 def stored_table(spark: SparkSession, name: str) -> str:
     """The table that holds ``name``'s partitions: ``name_files`` behind a view, else ``name``."""
-    files = f"{_check_ident(name)}_files"
+    files = f"{check_ident(name)}_files"
     return files if spark.catalog.tableExists(files) else name
 
 
@@ -142,14 +142,14 @@ def create_daily_stats_table(
     partitions are registered (see ``register_partition`` /
     ``recover_partitions``). For CSV ``name`` is the view over ``name_files``.
     """
-    if spark.catalog.tableExists(_check_ident(name)):
+    if spark.catalog.tableExists(check_ident(name)):
         return
     is_text = fmt == "csv"
     files = f"{name}_files" if is_text else name
     options = " OPTIONS (header 'true', mode 'FAILFAST', columnPruning 'false')" if is_text else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {files} ({daily_stats_ddl_columns(is_text)}) "
-        f"USING {fmt}{options} PARTITIONED BY ({PARTITION_DATE}) LOCATION {_quote(location)}"
+        f"USING {fmt}{options} PARTITIONED BY ({PARTITION_DATE}) LOCATION {quote(location)}"
     )
     if is_text:
         typed = ", ".join(f"{daily_stats_cast(c)} AS {c}" for c in DAILY_STATS_COLUMNS)
@@ -158,7 +158,7 @@ def create_daily_stats_table(
 
 def drop_daily_stats_table(spark: SparkSession, name: str) -> None:
     """Drop the table, and the view if there is one; published files stay."""
-    files = f"{_check_ident(name)}_files"
+    files = f"{check_ident(name)}_files"
     if spark.catalog.tableExists(files):
         spark.sql(f"DROP VIEW IF EXISTS {name}")
         spark.sql(f"DROP TABLE IF EXISTS {files}")
@@ -170,17 +170,19 @@ def _day_folder(root: str, day: dt.date) -> str:
     return f"{root.rstrip('/')}/{PARTITION_DATE}={day.isoformat()}"
 
 
-def partition_locations(spark: SparkSession, table: str) -> dict[dt.date, str]:
-    """Registered days and the folders they point at: one catalog call, a row for each day."""
+def catalog_partitions(spark: SparkSession, table: str, column: str) -> dict[str, str]:
+    """Values of a table's partition column and the folders they point at: one catalog call."""
     state = spark._jsparkSession.sessionState()
-    ident = state.sqlParser().parseTableIdentifier(stored_table(spark, table))
+    ident = state.sqlParser().parseTableIdentifier(table)
     listed = state.catalog().listPartitions(ident, spark._jvm.scala.Option.empty())
-    out = {}
-    for i in range(listed.size()):
-        part = listed.apply(i)
-        day = part.spec().apply(PARTITION_DATE)
-        out[dt.date.fromisoformat(day[:10])] = part.location().toString()
-    return out
+    parts = [listed.apply(i) for i in range(listed.size())]
+    return {part.spec().apply(column): part.location().toString() for part in parts}
+
+
+def partition_locations(spark: SparkSession, table: str) -> dict[dt.date, str]:
+    """Registered days and the folders they point at, a row for each day."""
+    found = catalog_partitions(spark, stored_table(spark, table), PARTITION_DATE)
+    return {dt.date.fromisoformat(day[:10]): at for day, at in found.items()}
 
 
 def point_days(spark: SparkSession, table: str, root: str, days: Iterable[dt.date]) -> list[dt.date]:
@@ -189,11 +191,11 @@ def point_days(spark: SparkSession, table: str, root: str, days: Iterable[dt.dat
     wanted = {d: _day_folder(root, d) for d in days}
     new = sorted(d for d in wanted if d not in known)
     for at in range(0, len(new), BATCH):
-        parts = " ".join(f"PARTITION ({PARTITION_DATE} = DATE '{d}') LOCATION {_quote(wanted[d])}" for d in new[at : at + BATCH])
+        parts = " ".join(f"PARTITION ({PARTITION_DATE} = DATE '{d}') LOCATION {quote(wanted[d])}" for d in new[at : at + BATCH])
         spark.sql(f"ALTER TABLE {target} ADD IF NOT EXISTS {parts}")
     moved = sorted(d for d in wanted if d in known and plain_path(known[d]) != plain_path(wanted[d]))
     for d in moved:
-        spark.sql(f"ALTER TABLE {target} PARTITION ({PARTITION_DATE} = DATE '{d}') SET LOCATION {_quote(wanted[d])}")
+        spark.sql(f"ALTER TABLE {target} PARTITION ({PARTITION_DATE} = DATE '{d}') SET LOCATION {quote(wanted[d])}")
     return sorted([*new, *moved])
 
 

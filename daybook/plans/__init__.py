@@ -3,6 +3,8 @@
 from daybook.plans.jobs import (
     create_table,
     merge_dimension,
+    merge_into_bucketed_dimension,
+    refresh_bucketed_dimension,
     refresh_dimension,
     run_backfill,
     run_catch_up,
@@ -14,6 +16,8 @@ from daybook.plans.jobs import (
 __all__ = [
     "create_table",
     "merge_dimension",
+    "merge_into_bucketed_dimension",
+    "refresh_bucketed_dimension",
     "refresh_dimension",
     "run_backfill",
     "run_catch_up",

@@ -2,11 +2,13 @@
 
     spark-submit -m daybook.plans.cli create   --table T --location L
     spark-submit -m daybook.plans.cli backfill --source SRC [--location L] [--table T] [--share-source] [--by-version]
-    spark-submit -m daybook.plans.cli daily    --source SRC --table T [--date YYYY-MM-DD] [--dimension D] [--broadcast-limit-mb N]
-    spark-submit -m daybook.plans.cli catch-up --source SRC --table T --dates YYYY-MM-DD [YYYY-MM-DD ...] [--dimension D]
+    spark-submit -m daybook.plans.cli daily    --source SRC --table T [--date YYYY-MM-DD] [--dimension D | --dimension-table DT] [--broadcast-limit-mb N]
+    spark-submit -m daybook.plans.cli catch-up --source SRC --table T --dates YYYY-MM-DD [YYYY-MM-DD ...] [--dimension D | --dimension-table DT]
     spark-submit -m daybook.plans.cli repair   --source SRC --late LATE --table T --old D1 --location D2
     spark-submit -m daybook.plans.cli dimension --source SRC --location D [--through YYYY-MM-DD]
     spark-submit -m daybook.plans.cli merge-dimension --source SRC --old D1 --location D2 [--through YYYY-MM-DD]
+    spark-submit -m daybook.plans.cli bucket-dimension --source SRC --table DT --location D --buckets N [--through YYYY-MM-DD]
+    spark-submit -m daybook.plans.cli merge-buckets --source SRC --table DT [--through YYYY-MM-DD]
 
 ``SRC`` is a catalog table name or a parquet folder with the line-item
 columns (order_id, email, order_date, quantity, price); ``--partition-column``
@@ -31,6 +33,8 @@ import datetime as dt
 from daybook.plans.jobs import (
     create_table,
     merge_dimension,
+    merge_into_bucketed_dimension,
+    refresh_bucketed_dimension,
     refresh_dimension,
     run_backfill,
     run_catch_up,
@@ -70,6 +74,7 @@ def main(argv: list[str] | None = None) -> None:
     p_catch.add_argument("--table", required=True)
     p_catch.add_argument("--dates", nargs="+", type=dt.date.fromisoformat, required=True)
     p_catch.add_argument("--dimension", help="folder of a persisted first-order dimension")
+    p_catch.add_argument("--dimension-table", help="table of a first-order dimension in buckets")
 
     p_repair = sub.add_parser("repair", help="publish the days that late lines change")
     p_repair.add_argument("--source", required=True, help="all lines, the late ones included")
@@ -83,6 +88,7 @@ def main(argv: list[str] | None = None) -> None:
     p_daily.add_argument("--table", required=True)
     p_daily.add_argument("--date")
     p_daily.add_argument("--dimension", help="folder of a persisted first-order dimension")
+    p_daily.add_argument("--dimension-table", help="table of a first-order dimension in buckets")
     p_daily.add_argument(
         "--broadcast-limit-mb",
         type=int,
@@ -100,6 +106,18 @@ def main(argv: list[str] | None = None) -> None:
     p_merge.add_argument("--location", required=True)
     p_merge.add_argument("--through", type=dt.date.fromisoformat, help="last day whose lines are all there")
 
+    p_bucket = sub.add_parser("bucket-dimension", help="rebuild the first-order dimension into a table in buckets")
+    p_bucket.add_argument("--source", required=True)
+    p_bucket.add_argument("--table", required=True)
+    p_bucket.add_argument("--location", required=True)
+    p_bucket.add_argument("--buckets", type=int, required=True, help="about one for each 128 MB of (email, date)")
+    p_bucket.add_argument("--through", type=dt.date.fromisoformat, help="last day whose lines are all there")
+
+    p_fold = sub.add_parser("merge-buckets", help="fold new lines into a dimension in buckets")
+    p_fold.add_argument("--source", required=True, help="the lines loaded since the last merge")
+    p_fold.add_argument("--table", required=True)
+    p_fold.add_argument("--through", type=dt.date.fromisoformat, help="last day whose lines are all there")
+
     args = parser.parse_args(argv)
     spark = build_session(shuffle_partitions=args.shuffle_partitions)
     if args.shuffle_partitions:
@@ -113,7 +131,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "backfill":
         show(run_backfill(spark, lines, args.location, args.table, share_source=args.share_source, by_version=args.by_version))
     elif args.command == "catch-up":
-        show(run_catch_up(spark, lines, args.table, args.dates, args.dimension))
+        show(run_catch_up(spark, lines, args.table, args.dates, args.dimension, args.dimension_table))
     elif args.command == "repair":
         late = line_items_from_table(spark, args.late, args.partition_column)
         show(run_repair(spark, lines, late, args.table, args.old, args.location))
@@ -121,9 +139,13 @@ def main(argv: list[str] | None = None) -> None:
         refresh_dimension(lines, args.location, args.through)
     elif args.command == "merge-dimension":
         merge_dimension(spark, lines, args.old, args.location, args.through)
+    elif args.command == "bucket-dimension":
+        refresh_bucketed_dimension(spark, lines, args.table, args.location, args.buckets, args.through)
+    elif args.command == "merge-buckets":
+        print(f"buckets rewritten: {len(merge_into_bucketed_dimension(spark, lines, args.table, args.through))}")
     else:
         limit = None if args.broadcast_limit_mb is None else args.broadcast_limit_mb << 20
-        show(run_daily(spark, lines, args.table, args.date, args.dimension, broadcast_limit_bytes=limit))
+        show(run_daily(spark, lines, args.table, args.date, args.dimension, broadcast_limit_bytes=limit, dimension_table=args.dimension_table))
 
 
 def show(profile: RunProfile | None) -> None:

@@ -18,6 +18,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from daybook.operators.affected import affected_days, daily_stats_for_days, daily_stats_for_days_from_history
 from daybook.operators.per_day import daily_stats, daily_stats_for_day
+from daybook.operators.bucketed_dimension import (
+    build_bucketed_dimension,
+    merge_bucketed_dimension,
+    read_bucketed_dimension,
+    table_covered_through,
+)
 from daybook.operators.publish import publish
 from daybook.operators.dimension import (
     build_first_order_dimension,
@@ -114,12 +120,14 @@ def run_daily(
     dimension_location: str | None = None,
     broadcast_limit_bytes: int | None = None,
     profile_history: bool = False,
+    dimension_table: str | None = None,
 ) -> RunProfile:
     """Publish one day (default: yesterday) into ``table``; returns the run's profile, with the ``day``.
 
     First-order dates still use the whole history: through a semi-join of
     earlier lines on the day's customers, or, with ``dimension_location``,
-    through the persisted first-order dimension, which is refused unless it
+    or ``dimension_table`` (one in buckets, which is joined without being
+    shuffled), through the persisted first-order dimension, which is refused unless it
     covers every line dated before the day (see ``refresh_dimension``). The day's partition is
     replaced even when the day has no lines, and registered if new.
     ``broadcast_limit_bytes`` caps the broadcast of the day's customers (the
@@ -130,11 +138,8 @@ def run_daily(
     if isinstance(day, str):
         day = dt.date.fromisoformat(day)
     profile = RunProfile(lines, day, with_history=profile_history)
-    if dimension_location:
-        through = covered_through(spark, dimension_location)
-        if through < day - dt.timedelta(days=1):
-            raise ValueError(f"the dimension covers lines through {through}, too few for {day}")
-        dim = read_dimension(spark, dimension_location)
+    dim = _dimension(spark, dimension_location, dimension_table, day - dt.timedelta(days=1))
+    if dim is not None:
         stats = daily_stats_for_day_from_dimension(lines, dim, day, broadcast_limit_bytes, profile)
     else:
         stats = daily_stats_for_day(lines, day, broadcast_limit_bytes, profile)
@@ -143,12 +148,25 @@ def run_daily(
     return profile
 
 
+def _dimension(spark: SparkSession, location: str | None, table: str | None, needed: dt.date) -> DataFrame | None:
+    """First orders from a folder or from a table in buckets; raises if they do not reach the needed day."""
+    if location and table:
+        raise ValueError("a dimension is a folder or a table, not both")
+    if not location and not table:
+        return None
+    through = covered_through(spark, location) if location else table_covered_through(spark, table)
+    if through < needed:
+        raise ValueError(f"the dimension covers lines through {through}, too few: {needed} is needed")
+    return read_dimension(spark, location) if location else read_bucketed_dimension(spark, table)
+
+
 def run_catch_up(
     spark: SparkSession,
     lines: DataFrame,
     table: str,
     days: Sequence[dt.date],
     dimension_location: str | None = None,
+    dimension_table: str | None = None,
 ) -> RunProfile:
     """Publish several days, for example those that daily runs have missed.
 
@@ -160,11 +178,9 @@ def run_catch_up(
     if not days:
         raise ValueError("no days to publish")
     profile = RunProfile(lines)
-    if dimension_location:
-        through = covered_through(spark, dimension_location)
-        if through < days[-1]:
-            raise ValueError(f"the dimension covers lines through {through}, too few for {days[-1]}")
-        stats = daily_stats_for_days(lines, days, read_dimension(spark, dimension_location), profile)
+    dim = _dimension(spark, dimension_location, dimension_table, days[-1])
+    if dim is not None:
+        stats = daily_stats_for_days(lines, days, dim, profile)
     else:
         stats = daily_stats_for_days_from_history(lines, days, profile)
     profile.published = publish(spark, table, stats, profile)
@@ -233,3 +249,20 @@ def merge_dimension(
     days = [covered_through(spark, old_location), through or last_day(new_lines)]
     merged = merge_first_order_dimension(read_dimension(spark, old_location), new_lines)
     write_dimension(merged, new_location, max(d for d in days if d))
+
+
+def refresh_bucketed_dimension(
+    spark: SparkSession, lines: DataFrame, table: str, location: str, buckets: int, through: dt.date | None = None
+) -> None:
+    """As ``refresh_dimension``, into a table in buckets (created if absent, else replaced bucket by bucket)."""
+    through = through or last_day(lines)
+    if through is None:
+        raise ValueError("no dated lines: give the day through which there are none")
+    build_bucketed_dimension(spark, lines, table, location, buckets, through)
+
+
+def merge_into_bucketed_dimension(
+    spark: SparkSession, new_lines: DataFrame, table: str, through: dt.date | None = None
+) -> list[int]:
+    """As ``merge_dimension``, in place: rewrites the buckets of new or earlier customers, and returns them."""
+    return merge_bucketed_dimension(spark, table, new_lines, through or last_day(new_lines))

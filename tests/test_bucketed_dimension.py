@@ -1,0 +1,208 @@
+"""First-order dimension in buckets: same rows, no exchange of it, only touched buckets rewritten."""
+
+from __future__ import annotations
+
+import datetime as dt
+import glob
+import os
+import re
+import uuid
+
+import pytest
+
+from daybook.operators.bucketed_dimension import (
+    BUCKET,
+    bucket_of,
+    read_bucketed_dimension,
+    remove_old_bucket_versions,
+    table_covered_through,
+)
+from daybook.operators.dimension import build_first_order_dimension, daily_stats_for_day_from_dimension
+from daybook.operators.per_day import daily_stats
+from daybook.operators.sink import catalog_partitions, drop_daily_stats_table
+from daybook.plans import (
+    create_table,
+    merge_into_bucketed_dimension,
+    refresh_bucketed_dimension,
+    run_catch_up,
+    run_daily,
+)
+from daybook.plans.cli import main
+from daybook.schema import DAILY_STATS_COLUMNS, EMAIL, ORDER_DATE
+from daybook.sources import line_items_from_tpch
+from pyspark.sql import functions as F
+from tests.conftest import SF01
+from tests.fixtures import GOLDEN_EXPECTED, GOLDEN_LINES, local_path, text_lines
+
+D = dt.date
+BUCKETS = 5
+
+
+@pytest.fixture()
+def name(spark):
+    made = []
+
+    def make() -> str:
+        made.append(f"dim_{uuid.uuid4().hex[:10]}")
+        return made[-1]
+
+    yield make
+    for table in made:
+        drop_daily_stats_table(spark, table)
+
+
+def _pairs(df):
+    return sorted(tuple(r) for r in df.select("email", "first_order_date").collect())
+
+
+def _files(spark, table):
+    return {
+        int(b): {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{local_path(at)}/part-*")}
+        for b, at in catalog_partitions(spark, table, BUCKET).items()
+    }
+
+
+def _above_scan(df, scan: str) -> list[str]:
+    """Nodes from the scan that matches up to the first join, nearest first, of the plan that ran."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    nodes = [(len(re.match(r"[\s:+\-*|]*(?:\(\d+\) )?", x).group().replace("*", "").split("(")[0].rstrip()), x) for x in plan.splitlines() if x.strip()]
+    at = next(i for i, (_, x) in enumerate(nodes) if re.search(scan, x))
+    depth, found = nodes[at][0], []
+    for d, x in reversed(nodes[:at]):
+        if d < depth:
+            depth = d
+            found.append(x)
+            if "Join" in x:
+                break
+    return found
+
+
+def test_same_rows_as_the_dimension_and_one_file_a_bucket(spark, scratch, name):
+    lines, table = line_items_from_tpch(spark, SF01), name()
+    refresh_bucketed_dimension(spark, lines, table, scratch("bd"), BUCKETS)
+    assert _pairs(read_bucketed_dimension(spark, table)) == _pairs(build_first_order_dimension(lines))
+    files = _files(spark, table)
+    assert sorted(files) == list(range(BUCKETS)) and all(len(f) == 1 for f in files.values())
+    stray = spark.table(table).where(F.col(BUCKET) != bucket_of(F.col(EMAIL), BUCKETS))
+    assert stray.count() == 0
+    assert table_covered_through(spark, table) == lines.agg(F.max(ORDER_DATE)).first()[0]
+
+
+@pytest.mark.parametrize("limit", [0, None])
+def test_daily_plan_has_no_exchange_of_the_dimension(spark, scratch, name, limit):
+    lines, table, day = line_items_from_tpch(spark, SF01), name(), D(1996, 2, 29)
+    refresh_bucketed_dimension(spark, lines, table, scratch("bd"), BUCKETS)
+    out = daily_stats_for_day_from_dimension(lines, read_bucketed_dimension(spark, table), day, limit)
+    above = _above_scan(out, r"Scan parquet .*Bucketed: true")
+    assert above and "Join" in above[-1]
+    assert not [x for x in above if "Exchange" in x]
+    want = daily_stats(lines).where(F.col(ORDER_DATE) == F.lit(day))
+    assert [tuple(r) for r in out.collect()] == [tuple(r) for r in want.collect()]
+
+
+def test_merge_rewrites_only_touched_buckets(spark, scratch, name):
+    lines, table = line_items_from_tpch(spark, SF01), name()
+    cut = F.col(ORDER_DATE) < F.lit(D(2000, 1, 1))
+    refresh_bucketed_dimension(spark, lines.where(cut), table, scratch("bd"), BUCKETS, D(1999, 12, 31))
+    before, rows = _files(spark, table), _pairs(read_bucketed_dimension(spark, table))
+
+    # Known customers on later days change nothing.
+    assert merge_into_bucketed_dimension(spark, lines.where(cut), table) == []
+    assert _files(spark, table) == before and _pairs(read_bucketed_dimension(spark, table)) == rows
+
+    # One new customer and one that is now earlier: their buckets and no others.
+    moved = rows[0][0]
+    late = text_lines(
+        spark,
+        [
+            ("1", "new@x.com", "2000-02-01", "1", "1"),
+            ("2", "new@x.com", "2000-01-02", "1", "1"),
+            ("3", moved, "1990-05-05", "1", "1"),
+            ("4", rows[1][0], "2000-02-01", "1", "1"),
+            ("5", None, "1990-01-01", "1", "1"),
+            ("6", "undated@x.com", None, "1", "1"),
+        ],
+    )
+    want = {r[0] for r in spark.createDataFrame([("new@x.com",), (moved,)], "e string").select(bucket_of(F.col("e"), BUCKETS)).collect()}
+    assert set(merge_into_bucketed_dimension(spark, late, table)) == want
+    after = _files(spark, table)
+    assert {b for b in after if after[b] != before[b]} == want
+    assert all(len(f) == 1 for f in after.values())
+    expected = dict(rows) | {moved: D(1990, 5, 5), "new@x.com": D(2000, 1, 2)}
+    assert _pairs(read_bucketed_dimension(spark, table)) == sorted(expected.items())
+    assert table_covered_through(spark, table) == D(2000, 2, 1)
+
+    # Again: nothing left to do. Old versions go, rows stay.
+    assert merge_into_bucketed_dimension(spark, late, table) == []
+    merge_into_bucketed_dimension(spark, lines, table)
+    remove_old_bucket_versions(spark, table)
+    full = dict(_pairs(build_first_order_dimension(lines))) | {moved: D(1990, 5, 5), "new@x.com": D(2000, 1, 2)}
+    assert _pairs(read_bucketed_dimension(spark, table)) == sorted(full.items())
+
+
+def test_merge_that_died_while_switching_is_completed_by_the_next(spark, scratch, name, monkeypatch):
+    from daybook.operators import bucketed_dimension as module
+
+    lines, table = line_items_from_tpch(spark, SF01), name()
+    cut = F.col(ORDER_DATE) < F.lit(D(1997, 1, 1))
+    refresh_bucketed_dimension(spark, lines.where(cut), table, scratch("bd"), BUCKETS, D(1996, 12, 31))
+    whole = module._point
+
+    def half(spark, table, version, numbers):
+        whole(spark, table, version, numbers[:2])
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(module, "_point", half)
+        with pytest.raises(RuntimeError):
+            merge_into_bucketed_dimension(spark, lines, table)
+    assert table_covered_through(spark, table) == D(1996, 12, 31)
+    merge_into_bucketed_dimension(spark, lines, table)
+    assert _pairs(read_bucketed_dimension(spark, table)) == _pairs(build_first_order_dimension(lines))
+
+
+def test_refresh_again_drops_what_is_gone_and_keeps_the_shape(spark, scratch, name):
+    lines, table, at = text_lines(spark, GOLDEN_LINES), name(), scratch("bd")
+    refresh_bucketed_dimension(spark, lines, table, at, 64)
+    one = lines.where(F.col(EMAIL) == "a@x.com")
+    refresh_bucketed_dimension(spark, one, table, at, 64)
+    assert _pairs(read_bucketed_dimension(spark, table)) == [("a@x.com", D(2024, 1, 1))]
+    refresh_bucketed_dimension(spark, lines.limit(0), table, at, 64, D(2024, 1, 9))
+    assert _pairs(read_bucketed_dimension(spark, table)) == []
+    assert merge_into_bucketed_dimension(spark, lines, table) != []
+    assert ("", D(2024, 1, 8)) in _pairs(read_bucketed_dimension(spark, table))
+    with pytest.raises(ValueError, match="64 buckets"):
+        refresh_bucketed_dimension(spark, lines, table, at, 8)
+    with pytest.raises(ValueError, match="not at"):
+        refresh_bucketed_dimension(spark, lines, table, scratch("other"), 64)
+    with pytest.raises(ValueError, match="no dated lines"):
+        refresh_bucketed_dimension(spark, lines.limit(0), table, at, 64)
+
+
+def test_jobs_go_by_the_table(spark, scratch, name):
+    lines, dim = text_lines(spark, GOLDEN_LINES), name()
+    refresh_bucketed_dimension(spark, lines.where(F.col(ORDER_DATE) < "2024-01-05"), dim, scratch("bd"), BUCKETS)
+    table, location = name(), scratch("stats")
+    create_table(spark, table, location)
+    with pytest.raises(ValueError, match="too few"):
+        run_daily(spark, lines, table, "2024-01-06", dimension_table=dim)
+    merge_into_bucketed_dimension(spark, lines, dim)
+    with pytest.raises(ValueError, match="not both"):
+        run_daily(spark, lines, table, "2024-01-06", dimension_location="x", dimension_table=dim)
+    for row in GOLDEN_EXPECTED[:4]:
+        run_daily(spark, lines, table, row[0], dimension_table=dim)
+    run_catch_up(spark, lines, table, [row[0] for row in GOLDEN_EXPECTED[4:]], dimension_table=dim)
+    got = spark.table(table).select(*DAILY_STATS_COLUMNS).orderBy(ORDER_DATE).collect()
+    assert [tuple(r) for r in got] == GOLDEN_EXPECTED
+
+
+def test_command_line(spark, scratch, name, capsys):
+    lines, at, dim, table = text_lines(spark, GOLDEN_LINES), scratch("lines"), name(), name()
+    lines.write.parquet(at)
+    main(["bucket-dimension", "--source", at, "--table", dim, "--location", scratch("bd"), "--buckets", "3"])
+    main(["merge-buckets", "--source", at, "--table", dim])
+    assert "buckets rewritten: 0" in capsys.readouterr().out
+    create_table(spark, table, scratch("stats"))
+    main(["daily", "--source", at, "--table", table, "--date", "2024-01-02", "--dimension-table", dim])
+    assert [tuple(r) for r in spark.table(table).select(*DAILY_STATS_COLUMNS).collect()] == [GOLDEN_EXPECTED[1]]
