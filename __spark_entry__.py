@@ -63,7 +63,7 @@ from daybook.schema import (
     QUANTITY,
 )
 from daybook.session import checkpoint_dir, remove_location, scratch_location
-from daybook.sources import line_items_from_csv, line_items_from_table, line_items_from_tpch
+from daybook.sources import line_items_from_csv, line_items_from_csv_by_header, line_items_from_table, line_items_from_tpch
 
 try:  # the training-data operators are optional
     import corpus_pipeline
@@ -325,6 +325,16 @@ def q_daily_stats_from_csv_source(spark, sf_dir):
     return _kept(daily_stats(line_items_from_csv(spark, location), share_source=True), location)
 
 
+def q_line_items_from_mixed_csv(spark, sf_dir):
+    """CSV files of two layouts in one folder, each read by its own header."""
+    location, li = scratch_location(spark, "mixed-csv"), _li(spark, sf_dir)
+    early = F.col(ORDER_DATE) < MERGE_CUT_DAY
+    li.where(early).write.option("header", "true").csv(location)
+    turned = li.where(~early).select(F.lit("x").alias("note"), *reversed(li.columns))
+    turned.write.mode("append").option("header", "true").csv(location)
+    return _kept(line_items_from_csv_by_header(spark, location).select(F.col(ORDER_ID).cast("bigint").alias(ORDER_ID), *li.columns[1:]), location)
+
+
 def q_line_items_from_path(spark, sf_dir):
     """The production reader over a parquet folder whose order dates are text."""
     location = scratch_location(spark, "lines")
@@ -477,6 +487,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "registered_partitions_daily": q_registered_partitions_daily,
     "daily_stats_legacy_table": q_daily_stats_legacy_table,
     "line_items_from_path": q_line_items_from_path,
+    "line_items_from_mixed_csv": q_line_items_from_mixed_csv,
     "line_items_from_partitioned_table": q_line_items_from_partitioned_table,
     "run_profile_backfill": q_run_profile_backfill,
     "run_profile_daily": q_run_profile_daily,
@@ -707,6 +718,7 @@ def _own_oracle_sql() -> dict[str, str]:
             FROM li WHERE order_date IS NOT NULL""",
         "catch_up_days": f"{BACKFILL_BODY} {with_partition} WHERE order_date IN ({published})",
         "line_items_from_path": f"WITH {LI} SELECT * FROM li",
+        "line_items_from_mixed_csv": f"WITH {LI} SELECT * FROM li",
         "line_items_from_partitioned_table": f"WITH {LI} SELECT * FROM li",
     }
 

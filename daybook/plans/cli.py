@@ -13,6 +13,7 @@
 ``SRC`` is a catalog table name or a parquet folder with the line-item
 columns (order_id, email, order_date, quantity, price); ``--partition-column``
 names its DATE partition column, if it has one that holds the order day.
+With ``--csv`` sources are folders of CSV files, each read by its own header.
 ``--time-zone`` is the shop's zone, which decides what yesterday is.
 
 Publishing commands print the run's profile. ``repair`` takes the late lines
@@ -43,7 +44,7 @@ from daybook.plans.jobs import (
 )
 from daybook.operators.run_profile import RunProfile
 from daybook.session import build_session
-from daybook.sources import line_items_from_table
+from daybook.sources import line_items_from_csv_by_header, line_items_from_table
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -51,6 +52,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--shuffle-partitions", type=int, default=None)
     parser.add_argument("--time-zone", help="session time zone: a region or an offset such as +02:00")
     parser.add_argument("--partition-column", help="DATE partition column of the source with the order day")
+    parser.add_argument("--csv", action="store_true", help="sources are folders of CSV files with headers")
     sub = parser.add_subparsers(dest="command", required=True)
 
     p_create = sub.add_parser("create", help="create the partitioned statistics table")
@@ -127,14 +129,19 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "create":
         create_table(spark, args.table, args.location)
         return
-    lines = line_items_from_table(spark, args.source, args.partition_column)
+
+    def read(source: str):
+        if args.csv:
+            return line_items_from_csv_by_header(spark, source)
+        return line_items_from_table(spark, source, args.partition_column)
+
+    lines = read(args.source)
     if args.command == "backfill":
         show(run_backfill(spark, lines, args.location, args.table, share_source=args.share_source, by_version=args.by_version))
     elif args.command == "catch-up":
         show(run_catch_up(spark, lines, args.table, args.dates, args.dimension, args.dimension_table))
     elif args.command == "repair":
-        late = line_items_from_table(spark, args.late, args.partition_column)
-        show(run_repair(spark, lines, late, args.table, args.old, args.location))
+        show(run_repair(spark, lines, read(args.late), args.table, args.old, args.location))
     elif args.command == "dimension":
         refresh_dimension(lines, args.location, args.through)
     elif args.command == "merge-dimension":

@@ -2,6 +2,7 @@
 
 from daybook.sources.line_items import (
     line_items_from_csv,
+    line_items_from_csv_by_header,
     line_items_from_table,
     line_items_from_tpch,
     normalise_line_items,
@@ -10,6 +11,7 @@ from daybook.sources.line_items import (
 
 __all__ = [
     "line_items_from_csv",
+    "line_items_from_csv_by_header",
     "line_items_from_table",
     "line_items_from_tpch",
     "normalise_line_items",

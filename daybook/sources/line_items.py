@@ -14,7 +14,12 @@ The statistics read five columns of a line-item table: ``order_id``,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import csv
+import re
+from functools import reduce
+from urllib.parse import unquote
+
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions import finite, to_day
@@ -84,26 +89,92 @@ def line_items_from_csv(spark: SparkSession, path: str, multi_line: bool = False
     ``normalise_line_items``. An empty unquoted cell is NULL; a quoted empty
     string stays ``''`` (an empty email is a customer). Extra columns are
     ignored. All files must have the same header: one that differs in names or
-    order raises, as does a line with too few cells. Cells that hold line
+    order raises (``line_items_from_csv_by_header`` reads them), as does a line with too few cells. Cells that hold line
     breaks need ``multi_line`` (a file is then read by one task); without it
     their parts are short lines and raise.
     """
+    return normalise_line_items(_csv_reader(spark, multi_line).option("enforceSchema", "false").csv(path))
+
+
+def _csv_reader(spark: SparkSession, multi_line: bool) -> DataFrameReader:
     # The parser returns ``nullValue`` for an empty unquoted cell and
     # ``emptyValue`` for a quoted ``""``; Spark then maps cells equal to
     # ``nullValue`` to NULL. With the default ``nullValue`` of "" both become
     # NULL, so it is set to a control character that does not occur in text.
-    df = (
+    return (
         spark.read.option("header", "true")
         .option("inferSchema", "false")
         .option("mode", "FAILFAST")
-        .option("enforceSchema", "false")
         .option("columnPruning", "false")
         .option("multiLine", str(multi_line).lower())
         .option("nullValue", "\u0000")
         .option("emptyValue", "")
-        .csv(path)
     )
-    return normalise_line_items(df)
+
+
+def line_items_from_csv_by_header(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Line items from CSV text files that need not have the same columns in the same order.
+
+    Every file is read by the names in its own header line. Files whose
+    headers place the five columns alike are one scan; the scans are united by
+    name, so the plan grows with the number of layouts, not of files. Cells
+    are read as by ``line_items_from_csv``; other columns are ignored, whatever
+    their names. A header that lacks one of the five columns or has it twice
+    raises, with the file's name, before anything is read. Files without any
+    line, or with nothing but a header, have no line items.
+
+    The headers are taken by one task a file that stops at the first line
+    with text; the driver holds the names of the files, as it does for any scan.
+    """
+    layouts: dict[tuple[int, tuple[int, ...]], list[str]] = {}
+    for file, line in sorted(_header_lines(spark, path)):
+        layouts.setdefault(_layout(file, line), []).append(file)
+    parts = []
+    for (width, places), files in sorted(layouts.items()):
+        names = dict(zip(places, LINE_ITEM_COLUMNS))
+        schema = ", ".join(f"`{names.get(i, f'_unused_{i}')}` STRING" for i in range(width))
+        rows = _csv_reader(spark, multi_line).option("enforceSchema", "true").schema(schema)
+        parts.append(normalise_line_items(rows.csv([_literal_path(f) for f in files])))
+    if not parts:
+        nothing = spark.createDataFrame([], ", ".join(f"{c} STRING" for c in LINE_ITEM_COLUMNS))
+        return normalise_line_items(nothing)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _header_lines(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """(file, first line that is not blank) of every file that has one."""
+    # A session of its own, so that the settings hold for this job alone: files
+    # are neither split nor put together, one task each.
+    apart = spark.newSession()
+    apart.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 40))
+    apart.conf.set("spark.sql.files.openCostInBytes", str(1 << 40))
+    apart.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+
+    def first_line(batches):
+        for batch in batches:
+            for i, line in enumerate(batch.column("line")):
+                if (line.as_py() or "").strip():
+                    yield batch.slice(i, 1)
+                    return  # the rest of the file stays unread
+
+    lines = apart.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
+    return [(unquote(r.file), r.line) for r in lines.mapInArrow(first_line, "file string, line string").collect()]
+
+
+def _layout(file: str, header: str) -> tuple[int, tuple[int, ...]]:
+    """Number of columns and the places of the five; raises where they are not all there once."""
+    if header.count('"') % 2:
+        raise ValueError(f"the header of {file} has a line break in a name")
+    names = next(csv.reader([header.removeprefix("\ufeff")]))
+    for wanted in LINE_ITEM_COLUMNS:
+        if names.count(wanted) != 1:
+            raise ValueError(f"{file} has {names.count(wanted)} columns {wanted}, not one: {', '.join(names)}")
+    return len(names), tuple(names.index(c) for c in LINE_ITEM_COLUMNS)
+
+
+def _literal_path(file: str) -> str:
+    """A file's name as Spark's readers take it, not as a pattern."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", file)
 
 
 def line_items_from_tpch(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
@@ -143,6 +214,7 @@ def line_items_from_tpch(spark: SparkSession, sf_dir: str, dirty: bool = False)
 __all__ = [
     "LINE_ITEM_COLUMNS",
     "line_items_from_csv",
+    "line_items_from_csv_by_header",
     "line_items_from_table",
     "line_items_from_tpch",
     "normalise_line_items",
