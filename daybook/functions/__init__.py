@@ -8,6 +8,7 @@ from daybook.functions.columns import (
     first_order_flag,
     product_revenue,
     revenue,
+    revenue_sum,
     safe_ratio,
     to_day,
     week_label,
@@ -21,6 +22,7 @@ __all__ = [
     "first_order_flag",
     "product_revenue",
     "revenue",
+    "revenue_sum",
     "safe_ratio",
     "to_day",
     "week_label",

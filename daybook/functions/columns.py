@@ -13,6 +13,9 @@ from daybook.schema import MONEY
 
 ColumnOrName = Column | str
 
+# Sums of money that can be added once more without losing a decimal.
+_SUM = "decimal(37,8)"
+
 
 def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -54,11 +57,48 @@ def finite(c: ColumnOrName) -> Column:
 def revenue(quantity: ColumnOrName, price: ColumnOrName) -> Column:
     """Line revenue = quantity x price as DECIMAL(28,8).
 
-    A null or NaN in either gives null. Eight decimals hold what a line of a
+    A null or NaN in either gives null; a product beyond any double raises, as
+    infinity does. Eight decimals hold what a line of a
     shop can cost, fractions of a cent included; sums of decimals are exact
     and do not depend on the order of the rows.
     """
-    return (finite(quantity) * finite(price)).cast(MONEY)
+    return finite(finite(quantity) * finite(price)).cast(MONEY)
+
+
+# Bits of the lower part of a sum in two long numbers. A line's part is below
+# 2**24 either way (1e14 units are below 2**47), so that a long holds the sums
+# of 2**39 lines; beyond that Spark's check of long sums raises.
+_LOW_BITS = 24
+# Lines below this amount are summed as long numbers of hundred-millionths.
+_PLAIN_LIMIT = 1e6
+_UNITS = 1e8
+
+
+def revenue_sum(quantity: ColumnOrName, price: ColumnOrName) -> Column:
+    """The aggregate ``sum(revenue(quantity, price))``, digit for digit, mostly without decimals.
+
+    Decimals of this width are objects to every line that is added. A line's
+    revenue is instead taken as a whole number of hundred-millionths, whose
+    upper and lower bits are summed as two long numbers; they become one
+    decimal where the group is complete. That number is the decimal's own
+    rounding wherever the line is below a million and its product lies within
+    0.4 units of a whole number: product, scaling and the shortest text of a
+    double are together less than 0.02 units off there. Other lines (tiny
+    fractions of a cent, very large amounts) are summed as decimals beside it.
+    A group without revenue is NULL.
+    """
+    product = finite(quantity) * finite(price)
+    scaled = product * F.lit(_UNITS)
+    whole = F.rint(scaled)
+    plain = (F.abs(product) < F.lit(_PLAIN_LIMIT)) & (F.abs(scaled - whole) < F.lit(0.4))
+    units = F.when(plain, whole.cast("bigint"))
+    upper = F.sum(F.shiftright(units, _LOW_BITS))
+    lower = F.sum(units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1)))
+    rest = F.sum(F.when(~plain, finite(product).cast(MONEY))).cast(_SUM)
+    together = upper.cast("decimal(19,0)") * F.lit(1 << _LOW_BITS).cast("decimal(8,0)") + lower.cast("decimal(19,0)")
+    # 29 digits times a hundred-millionth keep all eight decimals.
+    money = (together.cast("decimal(29,0)") * F.lit("0.00000001").cast("decimal(8,8)")).cast(_SUM)
+    return F.coalesce(money + rest, money, rest).cast("decimal(38,8)")
 
 
 def product_revenue(quantity: ColumnOrName, price: ColumnOrName) -> Column:

@@ -33,7 +33,7 @@ from daybook.functions import (
     cutoff_60_days,
     first_order_flag,
     product_revenue,
-    revenue,
+    revenue_sum,
     week_label,
 )
 from daybook.schema import (
@@ -132,7 +132,7 @@ def customer_days(lines: DataFrame) -> DataFrame:
     return (
         lines.where(F.col(ORDER_DATE).isNotNull())
         .groupBy(ORDER_DATE, EMAIL)
-        .agg(F.sum(revenue(QUANTITY, PRICE)).alias(DAY_REVENUE))
+        .agg(revenue_sum(QUANTITY, PRICE).alias(DAY_REVENUE))
     )
 
 

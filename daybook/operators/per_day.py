@@ -23,7 +23,7 @@ that Catalyst prunes to (order_date, order_id); its first shuffle is keyed on
 results are joined on ``order_date``; both are at most one row per calendar
 day, and AQE broadcasts or co-partitions them from their real sizes.
 
-Revenue is summed exactly, as DECIMAL with eight decimals, and published as
+Revenue is summed exactly (``revenue_sum``), as DECIMAL with eight decimals, and published as
 DOUBLE, so the result does not depend on the order rows are added in. A NaN
 quantity or price is a missing number.
 """
@@ -35,7 +35,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.functions import revenue, safe_ratio
+from daybook.functions import revenue_sum, safe_ratio
 from daybook.operators.first_order import (
     DAY_REVENUE,
     customer_days,
@@ -150,7 +150,7 @@ def order_grain(lines: DataFrame, profile: RunProfile | None = None) -> DataFram
     return (
         lines.where(F.col(ORDER_DATE).isNotNull())
         .groupBy(ORDER_DATE, EMAIL, ORDER_ID)
-        .agg(F.sum(revenue(QUANTITY, PRICE)).alias(_ORDER_REVENUE))
+        .agg(revenue_sum(QUANTITY, PRICE).alias(_ORDER_REVENUE))
     )
 
 

@@ -24,7 +24,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.functions import revenue
+from daybook.functions import revenue_sum
 from daybook.schema import DAILY_STATS_COLUMNS, EMAIL, LINE_ITEM_COLUMNS, ORDER_DATE, ORDER_ID, PRICE, QUANTITY
 
 _LINES, _ORDERS, _QUANTITIES, _PRICES = "_lines", "_order_ids", "_quantities", "_prices"
@@ -60,7 +60,7 @@ class RunProfile:
         counts = [F.count(F.lit(1)).alias(_LINES), F.count(QUANTITY).alias(_QUANTITIES), F.count(PRICE).alias(_PRICES)]
         if not has_order:
             counts.append(F.count(ORDER_ID).alias(_ORDERS))
-        rows = lines.groupBy(*keys).agg(F.sum(revenue(QUANTITY, PRICE)).alias(revenue_name), *counts)
+        rows = lines.groupBy(*keys).agg(revenue_sum(QUANTITY, PRICE).alias(revenue_name), *counts)
 
         def lines_where(condition: Column | None = None, counter: str = _LINES) -> Column:
             counted = F.col(counter) if condition is None else F.when(condition, F.col(counter))
