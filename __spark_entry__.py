@@ -50,6 +50,7 @@ from daybook.plans import (
     run_catch_up,
     run_daily,
     run_repair,
+    run_repair_in_buckets,
 )
 from daybook.schema import (
     COUNT_COLUMNS,
@@ -433,6 +434,19 @@ def q_repair_late_lines(spark, sf_dir):
     return _kept(spark.table(table), location, table)
 
 
+def q_repair_in_buckets(spark, sf_dir):
+    """As ``repair_late_lines``, with a dimension in buckets that is merged in place."""
+    location, table, dim = scratch_location(spark, "mend"), _table_name("mend"), _table_name("buckets")
+    li, late = _li(spark, sf_dir), _late(F.col(ORDER_ID))
+    create_table(spark, table, location)
+    refresh_bucketed_dimension(spark, li.where(~late), dim, f"{location}-dim", DIMENSION_BUCKETS)
+    run_backfill(spark, li.where(~late), table=table, share_source=SHARED, by_version=True)
+    run_repair_in_buckets(spark, li, li.where(late), table, dim)
+    drop_daily_stats_table(spark, dim)
+    remove_location(spark, f"{location}-dim")
+    return _kept(spark.table(table), location, table)
+
+
 def q_repair_rewritten_days(spark, sf_dir):
     """Every day of the repaired table, and whether the repair has rewritten its file."""
     location, table, before = _repaired(spark, sf_dir, "rewritten")
@@ -495,6 +509,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "publication_audit": q_publication_audit,
     "affected_days": q_affected_days,
     "repair_late_lines": q_repair_late_lines,
+    "repair_in_buckets": q_repair_in_buckets,
     "repair_rewritten_days": q_repair_rewritten_days,
     "catch_up_days": q_catch_up_days,
 }
@@ -713,6 +728,7 @@ def _own_oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'one_row_a_day', DATE '{MISSING_DAY}', '0'""",
         "affected_days": f"WITH {LI}, {AFFECTED} SELECT order_date FROM affected",
         "repair_late_lines": f"{BACKFILL_BODY} {with_partition}",
+        "repair_in_buckets": f"{BACKFILL_BODY} {with_partition}",
         "repair_rewritten_days": f"""WITH {LI}, {AFFECTED}
             SELECT DISTINCT order_date, order_date IN (SELECT order_date FROM affected) AS rewritten
             FROM li WHERE order_date IS NOT NULL""",

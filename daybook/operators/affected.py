@@ -45,18 +45,28 @@ def _of_days(lines: DataFrame, days: Sequence[dt.date]) -> DataFrame:
 
 
 def daily_stats_for_days(
-    lines: DataFrame, days: Sequence[dt.date], first_orders: DataFrame, profile: RunProfile | None = None
+    lines: DataFrame,
+    days: Sequence[dt.date],
+    first_orders: DataFrame,
+    profile: RunProfile | None = None,
+    later_lines: DataFrame | None = None,
 ) -> DataFrame:
     """Statistics of the given days, equal to their rows of ``daily_stats(lines)``.
 
     ``first_orders`` (email, first_order_date) must cover the lines up to the
     last of the days. Only the days' lines are read. They are joined to the
     dimension at (day, customer) grain: a customer has a row a day at most.
+    ``later_lines`` are lines that ``first_orders`` does not cover yet; their
+    first orders are joined on the same key, so a dimension in buckets stays where it is.
     """
     todays = _of_days(lines, days)
     grain = profile.grain(todays, [ORDER_DATE, EMAIL], DAY_REVENUE) if profile else customer_days(todays)
     known = first_orders.where(F.col(EMAIL).isNotNull()).select(EMAIL, FIRST_ORDER_DATE)
-    flagged = grain.join(known, EMAIL, "left").withColumn(FIRST_ORDER_FL, first_order_flag(ORDER_DATE, FIRST_ORDER_DATE))
+    dated = grain.join(known, EMAIL, "left")
+    if later_lines is not None:
+        later = later_lines.where(F.col(EMAIL).isNotNull()).groupBy(EMAIL).agg(F.min(ORDER_DATE).alias("_later"))
+        dated = dated.join(later, EMAIL, "left").withColumn(FIRST_ORDER_DATE, F.least(FIRST_ORDER_DATE, "_later")).drop("_later")
+    flagged = dated.withColumn(FIRST_ORDER_FL, first_order_flag(ORDER_DATE, FIRST_ORDER_DATE))
     return assemble(segment_totals(flagged.drop(FIRST_ORDER_DATE)), orders_per_day(todays))
 
 

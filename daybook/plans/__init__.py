@@ -10,6 +10,7 @@ from daybook.plans.jobs import (
     run_catch_up,
     run_daily,
     run_repair,
+    run_repair_in_buckets,
     yesterday,
 )
 
@@ -23,5 +24,6 @@ __all__ = [
     "run_catch_up",
     "run_daily",
     "run_repair",
+    "run_repair_in_buckets",
     "yesterday",
 ]

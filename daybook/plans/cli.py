@@ -4,7 +4,7 @@
     spark-submit -m daybook.plans.cli backfill --source SRC [--location L] [--table T] [--share-source] [--by-version]
     spark-submit -m daybook.plans.cli daily    --source SRC --table T [--date YYYY-MM-DD] [--dimension D | --dimension-table DT] [--broadcast-limit-mb N]
     spark-submit -m daybook.plans.cli catch-up --source SRC --table T --dates YYYY-MM-DD [YYYY-MM-DD ...] [--dimension D | --dimension-table DT]
-    spark-submit -m daybook.plans.cli repair   --source SRC --late LATE --table T --old D1 --location D2
+    spark-submit -m daybook.plans.cli repair   --source SRC --late LATE --table T (--old D1 --location D2 | --dimension-table DT)
     spark-submit -m daybook.plans.cli dimension --source SRC --location D [--through YYYY-MM-DD]
     spark-submit -m daybook.plans.cli merge-dimension --source SRC --old D1 --location D2 [--through YYYY-MM-DD]
     spark-submit -m daybook.plans.cli bucket-dimension --source SRC --table DT --location D --buckets N [--through YYYY-MM-DD]
@@ -41,6 +41,7 @@ from daybook.plans.jobs import (
     run_catch_up,
     run_daily,
     run_repair,
+    run_repair_in_buckets,
 )
 from daybook.operators.run_profile import RunProfile
 from daybook.session import build_session
@@ -82,8 +83,9 @@ def main(argv: list[str] | None = None) -> None:
     p_repair.add_argument("--source", required=True, help="all lines, the late ones included")
     p_repair.add_argument("--late", required=True, help="the late lines")
     p_repair.add_argument("--table", required=True)
-    p_repair.add_argument("--old", required=True, help="the dimension from before the late lines")
-    p_repair.add_argument("--location", required=True, help="where the new dimension goes")
+    p_repair.add_argument("--old", help="the dimension from before the late lines")
+    p_repair.add_argument("--location", help="where the new dimension goes")
+    p_repair.add_argument("--dimension-table", help="a dimension in buckets, merged in place")
 
     p_daily = sub.add_parser("daily", help="publish one day (default yesterday)")
     p_daily.add_argument("--source", required=True)
@@ -121,6 +123,8 @@ def main(argv: list[str] | None = None) -> None:
     p_fold.add_argument("--through", type=dt.date.fromisoformat, help="last day whose lines are all there")
 
     args = parser.parse_args(argv)
+    if args.command == "repair" and bool(args.dimension_table) == bool(args.old and args.location):
+        parser.error("repair takes --old and --location, or --dimension-table")
     spark = build_session(shuffle_partitions=args.shuffle_partitions)
     if args.shuffle_partitions:
         spark.conf.set("spark.sql.shuffle.partitions", str(args.shuffle_partitions))
@@ -141,7 +145,11 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "catch-up":
         show(run_catch_up(spark, lines, args.table, args.dates, args.dimension, args.dimension_table))
     elif args.command == "repair":
-        show(run_repair(spark, lines, read(args.late), args.table, args.old, args.location))
+        late = read(args.late)
+        if args.dimension_table:
+            show(run_repair_in_buckets(spark, lines, late, args.table, args.dimension_table))
+        else:
+            show(run_repair(spark, lines, late, args.table, args.old, args.location))
     elif args.command == "dimension":
         refresh_dimension(lines, args.location, args.through)
     elif args.command == "merge-dimension":

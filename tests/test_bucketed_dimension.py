@@ -24,8 +24,10 @@ from daybook.plans import (
     create_table,
     merge_into_bucketed_dimension,
     refresh_bucketed_dimension,
+    run_backfill,
     run_catch_up,
     run_daily,
+    run_repair_in_buckets,
 )
 from daybook.plans.cli import main
 from daybook.schema import DAILY_STATS_COLUMNS, EMAIL, ORDER_DATE
@@ -197,6 +199,31 @@ def test_jobs_go_by_the_table(spark, scratch, name):
     assert [tuple(r) for r in got] == GOLDEN_EXPECTED
 
 
+def test_repair_equals_a_backfill_also_after_dying_in_the_merge(spark, scratch, name, monkeypatch):
+    from daybook.operators import bucketed_dimension as module
+
+    lines, dim, table = line_items_from_tpch(spark, SF01).where(F.col(ORDER_DATE) < "1996-01-01"), name(), name()
+    late = F.col("order_id") % 101 == 0
+    create_table(spark, table, scratch("stats"))
+    refresh_bucketed_dimension(spark, lines.where(~late), dim, scratch("bd"), BUCKETS)
+    run_backfill(spark, lines.where(~late), table=table, share_source=True, by_version=True)
+    whole = module._point
+
+    def half(spark, table, version, numbers):
+        whole(spark, table, version, numbers[:2])
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(module, "_point", half)
+        with pytest.raises(RuntimeError):
+            run_repair_in_buckets(spark, lines, lines.where(late), table, dim)
+    run_repair_in_buckets(spark, lines, lines.where(late), table, dim)
+    assert _pairs(read_bucketed_dimension(spark, dim)) == _pairs(build_first_order_dimension(lines))
+    got, want = spark.table(table).select(*DAILY_STATS_COLUMNS), daily_stats(lines, share_source=True)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert run_repair_in_buckets(spark, lines, lines.where(late), table, dim).published == []
+
+
 def test_command_line(spark, scratch, name, capsys):
     lines, at, dim, table = text_lines(spark, GOLDEN_LINES), scratch("lines"), name(), name()
     lines.write.parquet(at)
@@ -206,3 +233,7 @@ def test_command_line(spark, scratch, name, capsys):
     create_table(spark, table, scratch("stats"))
     main(["daily", "--source", at, "--table", table, "--date", "2024-01-02", "--dimension-table", dim])
     assert [tuple(r) for r in spark.table(table).select(*DAILY_STATS_COLUMNS).collect()] == [GOLDEN_EXPECTED[1]]
+    main(["repair", "--source", at, "--late", at, "--table", table, "--dimension-table", dim])
+    assert spark.table(table).count() == len(GOLDEN_EXPECTED)
+    with pytest.raises(SystemExit):
+        main(["repair", "--source", at, "--late", at, "--table", table])
